@@ -53,7 +53,7 @@ def discount_taken(engagement: DataFrame, offer_history: DataFrame) -> DataFrame
     purchases = offer_history.select(
         F.col("company_id").cast("long").alias("company_id"),
         F.col("offer_id").cast("string").alias("obill_offer_id"),
-        F.to_timestamp("purchase_datetime").alias("bought"),
+        F.col("purchase_datetime").try_cast("timestamp").alias("bought"),
     ).withColumn("bought_day", F.to_date("bought"))
     matched = flags_on_days(
         shown,

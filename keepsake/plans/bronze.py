@@ -20,7 +20,7 @@ def bronze_events(raw: DataFrame, start: str, end: str) -> DataFrame:
             "company_id": C.resolve_company_id(),
             "product": C.resolve_product(),
             "event": C.normalize_event("event"),
-            "event_timestamp": F.try_to_timestamp(F.col("event_timestamp").cast("string")),
+            "event_timestamp": F.col("event_timestamp").try_cast("timestamp"),
         }
     )
     dated = typed.withColumn("event_date", F.date_format("event_timestamp", "yyyy-MM-dd"))

@@ -54,7 +54,7 @@ def interactions(events: DataFrame) -> DataFrame:
         .filter("kind IS NOT NULL")
         .select(
             C.numeric_id("company_id").alias("company_id"),
-            F.to_timestamp("event_timestamp").alias("at"),
+            F.col("event_timestamp").try_cast("timestamp").alias("at"),
             "kind",
             F.when(is_offer, F.col(X.ACCESS_POINT)).alias(X.ACCESS_POINT),
             F.when(is_offer, F.col("properties_custom_fp_offer_id")).alias("offer_id"),

@@ -24,7 +24,6 @@ ATTRIBUTES = (
     "context_page_path",
 )
 MILESTONES = ("initiation", "confirmation", "upgrade", "downgrade")
-COMPANY = ("company_id", "signup_date", "country", "is_suspicious")
 
 
 def flow_moments(events: DataFrame, kinds: Sequence[str] = MILESTONES) -> DataFrame:
@@ -33,7 +32,7 @@ def flow_moments(events: DataFrame, kinds: Sequence[str] = MILESTONES) -> DataFr
         events.filter(X.is_flow_event())
         .withColumn("kind", X.milestone())
         .filter(F.col("kind").isin(*kinds) & F.col("company_id").isNotNull())
-        .withColumn("at", F.to_timestamp("event_timestamp"))
+        .withColumn("at", F.col("event_timestamp").try_cast("timestamp"))
         .filter("at IS NOT NULL")
     )
     return collapse(

@@ -7,21 +7,19 @@ from dataclasses import dataclass, field
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
-# Field names and types of a clickstream event. Batch and stream share them.
-EVENT_SCHEMA = _struct(
-    """
-    event_id string, company_id string, accountant_realm_id string, session_id string,
-    event string, properties_object_detail string, properties_ui_object_detail string,
-    properties_ui_access_point string, properties_url_host_name string,
-    properties_custom_fp_offer_id string, product string, sku string,
-    billing_frequency string, subscription_type string, ua_parser_device_type string,
-    context_page_path string, event_timestamp timestamp, event_date string,
-    properties_screen string, workflow_state string, widget_state string
-    """
+# Fields of a clickstream event. Batch and stream share them.
+EVENT_FIELDS = (
+    "event_id", "company_id", "accountant_realm_id", "session_id", "event",
+    "properties_object_detail", "properties_ui_object_detail", "properties_ui_access_point",
+    "properties_url_host_name", "properties_custom_fp_offer_id", "product", "sku",
+    "billing_frequency", "subscription_type", "ua_parser_device_type", "context_page_path",
+    "event_timestamp", "event_date", "properties_screen", "workflow_state", "widget_state",
+)
+EVENT_SCHEMA = T.StructType(
+    [
+        T.StructField(name, T.TimestampType() if name == "event_timestamp" else T.StringType())
+        for name in EVENT_FIELDS
+    ]
 )
 
 REQUIRED_EVENT_FIELDS = ("event_id", "company_id", "event_timestamp")
