@@ -11,6 +11,9 @@ cut through the data.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import columns as C
 
 AS_OF = "2024-05-01"
 FIRST_DAY, LAST_DAY = "2024-01-01", "2024-04-30"
@@ -210,8 +213,11 @@ def base_events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def raw_events(spark: SparkSession, folder: str) -> DataFrame:
-    """Clickstream deliveries: some events arrive twice, some with a broken time or company."""
+def raw_events(spark: SparkSession, folder: str, delivery: bool = False) -> DataFrame:
+    """Clickstream deliveries: some events arrive twice, some with a broken time or company.
+
+    ``delivery`` adds 1 for a first and 2 for a repeated delivery.
+    """
     delivered = base_events(spark, folder).selectExpr(
         "*", "explode(CASE WHEN k % 11 = 0 THEN array(0, 2) ELSE array(0) END) AS late"
     )
@@ -220,7 +226,26 @@ def raw_events(spark: SparkSession, folder: str) -> DataFrame:
         "CASE WHEN e % 211 = 5 THEN 'bad' ELSE date_format(t + make_dt_interval(0, 0, 0, late), "
         "'yyyy-MM-dd\\'T\\'HH:mm:ss.SSSSSS') END AS event_timestamp",
         "date_format(t, 'yyyy-MM-dd') AS event_date",
+        *(["IF(late = 0, 1, 2) AS delivery"] if delivery else []),
+    )
+
+
+def feed(spark: SparkSession, folder: str) -> DataFrame:
+    """The deliveries as one JSON document each, some of them broken or without a company."""
+    raw = raw_events(spark, folder, delivery=True).withColumns(
+        {
+            "company_id": F.when(F.col("event_id").endswith("59"), None).otherwise(
+                C.resolve_company_id()
+            ),
+            "product": C.resolve_product(),
+        }
     )
+    body = F.to_json(F.struct(*[c for c in raw.columns if c != "delivery"]))
+    broken = F.col("event_id").endswith("77")
+    return raw.select(
+        F.when(broken, F.lit('{"event_id": ')).otherwise(body).alias("raw_json"), "delivery",
+        F.col("event_timestamp").try_cast("timestamp").alias("at"),
+    )
 
 
 def offers(spark: SparkSession, folder: str) -> DataFrame:
