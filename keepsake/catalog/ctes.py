@@ -178,10 +178,11 @@ CTES = {
       QUALIFY row_number() OVER (PARTITION BY event_id, event_date ORDER BY event_timestamp) = 1""",
     "feed": f"""SELECT event_id, event,
       CASE WHEN event_id LIKE '%59' THEN NULL ELSE {_RESOLVED} END AS company_id,
-      TRY_CAST(event_timestamp AS TIMESTAMP) AS at, event_id LIKE '%77' AS broken, delivery
-      FROM raw_events""",
-    "valid_feed": """SELECT event_id, event, company_id, at, delivery FROM feed
-      WHERE NOT broken AND company_id IS NOT NULL AND at IS NOT NULL""",
+      TRY_CAST(event_timestamp AS TIMESTAMP) AS tm, event_id LIKE '%77' AS broken, delivery,
+      properties_object_detail, properties_ui_object_detail, properties_ui_access_point,
+      properties_screen FROM raw_events""",
+    "valid_feed": """SELECT * FROM feed
+      WHERE NOT broken AND company_id IS NOT NULL AND tm IS NOT NULL""",
     "offers": f"""SELECT {proj(I.OFFERS)} FROM (SELECT *, unnest([0, 1]) AS copy FROM part)
       WHERE {I.OFFERS_WHERE}""",
     "offer_history": f"""SELECT {proj(I.OFFER_HISTORY)} FROM base_events
@@ -388,16 +389,14 @@ CTES = {
 
 def with_ctes(sql: str) -> str:
     """Prefix ``sql`` with the views it needs, in order of dependence."""
-    wanted: list[str] = []
+    wanted: set[str] = set()
 
-    def visit(text: str, own: str | None = None) -> None:
+    def visit(text: str) -> None:
         for name, body in CTES.items():
-            if name != own and name not in wanted and re.search(rf"(?<![.\w']){name}(?![\w(])", text):
-                visit(body, name)
-                if name not in wanted:
-                    wanted.append(name)
+            if name not in wanted and re.search(rf"(?<![.\w']){name}(?![\w(])", text):
+                wanted.add(name)
+                visit(body)
 
     visit(sql)
-    order = [n for n in CTES if n in wanted]
-    views = ",\n".join(f"{n} AS ({CTES[n]})" for n in order)
+    views = ",\n".join(f"{n} AS ({body})" for n, body in CTES.items() if n in wanted)
     return f"WITH {views}\n{sql}" if views else sql

@@ -61,12 +61,12 @@ def along(
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     position = F.row_number().over(inside)
-    local = {"__pos": position}
-    local |= {f"__sum_{n}": F.sum(e).over(so_far) for n, e in running.items()}
-    local |= {f"__lag_{n}": F.lag(c).over(inside) for n, c in previous.items()}
-    local |= {f"__lead_{n}": F.lead(c).over(inside) for n, c in following.items()}
+    local = {"__a_pos": position}
+    local |= {f"__a_sum_{n}": F.sum(e).over(so_far) for n, e in running.items()}
+    local |= {f"__a_lag_{n}": F.lag(c).over(inside) for n, c in previous.items()}
+    local |= {f"__a_lead_{n}": F.lead(c).over(inside) for n, c in following.items()}
     if following:
-        local["__last"] = F.lead(F.lit(True)).over(inside).isNull()
+        local["__a_last"] = F.lead(F.lit(True)).over(inside).isNull()
     rows = rows.select("*", *[e.alias(n) for n, e in local.items()])
 
     at = F.struct(*order)
@@ -74,10 +74,10 @@ def along(
         df.withColumn(SLOT, slot)
         .groupBy(*keys, SLOT)
         .agg(
-            F.count(F.lit(1)).alias("__n"),
-            *[F.sum(e).alias(f"__n_{n}") for n, e in running.items()],
-            *[F.max_by(F.col(c), at).alias(f"__end_{n}") for n, c in previous.items()],
-            *[F.min_by(F.col(c), at).alias(f"__begin_{n}") for n, c in following.items()],
+            F.count(F.lit(1)).alias("__a_n"),
+            *[F.sum(e).alias(f"__a_n_{n}") for n, e in running.items()],
+            *[F.max_by(F.col(c), at).alias(f"__a_end_{n}") for n, c in previous.items()],
+            *[F.min_by(F.col(c), at).alias(f"__a_begin_{n}") for n, c in following.items()],
         )
     )
     across = Window.partitionBy(*keys).orderBy(SLOT)
@@ -85,24 +85,24 @@ def along(
     carried = summary.select(
         *keys,
         SLOT,
-        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"),
-        *[F.sum(f"__n_{n}").over(before).alias(f"__before_{n}") for n in running],
-        *[F.lag(f"__end_{n}").over(across).alias(f"__prev_{n}") for n in previous],
-        *[F.lead(f"__begin_{n}").over(across).alias(f"__next_{n}") for n in following],
+        F.coalesce(F.sum("__a_n").over(before), F.lit(0)).alias("__a_before"),
+        *[F.sum(f"__a_n_{n}").over(before).alias(f"__a_before_{n}") for n in running],
+        *[F.lag(f"__a_end_{n}").over(across).alias(f"__a_prev_{n}") for n in previous],
+        *[F.lead(f"__a_begin_{n}").over(across).alias(f"__a_next_{n}") for n in following],
     )
 
     joined = _rejoin(rows, carried, keys)
     out = {}
     if rank:
-        out[rank] = (F.col("__pos") + F.col("__before")).cast("int")
+        out[rank] = (F.col("__a_pos") + F.col("__a_before")).cast("int")
     for n in running:
-        parts = [F.col(f"__sum_{n}"), F.col(f"__before_{n}")]
+        parts = [F.col(f"__a_sum_{n}"), F.col(f"__a_before_{n}")]
         total = sum(F.coalesce(p, F.lit(0)) for p in parts)
         out[n] = F.when(F.coalesce(*parts).isNotNull(), total)
     for n in previous:
-        out[n] = F.when(F.col("__pos") == 1, F.col(f"__prev_{n}")).otherwise(F.col(f"__lag_{n}"))
+        out[n] = F.when(F.col("__a_pos") == 1, F.col(f"__a_prev_{n}")).otherwise(F.col(f"__a_lag_{n}"))
     for n in following:
-        out[n] = F.when(F.col("__last"), F.col(f"__next_{n}")).otherwise(F.col(f"__lead_{n}"))
+        out[n] = F.when(F.col("__a_last"), F.col(f"__a_next_{n}")).otherwise(F.col(f"__a_lead_{n}"))
     kept = [c for c in df.columns if c not in out]
     return joined.select(*kept, *[e.alias(n) for n, e in out.items()])
 

@@ -76,10 +76,10 @@ def table_bytes(spark: SparkSession, path: str) -> int:
 def _write(df: DataFrame, path: str, partition_cols: Sequence[str], fmt: str, how: str) -> int:
     """Write once and take the row count from the write itself, not from a second run."""
     seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     # Rebalancing gathers a partition's rows into few files and still splits a big partition.
-    laid_out = counted.hint("rebalance", *partition_cols) if partition_cols else counted
-    writer = laid_out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", how)
+    laid_out = df.hint("rebalance", *partition_cols) if partition_cols else df
+    counted = laid_out.observe(seen, F.count(F.lit(1)).alias("rows"))
+    writer = counted.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", how)
     (writer.partitionBy(*partition_cols) if partition_cols else writer).save(path)
     return int(seen.get["rows"])
 

@@ -70,6 +70,8 @@ def insert_once(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
         spark = batch.sparkSession
         received = Observation()
         counted = batch.observe(received, F.count(F.lit(1)).alias("rows"))
