@@ -172,7 +172,7 @@ COMPANIES = {
     "realm_id": "CAST(c_custkey AS STRING)",
     "country": "CASE WHEN n_nationkey % 2 = 0 THEN 'United States' ELSE n_name END",
     "is_suspicious": "CASE WHEN c_custkey % 20 = 0 THEN 1 ELSE 0 END",
-    "signup_date": "DATE '2023-01-01' + CAST(c_custkey * 13 % 420 + copy * 5 AS INTEGER)",
+    "signup_date": "DATE '2023-01-01' + CAST(c_custkey * 13 % 360 + copy * 5 AS INTEGER)",
 }
 COMPANIES_WHERE = "copy = 0 OR c_custkey % 50 = 7"
 

@@ -277,10 +277,12 @@ _SQL: dict[str, str] = {
       FROM offer_info""",
     "baked_retained": f"""SELECT {EPISODE}, initiation_date, baked_31d, retained_31d, baked_92d,
       retained_92d FROM retention""",
-    "safe_divide": """SELECT l_partkey, round(CASE WHEN qty IS NULL OR qty = 0 THEN 0.0
-        ELSE returned / qty END, 4) AS price FROM (
-      SELECT l_partkey, sum(CASE WHEN l_returnflag = 'R' THEN l_extendedprice END) AS returned,
-        sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) AS qty
+    "safe_divide": """SELECT l_partkey, CASE WHEN pieces = 0 THEN 0.0
+        ELSE CAST(cents AS DOUBLE) / pieces END AS price FROM (
+      SELECT l_partkey, CAST(sum(CASE WHEN l_returnflag = 'R'
+          THEN CAST(round(l_extendedprice * 100) AS BIGINT) END) AS BIGINT) AS cents,
+        CAST(sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS BIGINT)
+          AS pieces
       FROM lineitem GROUP BY 1)""",
     "partition_keys": """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day,
       strftime(o_orderdate, '%Y') AS initiation_year, strftime(o_orderdate, '%m')

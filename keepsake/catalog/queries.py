@@ -244,13 +244,15 @@ def baked_retained(spark, folder):
 
 @query
 def safe_divide(spark, folder):
-    """Average price per part, 0 for parts without quantity."""
+    """Average price in cents of the returned pieces per part, 0 for parts without returns."""
     lines = I.table(spark, folder, "lineitem")
+    returned = F.col("l_returnflag") == "R"
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     per_part = lines.groupBy("l_partkey").agg(
-        F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_extendedprice"))).alias("returned"),
-        F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0)).alias("qty"),
+        F.sum(F.when(returned, cents)).alias("cents"),
+        F.sum(F.when(returned, F.col("l_quantity").cast("bigint")).otherwise(0)).alias("pieces"),
     )
-    return per_part.select("l_partkey", F.round(C.safe_divide("returned", "qty"), 4).alias("price"))
+    return per_part.select("l_partkey", C.safe_divide("cents", "pieces").alias("price"))
 
 
 @query
