@@ -205,9 +205,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A small table may be one file that one task reads; many files stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def base_events(spark: SparkSession, folder: str) -> DataFrame:
     k = "CAST(get_json_object(props, '$.k') AS INT)"
-    return table(spark, folder, "events").selectExpr(
+    return spread(table(spark, folder, "events")).selectExpr(
         "event_id AS e", "user_id AS u", "event_type AS et", f"{k} AS k",
         f"{EVENT_TIME.format(k=k)} AS t",
     )

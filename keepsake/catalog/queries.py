@@ -339,7 +339,9 @@ def _first(spark, folder, kind: str) -> DataFrame:
         t.moments.filter(F.col("kind") == "initiation")
         .select("company_id", "sku", F.col("at").alias("initiation_timestamp"))
     )
-    found = episodes.first_after(episodes.with_windows(starts), t.moments, kinds=[kind])
+    found = episodes.with_windows(starts).join(
+        episodes.first_after(t.moments, kinds=[kind]), ["company_id", "initiation_timestamp"]
+    )
     end = F.col("window_end_timestamp")
     if kind != "confirmation":
         end = F.col("initiation_timestamp") + F.expr("INTERVAL 1 DAY")
@@ -697,7 +699,8 @@ KEYS = list(features.KEY_COLUMNS[:3])
 
 @query
 def features_behavioural(spark, folder):
-    return features.behavioural(tables(spark, folder).gold).select(*KEYS, *features.BEHAVIOURAL)
+    history = features.company_history(tables(spark, folder).gold)
+    return features.behavioural(history).select(*KEYS, *features.BEHAVIOURAL)
 
 
 @query
@@ -719,7 +722,7 @@ def features_temporal(spark, folder):
 
 @query
 def features_save_history(spark, folder):
-    made = features.save_history(tables(spark, folder).gold)
+    made = features.save_history(features.company_history(tables(spark, folder).gold))
     picked = made.select(
         *KEYS, *features.SAVE_HISTORY, "save_rate_prior", "churned_31d", "churned_92d"
     )

@@ -118,7 +118,8 @@ def exists_after(
     """0/1 per offset: does a snapshot of the key exist exactly that many days after ``day``?
 
     One pass over the snapshots for all offsets. The wanted (key, day) pairs are few and distinct,
-    so they, not the rows, meet the snapshot table.
+    so they, not the rows, meet the snapshot table; repeated snapshots fall together in the
+    aggregate that follows.
     """
     pairs = df.select(*keys, F.col(day).alias("__from")).filter("__from IS NOT NULL").distinct()
     wanted = pairs.select(
@@ -126,7 +127,7 @@ def exists_after(
         F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.date_add("__from", d).alias("on"))
                             for n, d in offsets.items()])).alias("__p"),
     ).select(*keys, "__from", "__p.n", F.col("__p.on").alias("__on"))
-    present = snapshots.select(*keys, F.col(snapshot_day).cast("date").alias("__on")).distinct()
+    present = snapshots.select(*keys, F.col(snapshot_day).cast("date").alias("__on"))
     found = (
         wanted.join(present, [*keys, "__on"])
         .groupBy(*keys, "__from")

@@ -5,7 +5,9 @@ hour by default). Windows run inside (key, slot), which is what the rows are shu
 summary row per (key, slot) is built with a map-side combine, carried across the slots of a key,
 and joined back. Only the summary, at most one row per slot, ever meets in one task.
 
-Slots must be monotone in the order: a later row never has a smaller slot.
+Slots must be monotone in the order: a later row never has a smaller slot. Keys must not be NULL
+(give such rows a key of their own first): the carried values are joined back by plain equality, so
+that the rows stay partitioned and sorted as the windows left them and are shuffled only once.
 """
 
 from __future__ import annotations
@@ -28,14 +30,15 @@ def time_slot(ts: str | Column, seconds: int = HOUR) -> Column:
 
 
 def _rejoin(rows: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach the per-slot values to the rows; keys may be NULL."""
-    names = [*keys, SLOT]
-    right = carried.select(
-        *[F.col(c).alias(f"__r_{c}") for c in names],
-        *[c for c in carried.columns if c not in names],
-    )
-    same = [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in names]
-    return rows.join(right, same, "left").drop(*[f"__r_{c}" for c in names])
+    """Attach the per-slot values to the rows."""
+    return rows.join(carried, [*keys, SLOT], "left")
+
+
+def _end(column: str, order: Sequence[str], last: bool) -> Column:
+    """Value of ``column`` in the first or last row; the order column itself needs no lookup."""
+    if [column] == list(order):
+        return F.max(column) if last else F.min(column)
+    return (F.max_by if last else F.min_by)(F.col(column), F.struct(*order))
 
 
 def along(
@@ -69,15 +72,14 @@ def along(
         local["__a_last"] = F.lead(F.lit(True)).over(inside).isNull()
     rows = rows.select("*", *[e.alias(n) for n, e in local.items()])
 
-    at = F.struct(*order)
     summary = (
         df.withColumn(SLOT, slot)
         .groupBy(*keys, SLOT)
         .agg(
             F.count(F.lit(1)).alias("__a_n"),
             *[F.sum(e).alias(f"__a_n_{n}") for n, e in running.items()],
-            *[F.max_by(F.col(c), at).alias(f"__a_end_{n}") for n, c in previous.items()],
-            *[F.min_by(F.col(c), at).alias(f"__a_begin_{n}") for n, c in following.items()],
+            *[_end(c, order, True).alias(f"__a_end_{n}") for n, c in previous.items()],
+            *[_end(c, order, False).alias(f"__a_begin_{n}") for n, c in following.items()],
         )
     )
     across = Window.partitionBy(*keys).orderBy(SLOT)
@@ -169,9 +171,7 @@ def trailing_count(
     )
     slot = F.floor(F.col("__at") / slot_seconds)
     levels = along(steps, keys, ["__at"], slot, running={name: F.col("__d")}).drop("__d")
-    right = levels.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__at", name)
-    same = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys] + [second == F.col("__at")]
-    return df.join(right, same, "left").drop("__at", *[f"__k_{k}" for k in keys])
+    return df.withColumn("__at", second).join(levels, [*keys, "__at"], "left").drop("__at")
 
 
 def assign_to_windows(
@@ -184,7 +184,6 @@ def assign_to_windows(
     end: str,
     carry: Sequence[str] = (),
     slot_seconds: int = HOUR,
-    salts: int = 16,
 ) -> DataFrame:
     """Pair every event with the windows ``[start, end)`` of its key that contain it.
 
@@ -193,14 +192,14 @@ def assign_to_windows(
     lane of its key; pairs of a key are never enumerated. Returns the event columns with ``start``,
     ``end``, ``lane`` and ``carry`` of the window.
     """
-    from .joins import salted_join
+    from .joins import dimension_join
 
     window_cols = [start, end, *carry]
     payload = [c for c in events.columns if c not in {*keys, *window_cols, lane}]
     lanes = windows.select(*keys, lane).distinct()
     slot = time_slot(F.col("__t"), slot_seconds)
 
-    spread = salted_join(events, lanes, list(keys), salts=salts)
+    spread = dimension_join(events, lanes, list(keys))
     as_events = spread.select(
         *keys,
         lane,
@@ -223,13 +222,11 @@ def assign_to_windows(
     )
     rows = rows.withColumn("__open", F.max("__w").over(here)).filter("__e IS NOT NULL")
 
-    # Last window before each slot that holds events; distinct slots only, so the rows stay few.
-    event_slots = salted_join(
-        events.select(*keys, time_slot(F.col(ts), slot_seconds).alias(SLOT)).distinct(),
-        lanes,
-        list(keys),
-        salts=salts,
-    ).select(*keys, lane, SLOT, F.lit(None).cast(as_windows.schema["__w"].dataType).alias("__w"))
+    # Last window before each slot that holds events; a key has no more rows here than slots.
+    active = events.select(*keys, time_slot(F.col(ts), slot_seconds).alias(SLOT)).distinct()
+    event_slots = active.join(lanes, list(keys)).select(
+        *keys, lane, SLOT, F.lit(None).cast(as_windows.schema["__w"].dataType).alias("__w")
+    )
     window_slots = (
         as_windows.withColumn(SLOT, slot).groupBy(*keys, lane, SLOT).agg(F.max("__w").alias("__w"))
     )

@@ -12,19 +12,24 @@ from ..operators.joins import one_per_key
 def bronze_events(raw: DataFrame, start: str, end: str) -> DataFrame:
     """Events of the days ``[start, end]``: resolved company and product, one row per event and day.
 
-    The partition filter reaches the scan. The day is then taken from the parsed timestamp and
-    checked again, so that no partition outside the run is ever written.
+    The partition filter reaches the scan. The parsed time is checked again, so that no partition
+    outside the run is ever written; times are compared, since formatting one is far dearer.
     """
-    typed = raw.filter(F.col("event_date").between(start, end)).withColumns(
+    typed = raw.filter(F.col("event_date").between(start, end)).withColumn(
+        "event_timestamp", F.col("event_timestamp").try_cast("timestamp")
+    )
+    first = F.lit(start).cast("timestamp")
+    after = F.lit(end).cast("timestamp") + F.expr("INTERVAL 1 DAY")
+    in_window = typed.filter(
+        (F.col("event_timestamp") >= first) & (F.col("event_timestamp") < after)
+    ).withColumns(
         {
             "company_id": C.resolve_company_id(),
             "product": C.resolve_product(),
             "event": C.normalize_event("event"),
-            "event_timestamp": F.col("event_timestamp").try_cast("timestamp"),
+            "event_date": F.date_format("event_timestamp", "yyyy-MM-dd"),
         }
     )
-    dated = typed.withColumn("event_date", F.date_format("event_timestamp", "yyyy-MM-dd"))
-    in_window = dated.filter(F.col("event_date").between(start, end))
     return one_per_key(in_window, ["event_id", "event_date"], ["event_timestamp"])
 
 

@@ -10,6 +10,7 @@ from ..functions import taxonomy as X
 from ..operators.joins import dimension_join, one_per_key
 from ..operators.timeline import HOUR, assign_to_windows
 from ..schemas import EPISODE_KEY
+from .episodes import lane
 
 EPISODE = [*EPISODE_KEY, "window_end_timestamp", "product", "initiation_year", "initiation_month"]
 
@@ -37,7 +38,7 @@ def observation_windows(initiations: DataFrame) -> DataFrame:
     """Episodes that end at their confirmation, or at the end of their window."""
     end = F.coalesce("confirmation_timestamp", "window_end_timestamp")
     others = [c for c in EPISODE if c != "window_end_timestamp"]
-    return initiations.select(*others, "sku", end.alias("window_end_timestamp"))
+    return initiations.select(*others, lane().alias("lane"), end.alias("window_end_timestamp"))
 
 
 def interactions(events: DataFrame) -> DataFrame:
@@ -71,7 +72,7 @@ def in_episodes(initiations: DataFrame, events: DataFrame, slot_seconds: int = H
         interactions(events).distinct(),
         windows,
         ["company_id"],
-        "sku",
+        "lane",
         "at",
         "initiation_timestamp",
         "window_end_timestamp",

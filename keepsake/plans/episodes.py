@@ -55,6 +55,15 @@ def company_dimension(companies: DataFrame) -> DataFrame:
     return unique.withColumn("company_id", F.col("company_key").cast("string"))
 
 
+# Lane of episodes without a SKU.
+NO_SKU = "\u0000"
+
+
+def lane(sku: str = "sku"):
+    """The SKU as a key, which must not be NULL."""
+    return F.coalesce(sku, F.lit(NO_SKU))
+
+
 def with_windows(
     starts: DataFrame, default: str = "1 hour", cap: str | None = None, slot=None
 ) -> DataFrame:
@@ -63,8 +72,8 @@ def with_windows(
     The window ends at the next initiation, or ``default`` after the last one; ``cap`` bounds it.
     """
     ranked = along(
-        starts,
-        ["company_id", "sku"],
+        starts.withColumn("__lane", lane()),
+        ["company_id", "__lane"],
         ["initiation_timestamp"],
         slot,
         rank="initiation_rank",
@@ -74,25 +83,27 @@ def with_windows(
     end = F.coalesce("next_start", start + F.expr(f"INTERVAL {default}"))
     if cap:
         end = F.least(end, start + F.expr(f"INTERVAL {cap}"))
-    return ranked.withColumn("window_end_timestamp", end).drop("next_start")
+    return ranked.withColumn("window_end_timestamp", end).drop("next_start", "__lane")
 
 
 def first_after(
-    episodes: DataFrame,
     moments: DataFrame,
-    keys: Sequence[str] = ("company_id",),
+    match_on: Sequence[str] = ("company_id",),
     kinds: Sequence[str] = ("confirmation", "upgrade", "downgrade"),
     slot=None,
 ) -> DataFrame:
-    """Adds, per kind, the time of the first such moment at or after each initiation."""
-    keys = list(keys)
-    rows = episodes.withColumn("at", F.col("initiation_timestamp")).unionByName(
-        moments.filter(F.col("kind").isin(*kinds)).select(*keys, "at", "kind"),
-        allowMissingColumns=True,
+    """Per initiation (company and time) the first moment of each kind at or after it.
+
+    ``match_on`` may add the SKU, so that an event only counts for episodes of its own SKU.
+    """
+    keyed = moments.withColumn("__lane", lane())
+    keys = ["__lane" if k == "sku" else k for k in match_on]
+    narrow = keyed.filter(F.col("kind").isin("initiation", *kinds)).select(
+        *dict.fromkeys(["company_id", *keys]), "at", "kind"
     )
     targets = {f"next_{kind}": F.col("kind") == kind for kind in kinds}
-    swept = next_times(rows, keys, "at", targets, slot)
-    return swept.filter("kind IS NULL").drop("at", "kind")
+    swept = next_times(narrow, keys, "at", targets, slot).filter("kind = 'initiation'")
+    return swept.select("company_id", F.col("at").alias("initiation_timestamp"), *targets)
 
 
 def within(found: str, start: str, end, closed: bool = False):
@@ -113,19 +124,22 @@ def initiations(
     """Episodes with their first confirmation, upgrade and downgrade.
 
     ``events`` should reach back before ``start`` and one day past ``end``, so that ranks and late
-    confirmations are right at the edges; only episodes of ``[start, end]`` are returned. Company
-    rules that hold for all of a company's rows are applied before the windows. ``cut``
+    confirmations are right at the edges; only episodes of ``[start, end]`` are returned. ``cut``
     materialises the few cancel-flow rows once, since several branches read them.
     """
     moments = cut(flow_moments(events), "moments")
-    known = company_dimension(companies).filter(F.col("is_suspicious") == 0).drop("is_suspicious")
     starts = (
         moments.filter(F.col("kind") == "initiation")
         .withColumnRenamed("at", "initiation_timestamp")
         .drop("kind")
     )
-    starts = dimension_join(starts, known, ["company_id"])
-    swept = first_after(with_windows(starts, cap=cap), moments, match_on)
+    # The two sweeps read the few moments independently and meet on their unique key; the company
+    # comes last, so that it is looked up once.
+    swept = with_windows(starts, cap=cap).join(
+        first_after(moments, match_on), ["company_id", "initiation_timestamp"]
+    )
+    known = company_dimension(companies).filter(F.col("is_suspicious") == 0).drop("is_suspicious")
+    swept = dimension_join(swept, known, ["company_id"])
 
     began = F.col("initiation_timestamp")
     day_after = began + F.expr("INTERVAL 1 DAY")

@@ -60,15 +60,32 @@ EXTENDED = (
 )
 
 
-def behavioural(gold: DataFrame) -> DataFrame:
+def company_history(gold: DataFrame) -> DataFrame:
+    """Running outcomes and the previous date per company, in one ordered pass."""
+    return along(
+        gold,
+        ["company_id"],
+        ORDER,
+        rank="__position",
+        running={
+            "lifetime_cs_saves": C.flag(F.col("saved_by_cs") == 1),
+            "lifetime_discount_saves": C.flag(F.col("took_discount") == 1),
+            "lifetime_upgrade_saves": C.flag(F.col("upgraded") == 1),
+            "lifetime_abandoned_count": C.flag(F.col("saved_by_abandoning_cancel_flow") == "Y"),
+            "__confirmed": C.flag(F.col("cancel_confirmed") == "Y"),
+        },
+        previous={"__last_day": "initiation_date"},
+    )
+
+
+def behavioural(history: DataFrame) -> DataFrame:
     """Frequency, recency, time of day and screen."""
     counted = trailing_count(
-        gold, ["company_id"], "cancel_flow_start_timestamp", 90 * DAY, "cancel_frequency_90d"
+        history, ["company_id"], "cancel_flow_start_timestamp", 90 * DAY, "cancel_frequency_90d"
     )
-    recent = along(counted, ["company_id"], ORDER, previous={"__last_day": "initiation_date"})
     start = F.col("cancel_flow_start_timestamp")
     weekday = F.dayofweek(start)
-    return recent.withColumns(
+    return counted.withColumns(
         {
             "days_since_last_cancel": F.datediff("initiation_date", "__last_day"),
             "initiation_hour_utc": F.hour(start),
@@ -79,7 +96,7 @@ def behavioural(gold: DataFrame) -> DataFrame:
                 F.col("cancel_flow_screen") == "SaaS Mobile App"
             ),
         }
-    ).drop("__last_day")
+    )
 
 
 def product(df: DataFrame) -> DataFrame:
@@ -129,41 +146,28 @@ def temporal(df: DataFrame) -> DataFrame:
     )
 
 
-def save_history(df: DataFrame) -> DataFrame:
-    """Running outcomes per company, and the labels, which stay NULL until baked.
+def save_history(history: DataFrame) -> DataFrame:
+    """Save rates per company, and the labels, which stay NULL until baked.
 
     ``save_rate_lifetime`` counts the current episode among the confirmed ones and divides by the
     rank less one; ``save_rate_prior`` is the share of earlier episodes that were not confirmed.
     """
-    swept = along(
-        df,
-        ["company_id"],
-        ORDER,
-        rank="__position",
-        running={
-            "lifetime_cs_saves": C.flag(F.col("saved_by_cs") == 1),
-            "lifetime_discount_saves": C.flag(F.col("took_discount") == 1),
-            "lifetime_upgrade_saves": C.flag(F.col("upgraded") == 1),
-            "lifetime_abandoned_count": C.flag(F.col("saved_by_abandoning_cancel_flow") == "Y"),
-            "__confirmed": C.flag(F.col("cancel_confirmed") == "Y"),
-        },
-    )
     rank, earlier = F.col("initiation_rank"), F.col("__position") - 1
     confirmed_before = F.col("__confirmed") - C.flag(F.col("cancel_confirmed") == "Y")
     label = lambda n: F.when(F.col(f"baked_{n}d") == 1, 1 - F.col(f"retained_{n}d"))
-    return swept.withColumns(
+    return history.withColumns(
         {
             "save_rate_lifetime": F.when(rank > 1, (rank - F.col("__confirmed")) / (rank - 1)),
             "save_rate_prior": F.when(earlier > 0, (earlier - confirmed_before) / earlier),
             "churned_31d": label(31),
             "churned_92d": label(92),
         }
-    ).drop("__position", "__confirmed")
+    )
 
 
 def features(gold: DataFrame) -> DataFrame:
     """The feature table: keys, labels and the model's columns."""
-    full = save_history(temporal(engagement(product(behavioural(gold)))))
+    full = temporal(engagement(product(save_history(behavioural(company_history(gold))))))
     return full.select(
         *KEY_COLUMNS, *LABEL_COLUMNS, *BEHAVIOURAL, *PRODUCT, *ENGAGEMENT, *TEMPORAL, *SAVE_HISTORY
     )
@@ -223,7 +227,7 @@ def path_entropy(initiations: DataFrame, events: DataFrame) -> DataFrame:
         pages,
         observation_windows(initiations),
         ["company_id"],
-        "sku",
+        "lane",
         "at",
         "initiation_timestamp",
         "window_end_timestamp",
