@@ -35,8 +35,8 @@ def pr_curve(df: DataFrame, label: str, score: str) -> DataFrame:
         _slot(F.col("__down")),
         running={"tp": F.col("pos"), "predicted": F.col("n")},
     )
-    total = points.agg(F.sum("pos").alias("positives"))
-    rated = swept.join(F.broadcast(total))
+    total = points.agg(F.sum("pos").alias("positives")).first()["positives"]
+    rated = swept.withColumn("positives", F.lit(total).cast("double"))
     f1 = F.try_divide(2 * F.col("tp"), F.col("predicted") + F.col("positives"))
     return rated.select(
         "threshold",

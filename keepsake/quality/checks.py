@@ -195,12 +195,13 @@ def row_parity(
     a: DataFrame, b: DataFrame, tolerance: float = 0.0, labels: tuple[str, str] = ("a", "b")
 ) -> DataFrame:
     """Both row counts, their relative deviation and whether it is tolerated."""
-    n_a = a.agg(F.count(F.lit(1)).alias("rows_a"))
-    n_b = b.agg(F.count(F.lit(1)).alias("rows_b"))
+    tagged = a.select(F.lit(True).alias("of_a")).unionByName(b.select(F.lit(False).alias("of_a")))
+    counts = tagged.agg(
+        F.count_if("of_a").alias("rows_a"), F.count_if(~F.col("of_a")).alias("rows_b")
+    )
     most = F.greatest("rows_a", "rows_b")
     gap = C.safe_divide(F.abs(F.col("rows_a") - F.col("rows_b")), most)
-    # Two frames of exactly one row each.
-    return n_a.join(F.broadcast(n_b)).select(
+    return counts.select(
         F.lit(labels[0]).alias("table_a"),
         F.lit(labels[1]).alias("table_b"),
         "rows_a",
