@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+_SCRATCH: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a scratch folder only in local mode."""
     folder = spark.conf.get(CHECKPOINT_CONF, None)
@@ -21,9 +24,10 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _SCRATCH:
+        _SCRATCH[application] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _SCRATCH[application]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -77,7 +77,7 @@ def insert_once(
         counted = batch.observe(received, F.count(F.lit(1)).alias("rows"))
         fresh = one_per_key(counted, list(keys), list(order))
         if table_exists(spark, path):
-            kept = spark.read.parquet(path).filter(F.col("batch_id") != batch_id)
+            kept = spark.read.parquet(path).filter(F.col("batch_id").cast("long") != batch_id)
             same = [c for c in keys]
             known = kept.select(*[F.col(c).cast(batch.schema[c].dataType).alias(c) for c in same])
             fresh = fresh.join(known, same, "left_anti")
