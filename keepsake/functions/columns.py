@@ -32,9 +32,15 @@ def first_non_blank(*cols: ColumnLike) -> Column:
     return F.coalesce(*[non_blank(c) for c in cols])
 
 
+# Whitespace that makes a name need rewriting.
+_UNEVEN = ("  ", "\t", "\n", "\r", "\f", "\v")
+
+
 def normalize_event(c: ColumnLike) -> Column:
-    """Collapse runs of whitespace and trim."""
-    return F.trim(F.regexp_replace(as_col(c), r"\s+", " "))
+    """Collapse runs of whitespace and trim; the regular expression only runs where it is needed."""
+    c = as_col(c)
+    uneven = reduce(lambda a, b: a | b, [c.contains(w) for w in _UNEVEN])
+    return F.when(uneven, F.trim(F.regexp_replace(c, r"\s+", " "))).otherwise(F.trim(c))
 
 
 def clean_offer_id(c: ColumnLike) -> Column:

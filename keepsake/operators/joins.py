@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +45,9 @@ def salted_join(
     if heavy_rows:
         heavy = F.broadcast(heavy_keys(big, keys, heavy_rows).withColumn("__heavy", F.lit(True)))
         big, small = big.join(heavy, list(keys), "left"), small.join(heavy, list(keys), "left")
-        spread = F.when(F.col("__heavy"), spread).otherwise(F.lit(0).cast("long"))
+        # Rows without a key match nothing, but they too may be many.
+        keyless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        spread = F.when(F.col("__heavy") | keyless, spread).otherwise(F.lit(0).cast("long"))
         every = F.when(F.col("__heavy"), every).otherwise(F.array(F.lit(0).cast("long")))
     salted = big.withColumn(SALT, spread).drop("__heavy")
     repeated = small.withColumn(SALT, F.explode(every)).drop("__heavy")

@@ -68,6 +68,7 @@ def interactions(events: DataFrame) -> DataFrame:
 def in_episodes(initiations: DataFrame, events: DataFrame, slot_seconds: int = HOUR) -> DataFrame:
     """Interactions with the episodes they fall into: one per SKU lane of the company at most."""
     windows = observation_windows(initiations)
+    # Equal rows count once in every measure, so copies are combined before anything is shuffled.
     return assign_to_windows(
         interactions(events).distinct(),
         windows,

@@ -37,6 +37,12 @@ def test_heavy_key_is_split(facts):
     assert [r["k"] for r in heavy] == [1]
 
 
+def test_rows_without_key_survive_a_salted_left_join(spark, dim, same):
+    facts = spark.range(50).selectExpr("IF(id % 2 = 0, NULL, id % 3) AS k", "id")
+    for how in ("left", "left_anti"):
+        same(facts.join(dim, "k", how), J.salted_join(facts, dim, ["k"], how, heavy_rows=5))
+
+
 def test_dimension_join_by_size(facts, dim, same):
     sized = facts.sparkSession.sql("SELECT * FROM VALUES (1L, 'a'), (2L, 'b'), (2L, 'c') AS t(k, name)")
     small = J.dimension_join(facts, sized, ["k"])

@@ -69,7 +69,7 @@ def at(text):
     return dt.datetime.fromisoformat(f"2024-06-{text}")
 
 
-def test_reference_fixture(make, companies, rows):
+def test_three_companies(make, companies, rows):
     events = make(
         (1, "15 14:30:00", START),
         (1, "15 14:35:00", SUCCESS),
