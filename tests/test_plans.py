@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from keepsake.plans import attribution, bronze, engagement, episodes, features, metrics
 from keepsake.schemas import EVENT_FIELDS
+from keepsake.sources.staging import stage
 
 COLUMNS = [f for f in EVENT_FIELDS if f not in ("event_date",)] + ["event_date"]
 SCHEMA = ", ".join(f"{c} string" for c in COLUMNS)
@@ -48,7 +49,7 @@ def make(spark):
                        product="SAAS_CORE", event_date=stamp[:10], **{})
             row.update(fields)
             data.append(tuple(row.get(c) for c in COLUMNS))
-        return spark.createDataFrame(data, SCHEMA)
+        return stage(spark.createDataFrame(data, SCHEMA))
 
     return build
 
@@ -58,7 +59,8 @@ def companies(spark):
     data = [(c, "United States", 0, dt.date(2024, 1, 1)) for c in range(1, 6)]
     data += [(6, "France", 0, dt.date(2024, 1, 1)), (7, "United States", 1, dt.date(2024, 1, 1))]
     data += [(1, "United States", 0, dt.date(2024, 2, 1))]  # a second row for company 1
-    return spark.createDataFrame(data, "company_id long, country string, is_suspicious int, signup_date date")
+    schema = "company_id long, country string, is_suspicious int, signup_date date"
+    return stage(spark.createDataFrame(data, schema))
 
 
 def lazily(df, label):
@@ -166,7 +168,7 @@ def catalog(spark):
         ("O1", "ten off again", '{"primaryCtaAction": "external", "obillOfferId": "\'77\'"}'),
         ("O2", "talk", '{"ctaAction": "contact-us-widget", "ctaText": "Talk"}'),
     ]
-    return spark.createDataFrame(data, "offer_id string, offer_name string, copy_data string")
+    return stage(spark.createDataFrame(data, "offer_id string, offer_name string, copy_data string"))
 
 
 @pytest.fixture
@@ -188,7 +190,8 @@ def tables(spark, make, companies, catalog):
         (5, "15 10:00:00", START),
     )
     found = episodes.initiations(events, companies, cut=lazily)
-    engaged = engagement.offer_engagement(found, events, catalog)
+    found = stage(found)
+    engaged = stage(engagement.offer_engagement(found, events, catalog))
     saves = spark.createDataFrame(
         [
             (3, "2024-06-22", "SaaS Core", "cc1", 1),
