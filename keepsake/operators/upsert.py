@@ -24,6 +24,21 @@ def incremental_window(
     return df.filter(F.col(date_col).between(first, last))
 
 
+def in_partitions_of(df: DataFrame, like: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` in the partitions that occur in ``like``.
+
+    The distinct values of each partition column, as few as the table has folders, become a literal
+    filter, which prunes the scan for certain; the semi join then keeps the exact combinations.
+    """
+    touched = like.select(*partition_cols).distinct()
+    per_column = touched.agg(*[F.collect_set(c).alias(c) for c in partition_cols]).first()
+    for c in partition_cols:
+        values = F.col(c).isin(*per_column[c]) if per_column[c] else F.lit(False)
+        df = df.filter(values | F.col(c).isNull())
+    same = [F.col(f"o.{c}").eqNullSafe(F.col(f"p.{c}")) for c in partition_cols]
+    return df.alias("o").join(touched.alias("p"), same, "left_semi")
+
+
 def _refuse(found: DataFrame, message: str) -> None:
     if not found.isEmpty():
         raise ValueError(message)
@@ -85,8 +100,6 @@ def merge_upsert(
         )
         both = homes(target, "old").join(homes(source, "new"), list(keys))
         _refuse(both.filter("__old <> __new"), "a key would move to another partition")
-    touched = source.select(*partition_cols).distinct()
-    same = [F.col(f"o.{c}").eqNullSafe(F.col(f"p.{c}")) for c in partition_cols]
-    affected = target.alias("o").join(touched.alias("p"), same, "left_semi")
+    affected = in_partitions_of(target, source, partition_cols)
     merged = merged_rows(affected, source, keys, update_cols, insert_only)
     return write_partitions(merged, path, partition_cols, fmt)

@@ -12,25 +12,25 @@ from ..operators.joins import one_per_key
 def bronze_events(raw: DataFrame, start: str, end: str) -> DataFrame:
     """Events of the days ``[start, end]``: resolved company and product, one row per event and day.
 
-    The partition filter reaches the scan. The parsed time is checked again, so that no partition
-    outside the run is ever written; times are compared, since formatting one is far dearer.
+    The partition filter reaches the scan. The day then comes from the parsed time, and the few
+    rows that were filed under a wrong day are dropped, so that no partition outside the run is
+    ever written. That check follows the deduplication: before it, the optimizer would parse every
+    time once more for each comparison.
     """
-    typed = raw.filter(F.col("event_date").between(start, end)).withColumn(
-        "event_timestamp", F.col("event_timestamp").try_cast("timestamp")
-    )
-    first = F.lit(start).cast("timestamp")
-    after = F.lit(end).cast("timestamp") + F.expr("INTERVAL 1 DAY")
-    in_window = typed.filter(
-        (F.col("event_timestamp") >= first) & (F.col("event_timestamp") < after)
-    ).withColumns(
+    at = F.col("event_timestamp").try_cast("timestamp")
+    typed = raw.filter(F.col("event_date").between(start, end)).withColumns(
         {
+            "event_timestamp": at,
+            "event_date": F.date_format(at, "yyyy-MM-dd"),
             "company_id": C.resolve_company_id(),
             "product": C.resolve_product(),
             "event": C.normalize_event("event"),
-            "event_date": F.date_format("event_timestamp", "yyyy-MM-dd"),
         }
     )
-    return one_per_key(in_window, ["event_id", "event_date"], ["event_timestamp"])
+    unique = one_per_key(typed, ["event_id", "event_date"], ["event_timestamp"])
+    first = F.lit(start).cast("timestamp")
+    after = F.lit(end).cast("timestamp") + F.expr("INTERVAL 1 DAY")
+    return unique.filter((F.col("event_timestamp") >= first) & (F.col("event_timestamp") < after))
 
 
 def single_treatment(assignments: DataFrame, start: str, end: str) -> DataFrame:

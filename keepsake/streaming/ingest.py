@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from ..functions import taxonomy as X
 from ..operators.joins import one_per_key
+from ..operators.upsert import in_partitions_of
 from ..schemas import EVENT_SCHEMA, REQUIRED_EVENT_FIELDS
 from ..sources.streams import stream_sink, stream_source
 from ..sources.tables import table_exists, write_partitions
@@ -77,10 +78,14 @@ def insert_once(
         counted = batch.observe(received, F.count(F.lit(1)).alias("rows"))
         fresh = one_per_key(counted, list(keys), list(order))
         if table_exists(spark, path):
-            kept = spark.read.parquet(path).filter(F.col("batch_id").cast("long") != batch_id)
-            same = [c for c in keys]
-            known = kept.select(*[F.col(c).cast(batch.schema[c].dataType).alias(c) for c in same])
-            fresh = fresh.join(known, same, "left_anti")
+            stored = spark.read.parquet(path).filter(F.col("batch_id").cast("long") != batch_id)
+            known = stored.select(
+                *[F.col(c).cast(batch.schema[c].dataType).alias(c) for c in keys]
+            )
+            shared = [c for c in partition_cols if c in keys]
+            if shared:
+                known = in_partitions_of(known, batch, shared)
+            fresh = fresh.join(known, list(keys), "left_anti")
         written = write_partitions(
             fresh.withColumn("batch_id", F.lit(batch_id)), path, [*partition_cols, "batch_id"]
         )

@@ -84,6 +84,20 @@ def test_replayed_batch_replaces_itself(spark, tmp_path, rows):
     assert rows(spark.read.parquet(str(tmp_path / "t")), "event_id", F.col("batch_id").cast("int")) == [("a", 0), ("b", 0)]
 
 
+def test_insert_once_with_the_day_in_the_key(spark, tmp_path, rows):
+    batch = spark.createDataFrame(
+        [("a", T0, "2024-01-01"), ("b", T0, "2024-01-02")],
+        "event_id string, event_timestamp timestamp, event_date string",
+    )
+    write = ingest.insert_once(str(tmp_path / "t"), keys=("event_id", "event_date"))
+    write(batch, 0)
+    write(batch.union(batch.withColumn("event_date", F.lit("2024-01-03"))), 1)
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    assert rows(stored, "event_id", F.col("event_date").cast("string"), F.col("batch_id").cast("int")) == [
+        ("a", "2024-01-01", 0), ("a", "2024-01-03", 1), ("b", "2024-01-02", 0), ("b", "2024-01-03", 1)
+    ]
+
+
 def drain(spark, df, tmp_path, name):
     out = str(tmp_path / name)
     sink = streams.stream_sink(df, out, str(tmp_path / f"ckpt-{name}"), trigger={"availableNow": True})

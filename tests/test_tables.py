@@ -85,6 +85,14 @@ def test_merge_refuses_ambiguity(spark, path, base):
         upsert.merge_upsert(spark, path, base.withColumn("part", F.lit("09")), ["id"], ["part"])
 
 
+def test_merge_reads_only_touched_partitions(spark, path, base, rows):
+    io.write_partitions(base, path, ["part"])
+    found = upsert.in_partitions_of(io.scan(spark, path, schema=base.schema), base.filter("id = 3"), ["part"])
+    assert rows(found) == [(3, "c", "02")]
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [((part" in text and "= 02)" in text
+
+
 def test_incremental_window(spark):
     df = spark.sql("SELECT explode(sequence(DATE '2024-01-01', DATE '2024-01-31')) AS d")
     assert upsert.incremental_window(df, "d", "2024-01-31").count() == 8
