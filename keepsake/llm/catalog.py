@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepsake.llm import decontaminate, packing, sharding, simhash
+from keepsake.llm import decontaminate, packing, quality_rules, sharding, simhash, url_rules
 from keepsake.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,11 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), word_tokenizer(), max_len=2048, end_id=0)
 
 
+@query
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.apply(read(spark, folder, "documents")).drop("rejected_by")
+
+
 @query
 def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.scan(read(spark, folder, "documents"), read(spark, folder, "benchmark"), window=10)
@@ -56,6 +61,11 @@ def op7_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_rules.judge(read(spark, folder, "pages"), read(spark, folder, "labels"))
+
+
 _ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ITEM_WORDS = f"regexp_extract_all({_ASCII_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
@@ -79,3 +89,32 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
 """
+
+# Windows of a text are numbered; one is repeated if the text has it at another place too.
+ORACLE_SQL["op3_quality_rules"] = r"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+cut AS MATERIALIZED (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM texts),
+wins AS (
+  SELECT r, k, array_to_string(words[k : k + 7], ' ') AS win
+  FROM (SELECT r, words, unnest(generate_series(1, len(words) - 7)) AS k FROM cut WHERE len(words) >= 8)),
+again AS (SELECT r, k FROM (SELECT r, k, count(*) OVER (PARTITION BY r, win) AS n FROM wins) WHERE n > 1),
+repeated AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(generate_series(k, k + 7)) AS p FROM again) GROUP BY r),
+counted AS (
+  SELECT doc_id, words, text, lines, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM cut LEFT JOIN repeated USING (r)),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed
+            OR 10 * n_symbols > n_words
+            OR 2 * n_dup_lines > len(lines)
+            OR word_chars < 2 * n_words OR word_chars > 20 * n_words
+            OR 2 * length(regexp_replace(text, '[^\p{Lu}]', '', 'g')) > word_chars
+            OR 5 * len(regexp_extract_all(text, '!!')) > n_words
+            OR 4 * len(list_filter(range(2, n_words + 1), k -> words[k] = words[k - 1])) > n_words) AS kept
+FROM judged
+"""
