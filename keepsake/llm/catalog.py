@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepsake.llm import decontaminate, packing, quality_rules, sharding, simhash, url_rules
+from keepsake.llm import decontaminate, packing, quality_rules, sharding, simhash, suffix_dedup, url_rules
 from keepsake.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,11 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), word_tokenizer(), max_len=2048, end_id=0)
 
 
+@query
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.digest(read(spark, folder, "documents"), length=200)
+
+
 @query
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.apply(read(spark, folder, "documents")).drop("rejected_by")
@@ -95,7 +100,7 @@ ORACLE_SQL["op3_quality_rules"] = r"""
 WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 cut AS MATERIALIZED (
   SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
-         list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM texts),
 wins AS (
   SELECT r, k, array_to_string(words[k : k + 7], ' ') AS win
@@ -115,6 +120,6 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR word_chars < 2 * n_words OR word_chars > 20 * n_words
             OR 2 * length(regexp_replace(text, '[^\p{Lu}]', '', 'g')) > word_chars
             OR 5 * len(regexp_extract_all(text, '!!')) > n_words
-            OR 4 * len(list_filter(range(2, n_words + 1), k -> words[k] = words[k - 1])) > n_words) AS kept
+            OR 4 * len(list_filter(range(2, n_words + 1), lambda k: words[k] = words[k - 1])) > n_words) AS kept
 FROM judged
 """

@@ -8,6 +8,7 @@ rank in the cluster and look their place up. The plan's size depends on ``max_le
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 
@@ -20,16 +21,23 @@ from keepsake.llm.common import kept_by_worker, map_rows, width
 from keepsake.sources.staging import stage
 
 CACHED_WORDS = 400_000
-LONGEST_CACHED = 64
+CACHED_PARTS = 800_000
+LONGEST_CACHED = 48
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
+# Words of these characters are split and put in lower case here as the vocabulary's file says;
+# words with others are left to the tokenizer as they are.
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
 
 class WordTokenizer:
-    """Token ids as little-endian bytes; words seen before are not encoded again.
+    """Token ids as little-endian bytes; words and word parts seen before are not encoded again.
 
     The vocabulary's pre-tokenizer never joins across white space, so the ids of a text are those of
-    its words. Texts with added tokens, or with control characters on which notions of white space
-    differ, are encoded whole. The memory is emptied when it holds ``CACHED_WORDS`` words.
+    its words, and those of a word are those of its parts. Texts with added tokens, or with control
+    characters on which notions of white space differ, are encoded whole. Both memories have a
+    bound and are emptied when they reach it.
     """
 
     def __init__(self, path: str):
@@ -37,29 +45,43 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.added = [t.content for t in self.model.get_added_tokens_decoder().values()]
-        self.whole = [*self.added, "\x1c", "\x1d", "\x1e", "\x1f"]
-        self.known: dict[str, bytes] = {}
+        added = [t.content for t in self.model.get_added_tokens_decoder().values()]
+        self.whole = [*added, "\x1c", "\x1d", "\x1e", "\x1f"]
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.model.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _fresh(self, words: list[str]) -> dict[str, bytes]:
+        split = [_PARTS.findall(w.lower()) if _PLAIN.fullmatch(w) else [w] for w in words]
+        missing = list({p for parts in split for p in parts if p not in self.parts})
+        if len(self.parts) + len(missing) > CACHED_PARTS:
+            self.parts.clear()
+            missing = list({p for parts in split for p in parts})
+        ids = dict(zip(missing, self._encode(missing), strict=True))
+        known = self.parts
+        out = {
+            w: b"".join([ids[p] if p in ids else known[p] for p in parts])
+            for w, parts in zip(words, split, strict=True)
+        }
+        known.update((p, i) for p, i in ids.items() if len(p) <= LONGEST_CACHED)
+        return out
+
     def ids(self, text: str) -> bytes:
         if any(w in text for w in self.whole):
             return self._encode([text])[0]
         words = text.split()
         try:
-            return b"".join(map(self.known.__getitem__, words))
+            return b"".join(map(self.words.__getitem__, words))
         except KeyError:
-            pass
-        missing = [w for w in dict.fromkeys(words) if w not in self.known]
-        fresh = dict(zip(missing, self._encode(missing), strict=True))
-        if len(self.known) + len(fresh) > CACHED_WORDS:
-            self.known.clear()
-        get = self.known.get
-        out = b"".join([fresh[w] if w in fresh else get(w) or self._encode([w])[0] for w in words])
-        self.known.update((w, i) for w, i in fresh.items() if len(w) <= LONGEST_CACHED)
+            known = self.words
+        fresh = self._fresh([w for w in dict.fromkeys(words) if w not in known])
+        out = b"".join([fresh[w] if w in fresh else known[w] for w in words])
+        if len(known) + len(fresh) > CACHED_WORDS:
+            known.clear()
+        known.update((w, i) for w, i in fresh.items() if len(w) <= LONGEST_CACHED)
         return out
 
 
