@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepsake.llm import decontaminate, packing, quality_rules, sharding, simhash, suffix_dedup, url_rules
+from keepsake.llm import (
+    cotraining,
+    decontaminate,
+    html_extract,
+    lattice_lm,
+    packing,
+    quality_rules,
+    sharding,
+    simhash,
+    suffix_dedup,
+    url_rules,
+)
 from keepsake.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +51,13 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.apply(read(spark, folder, "documents")).drop("rejected_by")
 
 
+@query
+def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return lattice_lm.score(read(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.scan(read(spark, folder, "documents"), read(spark, folder, "benchmark"), window=10)
@@ -66,6 +84,18 @@ def op7_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract(read(spark, folder, "pages"))
+
+
+@query
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    model = cotraining.train(docs, read(spark, folder, "labels"))
+    return cotraining.score(docs, model).select("doc_id", "score", "kept")
+
+
 @query
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_rules.judge(read(spark, folder, "pages"), read(spark, folder, "labels"))

@@ -7,6 +7,7 @@ from collections.abc import Callable, Hashable, Iterable, Iterator
 from typing import TypeVar
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -41,6 +42,12 @@ def kept_by_worker(key: Hashable, make: Callable[[], T]) -> T:
     return held[key]
 
 
+def shared_object(spark: SparkSession, value: T) -> Callable[[], T]:
+    """A broadcast of an object of this package's classes, which travel by value as functions do."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: cloudpickle.loads(sent.value)
+
+
 def map_rows(
     df: DataFrame,
     schema: str,

@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from keepsake.llm.common import map_rows
@@ -141,3 +142,25 @@ def digest(scanned: DataFrame) -> DataFrame:
             yield doc_id, n_words, n_hit, len(items), named, n_hit > 0
 
     return map_rows(scanned, RESULT, rows)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, block: int = 200_000) -> DataFrame:
+    """The rows of ``docs``, with all columns, in which no benchmark window occurs."""
+    spark = docs.sparkSession
+    blocks = _blocks(benchmark, window, block)
+    patterns = next(blocks)
+    while patterns is not None:
+        following = next(blocks, None)
+        sent = spark.sparkContext.broadcast(patterns)
+
+        def run(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            tables = searchers(sent.value)
+            for b in batches:
+                texts = map(words_of, b.column("text").to_pylist())
+                free = [not any(next(t.find(words), None) for t in tables) for words in texts]
+                yield b.filter(pa.array(free, pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs if following is None else stage(docs, "clean")
+        patterns = following
+    return docs

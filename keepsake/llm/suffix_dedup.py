@@ -510,3 +510,33 @@ def digest(docs: DataFrame, length: int = 200, **options) -> DataFrame:
             yield doc_id, len(data), sum(b - a for a, b in gone), len(gone), kept
 
     return map_rows(both, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", rows)
+
+
+def deduplicated(docs: DataFrame, length: int = 200, **options) -> DataFrame:
+    """``docs`` without the repeated bytes: all rows and columns, ``text`` cut and ``n_chars`` with it.
+
+    A character of which bytes are gone goes as a whole. Null texts stay null; texts without repeated bytes
+    keep all columns as they were.
+    """
+    both, kept = _with_spans(docs, length, **options)
+    columns = docs.columns
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        expand = zstandard.ZstdDecompressor().decompress
+        for b in batches:
+            cut = [covered(s) for s in b.column("spans").to_pylist()]
+            texts = [
+                None if d is None else kept_bytes(expand(d), c).decode("utf-8", "ignore")
+                for d, c in zip(b.column("__data").to_pylist(), cut, strict=True)
+            ]
+            new = {c: b.column(c) for c in kept}
+            new["text"] = pa.array(texts, pa.string())
+            if "n_chars" in new:
+                old = new["n_chars"]
+                sizes = [len(t) if c else n for t, c, n in zip(texts, cut, old.to_pylist(), strict=True)]
+                new["n_chars"] = pa.array(sizes, old.type)
+            yield pa.RecordBatch.from_arrays([new[c] for c in columns], names=columns)
+
+    return both.mapInArrow(run, docs.schema)
