@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 
 import numpy as np
@@ -31,6 +32,11 @@ _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 _PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
 
+# Byte-level vocabularies write printable bytes as themselves and the others from 256 on, in order.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LETTERS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
+
 class WordTokenizer:
     """Token ids as little-endian bytes; words and word parts seen before are not encoded again.
 
@@ -47,6 +53,7 @@ class WordTokenizer:
         self.model = Tokenizer.from_file(path)
         added = [t.content for t in self.model.get_added_tokens_decoder().values()]
         self.whole = [*added, "\x1c", "\x1d", "\x1e", "\x1f"]
+        self.merges = self.model.model.tokenize
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
@@ -54,35 +61,46 @@ class WordTokenizer:
         found = self.model.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _fresh(self, words: list[str]) -> dict[str, bytes]:
-        split = [_PARTS.findall(w.lower()) if _PLAIN.fullmatch(w) else [w] for w in words]
-        missing = list({p for parts in split for p in parts if p not in self.parts})
-        if len(self.parts) + len(missing) > CACHED_PARTS:
-            self.parts.clear()
-            missing = list({p for parts in split for p in parts})
-        ids = dict(zip(missing, self._encode(missing), strict=True))
-        known = self.parts
-        out = {
-            w: b"".join([ids[p] if p in ids else known[p] for p in parts])
-            for w, parts in zip(words, split, strict=True)
-        }
-        known.update((p, i) for p, i in ids.items() if len(p) <= LONGEST_CACHED)
-        return out
+    def _part(self, part: str) -> bytes:
+        """Ids of a part of a plain word: its UTF-8 bytes, as the vocabulary writes them, to the model."""
+        letters = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return array("I", [t.id for t in self.merges(letters)]).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        parts, out = self.parts, []
+        for p in _PARTS.findall(word.lower()):
+            ids = parts.get(p)
+            if ids is None:
+                ids = self._part(p)
+                if len(p) <= LONGEST_CACHED:
+                    parts[p] = ids
+            out.append(ids)
+        return out[0] if len(out) == 1 else b"".join(out)
 
     def ids(self, text: str) -> bytes:
         if any(w in text for w in self.whole):
             return self._encode([text])[0]
-        words = text.split()
+        words, known = text.split(), self.words
+        found = list(map(known.get, words))
         try:
-            return b"".join(map(self.words.__getitem__, words))
-        except KeyError:
-            known = self.words
-        fresh = self._fresh([w for w in dict.fromkeys(words) if w not in known])
-        out = b"".join([fresh[w] if w in fresh else known[w] for w in words])
-        if len(known) + len(fresh) > CACHED_WORDS:
+            return b"".join(found)
+        except TypeError:  # words not seen before
+            pass
+        if len(known) > CACHED_WORDS:
             known.clear()
-        known.update((w, i) for w, i in fresh.items() if len(w) <= LONGEST_CACHED)
-        return out
+        if len(self.parts) > CACHED_PARTS:
+            self.parts.clear()
+        fresh: dict[str, bytes] = {}
+        for n, ids in enumerate(found):
+            if ids is None:
+                w = words[n]
+                ids = fresh.get(w)
+                if ids is None:
+                    ids = fresh[w] = self._word(w) if _PLAIN.fullmatch(w) else self._encode([w])[0]
+                    if len(w) <= LONGEST_CACHED:
+                        known[w] = ids
+                found[n] = ids
+        return b"".join(found)
 
 
 def tokenizer(path: str) -> WordTokenizer:
