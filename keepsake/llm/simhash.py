@@ -50,13 +50,16 @@ def fingerprint(parts: list[bytes]) -> int:
     return int(np.packbits(counts * np.uint64(2) > np.uint64(len(parts)), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
-    """``docs`` with ``fp``, the fingerprint's 64 bits as a signed long; zero for texts without words."""
-
+def _marks(size: int):
     def marks(texts: list[str | None]) -> list[int]:
         return np.array([fingerprint(shingles(t, size)) for t in texts], np.uint64).view(np.int64).tolist()
 
-    return append_column(docs, "text", "fp", "long", marks)
+    return marks
+
+
+def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
+    """``docs`` with ``fp``, the fingerprint's 64 bits as a signed long; zero for texts without words."""
+    return append_column(docs, "text", "fp", "long", _marks(size))
 
 
 def _syndrome(half: np.ndarray) -> np.ndarray:
@@ -157,18 +160,19 @@ def deduplicated(docs: DataFrame, size: int = 3, threshold: int = 2) -> DataFram
 
     Of several rows with that id (repeated rows) one stays. Groups without an id keep one row each.
     """
-    marked = stage(fingerprints(docs, size), "fingerprints")
-    classes = _classes(marked.select("doc_id", "fp"), threshold)
+    marked = stage(append_column(docs, "text", "__fp", "long", _marks(size)), "fingerprints")
+    light = marked.select("doc_id", F.col("__fp").alias("fp"))
     keepers = (
-        marked.select("doc_id", "fp")
-        .join(classes, "fp")
+        light.join(_classes(light, threshold), "fp")
         .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("component", F.col("doc_id").alias("keeper"), F.col("fp").alias("of"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .groupBy("component", "keeper")
-        .agg(F.min_by("of", "of").alias("of"), F.min_by("rows", "of").alias("rows"))
+        .groupBy("component", F.col("doc_id").alias("__keeper"), "fp")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("component", "__keeper")
+        .agg(F.min_by("fp", "fp").alias("__of"), F.min_by("n", "fp").alias("__rows"))
+        .select("__keeper", "__of", "__rows")
     )
-    kept = marked.join(keepers, (F.col("fp") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("keeper")))
+    kept = marked.join(keepers, (F.col("__fp") == F.col("__of")) & F.col("doc_id").eqNullSafe(F.col("__keeper")))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     # Only the few groups whose keeper is a repeated row are shuffled once more.
-    once = kept.where("rows = 1").select(docs.columns)
-    return once.union(kept.where("rows > 1").dropDuplicates(["of"]).select(docs.columns))
+    once = kept.where("__rows = 1").select(columns)
+    return once.union(kept.where("__rows > 1").dropDuplicates(["__of"]).select(columns))

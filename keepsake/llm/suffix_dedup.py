@@ -38,9 +38,9 @@ from keepsake.sources.staging import stage
 K = 32
 CHUNK = 1 << 19  # starts of windows that one pass over a long text looks at
 RUN_BYTES = 24 << 20
-SAMPLE_TEXTS = 1500
-SAMPLE_KEYS = 20_000
-SEGMENT_BYTES = 16 << 20
+SAMPLE_TEXTS = 1500  # or one for each segment
+SAMPLE_KEYS = 20_000  # or eight for each segment
+SEGMENT_BYTES = 4 << 20
 HEAVY = 4.0
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
@@ -353,23 +353,23 @@ def repeated_spans(docs: DataFrame, length: int = 200, heavy: float = HEAVY, seg
                 yield t0, t1, squeeze(data)
 
     # The bounded sample that places the splitters: texts by least hash of their id.
-    few = wanted.orderBy(F.xxhash64("t0", "t1"), "t0", "t1").limit(SAMPLE_TEXTS)
-    asked = {(r["t0"], r["t1"]): r["hashes"] for r in few.collect()}
     total = wanted.agg(F.sum(F.size("hashes"))).first()[0] or 0
+    segments = segments or max(1, -(-total * (length + length // 2) // SEGMENT_BYTES))
+    few = wanted.orderBy(F.xxhash64("t0", "t1"), "t0", "t1").limit(max(SAMPLE_TEXTS, segments))
+    asked = {(r["t0"], r["t1"]): r["hashes"] for r in few.collect()}
     halves = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
     ids = spark.createDataFrame([(struct.pack("<qq", *t).hex(),) for t in asked], "id string")
     chosen = docs.select("text", F.lower(F.hex(halves)).alias("id")).join(F.broadcast(ids), "id", "left_semi")
     sent = spark.sparkContext.broadcast(asked)
 
     def sampled(taken: Iterable[tuple]) -> Iterator[tuple]:
-        share = max(1, SAMPLE_KEYS // max(1, len(sent.value)))
+        share = max(1, max(SAMPLE_KEYS, 8 * segments) // max(1, len(sent.value)))
         for t0, t1, data in _once(taken):
             keys = [s[0] for s, _, _ in _suffixes(t0, t1, data, set(sent.value[t0, t1]), length)]
             step = max(1, len(keys) // share)
             yield from ((k,) for k in keys[::step])
 
     sample = [r["key"] for r in map_rows(chosen.select("text"), "key binary", sampled).collect()]
-    segments = segments or max(1, min(len(sample), -(-total * (length + length // 2) // SEGMENT_BYTES)))
     seen = Counter(k[:K] for k in sample)
     dense = {k for k, n in seen.items() if n > max(2, heavy * len(sample) / segments)}
     # Splitters cut between anchors, so that a group is merged in one place; heavy groups have their own keys.
