@@ -6,11 +6,11 @@ return the columns of ``documents``.
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keepsake.llm import cotraining, decontaminate, packing, simhash, suffix_dedup
+from keepsake.llm.catalog import word_tokenizer
 from keepsake.llm.common import read
 from keepsake.sources.staging import stage
 
@@ -39,7 +39,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The places of all documents' tokens in sequences of at most 2048."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), max_len=2048, end_id=0)
+    return packing.pack(docs, word_tokenizer(), max_len=2048, end_id=0)
 
 
 STAGES = [
