@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..sources.tables import write_partitions
+from ..sources.tables import partition_columns, rewrite_partitions
+
+SAMPLE_ROWS = 20_000
+MAX_BITS = 12
 
 
 def compact(
@@ -20,47 +23,79 @@ def compact(
     target_mb: int = 128,
     fmt: str = "parquet",
 ) -> int:
-    """Rewrite the partitions selected by ``where`` (over partition columns) into fewer files."""
+    """Rewrite partitions selected by ``where`` (over partition columns) into files of about ``target_mb``.
+
+    File sizes are read from the files; partitions that need no fewer files stay untouched. The
+    partition columns must be all the table has: the stream ingest has its own ``compact_batches``.
+    Returns the rows rewritten.
+    """
+    actual = partition_columns(spark, path)
+    if not partition_cols or list(partition_cols) != actual:
+        raise ValueError(f"{path} is partitioned by {actual}, not by {list(partition_cols)}")
     df = spark.read.format(fmt).load(path)
-    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(advisory)
-    spark.conf.set(advisory, f"{target_mb}m")
-    try:
-        return write_partitions(df if where is None else df.filter(where), path, partition_cols, fmt)
-    finally:
-        spark.conf.set(advisory, before)
-
-
-def _as_number(df: DataFrame, name: str) -> Column:
-    """An order-preserving number: text by its first six bytes, times by seconds."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.substring(name, 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    if isinstance(kind, (T.DateType, T.TimestampNTZType)):
-        return F.unix_seconds(F.col(name).cast("timestamp")).cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(name).cast("double")
-    return F.col(name).cast("double")
-
-
-def z_value(df: DataFrame, cols: Sequence[str], bits: int = 5, error: float = 0.01) -> Column:
-    """Interleaved quantile buckets of the columns: near in all columns means near in the value."""
-    numbers = df.select(*[_as_number(df, c).alias(c) for c in cols])
-    steps = 1 << bits
-    cuts = numbers.approxQuantile(list(cols), [i / steps for i in range(1, steps)], error)
+    if where is not None:
+        df = df.filter(where)
+    files = df.select(
+        *partition_cols, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_size").alias("__size")
+    ).distinct()
+    wanted = F.greatest(F.lit(1), F.ceil(F.sum("__size") / F.lit(target_mb * 1024 * 1024))).cast("int")
+    loose = (
+        files.groupBy(*partition_cols)
+        .agg(F.count(F.lit(1)).alias("__files"), wanted.alias("__wanted"))
+        .filter("__files > __wanted")
+        .drop("__files")
+    )
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"l.{c}")) for c in partition_cols]
+    picked = df.alias("d").join(loose.alias("l"), same).select("d.*", "__wanted")
+
+    def layout(rows: DataFrame) -> DataFrame:
+        part = F.pmod(F.xxhash64(*[c for c in rows.columns if c != "__wanted"]), F.col("__wanted"))
+        return rows.withColumn("__part", part).repartition(*partition_cols, "__part").drop("__part", "__wanted")
+
+    return rewrite_partitions(picked, path, partition_cols, fmt, layout)
+
+
+def cut_points(df: DataFrame, name: str, buckets: int) -> list:
+    """At most ``buckets`` - 1 values that split a bounded sample of the column evenly.
+
+    Any ordered type, on its full value; the sample is random and of ``SAMPLE_ROWS`` rows.
+    """
+    known = df.select(name).filter(F.col(name).isNotNull())
+    sample = sorted(r[0] for r in known.orderBy(F.rand(17)).limit(SAMPLE_ROWS).collect())
+    return sorted({sample[len(sample) * n // buckets] for n in range(1, buckets)}) if sample else []
+
+
+def bucket(name: str, cuts: list, kind) -> Column:
+    """How many cut points are at or below the value, by halving; NULL sorts first."""
+    if not cuts:
+        return F.lit(0)
+    bounds = F.array(*[F.lit(c).cast(kind) for c in cuts])
+    steps = F.array(*[F.lit(1 << b) for b in range(len(cuts).bit_length() - 1, -1, -1)])
+    value = F.col(name)
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: F.when(F.get(bounds, at + step - 1) <= value, at + step).otherwise(at),
+    )
+
+
+def z_value(df: DataFrame, cols: Sequence[str], files: int) -> Column:
+    """Interleaved quantile buckets of the columns: near in all columns means near in the value.
+
+    Each column has as many buckets as there are files (a power of two, at most ``2 ** MAX_BITS``), so
+    the curve is as fine as the layout needs.
+    """
+    bits = min(MAX_BITS, 62 // len(cols), max(1, math.ceil(math.log2(max(2, files)))))
     pieces = []
-    for j, (name, points) in enumerate(zip(cols, cuts)):
-        value = F.coalesce(_as_number(df, name), F.lit(float("-inf")))
-        bounds = F.array(*[F.lit(p) for p in sorted(set(points))])
-        bucket = F.size(F.filter(bounds, lambda p: p <= value))
+    for j, name in enumerate(cols):
+        place = bucket(name, cut_points(df, name, 1 << bits), df.schema[name].dataType)
         for b in range(bits):
-            bit = F.shiftright(bucket, b).bitwiseAND(F.lit(1)).cast("long")
+            bit = F.shiftright(place, b).bitwiseAND(F.lit(1)).cast("long")
             pieces.append(F.shiftleft(bit, b * len(cols) + j))
     return reduce(lambda a, b: a.bitwiseOR(b), pieces)
 
 
-def zorder(df: DataFrame, cols: Sequence[str], files: int, bits: int = 5) -> DataFrame:
+def zorder(df: DataFrame, cols: Sequence[str], files: int) -> DataFrame:
     """Rows range-partitioned and sorted by the interleaved value, so file min/max skip on each."""
-    z = df.withColumn("__z", z_value(df, cols, bits))
+    z = df.withColumn("__z", z_value(df, cols, files))
     return z.repartitionByRange(files, "__z", *cols).sortWithinPartitions("__z").drop("__z")

@@ -1,13 +1,18 @@
-"""MERGE for plain partitioned files: one writer at a time, safe to repeat."""
+"""MERGE for plain partitioned files: one writer at a time, repeatable after a failure.
+
+Plain files have no atomic swap; see ``sources.tables.rewrite_partitions`` for what a lost driver leaves.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import table_exists, write_partitions
+from ..sources.staging import stage
+from ..sources.tables import rewrite_partitions, table_exists, write_partitions
 
 
 def incremental_window(
@@ -82,11 +87,16 @@ def merge_upsert(
 ) -> int:
     """Update matching rows and insert new ones; only the partitions of ``source`` are rewritten.
 
-    Source keys must be unique, and a key must stay in its partition. Both are checked, the second
-    one only where the partition is not part of the key. Returns the rows written.
+    Source keys must be unique and not NULL (a NULL key matches nothing, so it would be inserted
+    again by every merge), and a key must stay in its partition. All are checked, the last one only
+    where the partition is not part of the key. The source is staged, so its plan runs once. Returns the
+    rows written.
     """
+    source = stage(source, "source")
+    unkeyed = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    _refuse(source.filter(unkeyed), f"a source row lacks a key of {list(keys)}")
     doubled = source.groupBy(*keys).count().filter(F.col("count") > 1)
-    _refuse(doubled.dropna(subset=list(keys)), f"several source rows share one key {list(keys)}")
+    _refuse(doubled, f"several source rows share one key {list(keys)}")
     if not table_exists(spark, path):
         return write_partitions(source, path, partition_cols, fmt)
     target = spark.read.format(fmt).load(path)
@@ -102,4 +112,4 @@ def merge_upsert(
         _refuse(both.filter("__old <> __new"), "a key would move to another partition")
     affected = in_partitions_of(target, source, partition_cols)
     merged = merged_rows(affected, source, keys, update_cols, insert_only)
-    return write_partitions(merged, path, partition_cols, fmt)
+    return rewrite_partitions(merged, path, partition_cols, fmt)

@@ -40,3 +40,11 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library made in the shared folder."""
+    if not path.startswith(f"{shared_dir(spark)}/"):
+        raise ValueError(f"{path} is not in the shared folder")
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .staging import drop_path, fresh_path
+
 
 def scan(
     spark: SparkSession,
@@ -61,10 +63,26 @@ def read_version(
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Does ``path`` hold a finished or partitioned table?"""
+    """Does ``path`` hold a table? Leftovers of an aborted write (``_temporary``, hidden folders) are none."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(location):
+        return False
+    return any(not f.getPath().getName().startswith(("_", ".")) for f in files.listStatus(location))
+
+
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Names of the partition folders below ``path``, from one branch of the folder tree."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = location.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.exists(location) and len(files.listStatus(location)) > 0
+    names: list[str] = []
+    while True:
+        folders = [f.getPath() for f in files.listStatus(location) if f.isDirectory()]
+        below = next((f for f in folders if "=" in f.getName() and not f.getName().startswith(("_", "."))), None)
+        if below is None:
+            return names
+        names.append(below.getName().partition("=")[0])
+        location = below
 
 
 def table_bytes(spark: SparkSession, path: str) -> int:
@@ -73,11 +91,13 @@ def table_bytes(spark: SparkSession, path: str) -> int:
     return int(files.getContentSummary(location).getLength())
 
 
-def _write(df: DataFrame, path: str, partition_cols: Sequence[str], fmt: str, how: str) -> int:
+def _write(
+    df: DataFrame, path: str, partition_cols: Sequence[str], fmt: str, how: str, rebalance: bool = True
+) -> int:
     """Write once and take the row count from the write itself, not from a second run."""
     seen = Observation()
     # Rebalancing gathers a partition's rows into few files and still splits a big partition.
-    laid_out = df.hint("rebalance", *partition_cols) if partition_cols else df
+    laid_out = df.hint("rebalance", *partition_cols) if partition_cols and rebalance else df
     counted = laid_out.observe(seen, F.count(F.lit(1)).alias("rows"))
     writer = counted.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", how)
     (writer.partitionBy(*partition_cols) if partition_cols else writer).save(path)
@@ -91,6 +111,31 @@ def write_partitions(
     return _write(df, path, partition_cols, fmt, "dynamic")
 
 
+def rewrite_partitions(
+    df: DataFrame,
+    path: str,
+    partition_cols: Sequence[str],
+    fmt: str = "parquet",
+    layout: Callable[[DataFrame], DataFrame] | None = None,
+) -> int:
+    """Overwrite partitions of a table from which ``df`` itself is computed.
+
+    The new rows are first written aside, in the shared folder, and the table is overwritten from that
+    copy, in the order of files that ``layout`` gives it; the row counts must agree. Plain files have
+    no atomic swap: a driver lost during the
+    overwrite leaves those partitions to be overwritten again from the copy, which is kept then.
+    """
+    aside = fresh_path(df.sparkSession, "rewrite")
+    copied = replace_table(df, aside, fmt=fmt)
+    again = df.sparkSession.read.format(fmt).schema(df.schema).load(aside)
+    laid_out = again if layout is None else layout(again)
+    written = _write(laid_out, path, partition_cols, fmt, "dynamic", rebalance=layout is None)
+    if written != copied:
+        raise RuntimeError(f"{written} of {copied} rows written to {path}; all are in {aside}")
+    drop_path(df.sparkSession, aside)
+    return written
+
+
 def replace_table(
     df: DataFrame, path: str, partition_cols: Sequence[str] = (), fmt: str = "parquet"
 ) -> int:
@@ -98,9 +143,12 @@ def replace_table(
     return _write(df, path, partition_cols, fmt, "static")
 
 
-def month_slices(start: str, end: str) -> list[tuple[str, str]]:
-    """Calendar months of ``[start, end]``, the first and last one clipped."""
+def month_slices(start: str, end: str, whole: bool = False) -> list[tuple[str, str]]:
+    """Calendar months of ``[start, end]``, the first and last one clipped unless ``whole``."""
     first, last = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
+    if whole and first <= last:
+        first = first.replace(day=1)
+        last = last.replace(day=calendar.monthrange(last.year, last.month)[1])
     slices = []
     while first <= last:
         month_end = first.replace(day=calendar.monthrange(first.year, first.month)[1])
@@ -116,9 +164,25 @@ def backfill(
     path: str,
     partition_cols: Sequence[str],
     fmt: str = "parquet",
+    date_col: str | None = None,
 ) -> dict[tuple[str, str], int]:
-    """Run ``step(start, end)`` month by month; a slice can be run again without harm."""
-    return {
-        part: write_partitions(step(*part), path, partition_cols, fmt)
-        for part in month_slices(start, end)
-    }
+    """Run ``step(start, end)`` month by month; a slice can be run again without harm.
+
+    Without ``date_col`` the first and last slice are widened to whole months, as an overwrite replaces whole
+    partitions; partitions must lie within a month then. With ``date_col`` slices stay as asked, and
+    the stored rows of their partitions that are dated outside the slice are written back with them.
+    """
+    out = {}
+    for first, last in month_slices(start, end, whole=date_col is None):
+        rows = step(first, last)
+        if date_col and table_exists(rows.sparkSession, path):
+            stored = rows.sparkSession.read.format(fmt).schema(rows.schema).load(path)
+            day = F.to_date(date_col)
+            outside = (day < F.lit(first).cast("date")) | (day > F.lit(last).cast("date")) | day.isNull()
+            touched = rows.select(*partition_cols).distinct()
+            same = [stored[c].eqNullSafe(touched[c]) for c in partition_cols]
+            kept = stored.filter(outside).join(touched, same, "left_semi").select(*rows.columns)
+            out[first, last] = rewrite_partitions(rows.union(kept), path, partition_cols, fmt)
+        else:
+            out[first, last] = write_partitions(rows, path, partition_cols, fmt)
+    return out

@@ -7,14 +7,17 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructType
 
 from ..functions import taxonomy as X
 from ..operators.joins import one_per_key
 from ..operators.upsert import in_partitions_of
 from ..schemas import EVENT_SCHEMA, REQUIRED_EVENT_FIELDS
 from ..sources.streams import stream_sink, stream_source
-from ..sources.tables import table_exists, write_partitions
+from ..sources.tables import rewrite_partitions, table_exists, write_partitions
+
+
+COMPACTED = -1  # the batch that holds the joined rows of compacted days
 
 
 def parse_events(stream: DataFrame, schema: StructType = EVENT_SCHEMA) -> DataFrame:
@@ -57,7 +60,7 @@ def flow_events(valid: DataFrame, lateness: str = "5 minutes") -> DataFrame:
 
 def insert_once(
     path: str,
-    keys: Sequence[str] = ("event_id",),
+    keys: Sequence[str] = ("event_id", "event_date"),
     partition_cols: Sequence[str] = ("event_date",),
     order: Sequence[str] = ("event_timestamp",),
     ledger: str | None = None,
@@ -66,8 +69,9 @@ def insert_once(
 
     Copies inside the batch are combined map-side; rows already in the table are left out by an
     anti join. Every batch owns its files (a ``batch_id`` partition below the others), so a replay
-    after a failure overwrites its own rows only, and no earlier file is ever rewritten. With the
-    partition columns among the keys the anti join reads only their partitions.
+    after a failure overwrites its own rows only, and no earlier file is ever rewritten. The day is
+    among the keys, so the anti join reads only the days of the batch; a copy that carries another
+    day is another event. ``compact_batches`` joins the batches of old days.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -78,7 +82,7 @@ def insert_once(
         counted = batch.observe(received, F.count(F.lit(1)).alias("rows"))
         fresh = one_per_key(counted, list(keys), list(order))
         if table_exists(spark, path):
-            stored = spark.read.parquet(path).filter(F.col("batch_id").cast("long") != batch_id)
+            stored = spark.read.schema(_stored_schema(batch)).parquet(path).filter(F.col("batch_id") != batch_id)
             known = stored.select(
                 *[F.col(c).cast(batch.schema[c].dataType).alias(c) for c in keys]
             )
@@ -87,7 +91,7 @@ def insert_once(
                 known = in_partitions_of(known, batch, shared)
             fresh = fresh.join(known, list(keys), "left_anti")
         written = write_partitions(
-            fresh.withColumn("batch_id", F.lit(batch_id)), path, [*partition_cols, "batch_id"]
+            fresh.withColumn("batch_id", F.lit(batch_id).cast("long")), path, [*partition_cols, "batch_id"]
         )
         if ledger:
             row = [(int(received.get["rows"]), written, batch_id)]
@@ -97,6 +101,40 @@ def insert_once(
     return write
 
 
+def _stored_schema(batch: DataFrame) -> StructType:
+    """Fields as the batch has them, not as folder names suggest."""
+    return StructType([f for f in batch.schema if f.name != "batch_id"]).add("batch_id", LongType())
+
+
+def compact_batches(
+    spark: SparkSession,
+    path: str,
+    days: Sequence[str],
+    keys: Sequence[str] = ("event_id", "event_date"),
+    order: Sequence[str] = ("event_timestamp",),
+    day_col: str = "event_date",
+) -> int:
+    """Join all batches of some days into the reserved batch ``COMPACTED``; returns its rows.
+
+    Run it for days that no batch is being written to. The joined rows replace the reserved batch first, then the
+    batches they came from are removed. After a failure between the two some rows are stored twice; running
+    it again takes one row per key and ends clean. Later batches and replays find the joined rows as
+    they found the batches.
+    """
+    stored = spark.read.option("basePath", path).parquet(path).filter(F.col(day_col).cast("string").isin(*days))
+    batches = sorted({r[0] for r in stored.select(F.col("batch_id").cast("long")).distinct().collect()})
+    rows = one_per_key(stored.drop("batch_id"), list(keys), list(order))
+    joined = rows.withColumn("batch_id", F.lit(COMPACTED).cast("long"))
+    written = rewrite_partitions(joined, path, [day_col, "batch_id"])
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for day in days:
+        for batch in batches:
+            if batch != COMPACTED:
+                files.delete(hadoop.Path(f"{path}/{day_col}={day}/batch_id={batch}"), True)
+    return written
+
+
 def start_ingest(
     spark: SparkSession,
     kind: str,

@@ -98,6 +98,38 @@ def test_insert_once_with_the_day_in_the_key(spark, tmp_path, rows):
     ]
 
 
+def test_compacted_days_take_further_batches(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    batch = lambda *ids: spark.createDataFrame(
+        [(i, T0, "2024-01-01") for i in ids], "event_id string, event_timestamp timestamp, event_date string"
+    )
+    write = ingest.insert_once(path)
+    for n, ids in enumerate((("a",), ("b", "a"), ("c",))):
+        write(batch(*ids), n)
+    for _ in range(2):
+        assert ingest.compact_batches(spark, path, ["2024-01-01"]) == 3
+    write(batch("c"), 2)  # a replay of a batch that was joined
+    write(batch("c", "d"), 3)
+    stored = spark.read.parquet(path)
+    assert rows(stored, "event_id", F.col("batch_id").cast("int")) == [("a", -1), ("b", -1), ("c", -1), ("d", 3)]
+    assert ingest.compact_batches(spark, path, ["2024-01-01"]) == 4
+
+
+def test_the_anti_join_reads_only_the_days_of_the_batch(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "event_id string, event_timestamp timestamp, event_date string"
+    write = ingest.insert_once(path)
+    write(spark.createDataFrame([("a", T0, "2024-01-01"), ("b", T0, "2024-01-02")], schema), 0)
+    plans = []
+    real = ingest.write_partitions
+    ingest.write_partitions = lambda df, *a: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df, *a)
+    try:
+        write(spark.createDataFrame([("a", T0, "2024-01-02")], schema), 1)
+    finally:
+        ingest.write_partitions = real
+    assert "PartitionFilters" in plans[0] and "event_date" in plans[0].split("PartitionFilters")[1][:200]
+
+
 def drain(spark, df, tmp_path, name):
     out = str(tmp_path / name)
     sink = streams.stream_sink(df, out, str(tmp_path / f"ckpt-{name}"), trigger={"availableNow": True})

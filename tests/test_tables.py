@@ -65,6 +65,31 @@ def test_month_slices_and_backfill(spark, path, base):
     assert list(counts.values()) == [3, 3] and read(spark, path).count() == 6
 
 
+@pytest.mark.parametrize("date_col", [None, "day"])
+def test_a_clipped_slice_keeps_the_rest_of_its_partitions(spark, path, date_col):
+    days = spark.sql("SELECT explode(sequence(DATE '2024-01-01', DATE '2024-02-29')) AS day")
+    days = days.withColumn("month", F.date_format("day", "yyyy-MM"))
+    step = lambda a, b: days.filter(F.col("day").between(F.lit(a).cast("date"), F.lit(b).cast("date")))
+    io.backfill(step, "2024-01-01", "2024-02-29", path, ["month"], date_col=date_col)
+    for _ in range(2):
+        io.backfill(step, "2024-01-10", "2024-02-05", path, ["month"], date_col=date_col)
+    stored = spark.read.schema(days.schema).parquet(path)
+    assert stored.count() == stored.distinct().count() == 60
+
+
+def test_leftovers_of_an_aborted_write_are_no_table(spark, path, base):
+    location = spark._jvm.org.apache.hadoop.fs.Path(path + "/_temporary/0")
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(location)
+    assert not io.table_exists(spark, path)
+    upsert.merge_upsert(spark, path, base, ["id"], ["part"])
+    assert io.table_exists(spark, path) and io.partition_columns(spark, path) == ["part"]
+
+
+def test_merge_refuses_null_keys(spark, path, base):
+    with pytest.raises(ValueError, match="lacks a key"):
+        upsert.merge_upsert(spark, path, base.withColumn("id", F.lit(None).cast("int")), ["id"], ["part"])
+
+
 def test_merge(spark, path, base, rows):
     new = spark.createDataFrame([(2, "B", "01"), (9, "n", "02")], base.schema)
     upsert.merge_upsert(spark, path, base, ["id"], ["part"])  # creates the table
@@ -106,8 +131,11 @@ def test_compact_and_zorder(spark, path, same):
     df.repartition(16).write.partitionBy("part").parquet(path)
     files = lambda: len(spark.read.parquet(path).inputFiles())
     before = files()
-    layout.compact(spark, path, ["part"], F.col("part") == "0")
+    assert layout.compact(spark, path, ["part"], F.col("part") == "0") == 2000
     assert files() < before
+    assert layout.compact(spark, path, ["part"], F.col("part") == "0") == 0  # compact already
+    with pytest.raises(ValueError, match="partitioned by"):
+        layout.compact(spark, path, ["part", "other"])
     read_back = spark.read.schema("id long, a long, b long, part string").parquet(path)
     same(df, read_back)
 
@@ -166,3 +194,14 @@ def test_staging_uses_the_folder_of_the_session(spark, tmp_path, base, same, mon
     same(base, staging.stage(base, "x"))
     assert any((tmp_path / "shared").iterdir())
     spark.conf.unset("spark.keepsake.test.folder")
+
+
+def test_zorder_sees_whole_texts(spark, path):
+    df = spark.range(4000).selectExpr("concat('CancelFlow-', lpad(id * 7919 % 4000, 6, '0')) AS t", "id * 104729 % 4000 AS n")
+    layout.zorder(df, ["t", "n"], files=16).write.parquet(path)
+    back = spark.read.parquet(path)
+    spans = back.groupBy(F.input_file_name()).agg(F.min("t").alias("lo"), F.max("t").alias("hi"))
+    touched = spans.filter(F.lit("CancelFlow-002000").between(F.col("lo"), F.col("hi"))).count()
+    assert spans.count() >= 12 and touched <= 6
+    cuts = layout.cut_points(df, "n", 8)
+    assert len(cuts) == 7 and abs(cuts[3] - 2000) < 200
