@@ -130,10 +130,10 @@ GOLD_CHECKS = [
 IPD_CHECKS = [
     _check(IPD, "engagement", "row_count", "*", "MAJOR", "0"),
     *[
-        _check(IPD, "engagement", "not_null", c, "MAJOR", _count(f"{c} IS NULL"))
+        _check(IPD, "engagement", "not_null", c, "CRITICAL", _count(f"{c} IS NULL"))
         for c in (*IPD_KEY, "viewed_dic_component", "number_of_data_points_shown")
     ],
-    _unique(IPD, "engagement", IPD_KEY, "MAJOR"),
+    _unique(IPD, "engagement", IPD_KEY, "CRITICAL"),
     _check(IPD, "engagement", "in_set", "ipd_type", "MAJOR", _not_in("ipd_type", OFFER_TYPES)),
     *[
         _check(IPD, "engagement", "between", c, "MAJOR", _count(f"{c} < 0 OR {c} > 1"))

@@ -42,14 +42,16 @@ def _first_reaching(counts: DataFrame, unit: str, wanted: int, before: int = 0):
     )
 
 
-def temporal_cutoff(df: DataFrame, ts: str, share: float = 0.8) -> dt.datetime:
-    """The second by which ``share`` of the rows, in time order, has happened.
+def temporal_cutoff(df: DataFrame, ts: str, share: float = 0.8) -> int | None:
+    """The second by which ``share`` of the rows, in time order, has happened; None without rows.
 
     Two small histograms, days and then seconds of one day, instead of a sort of all rows.
     """
     counted = lambda rows, unit: rows.groupBy(unit.alias("u")).agg(F.count(F.lit(1)).alias("n"))
     wanted = int(df.count() * share)
     day = _first_reaching(counted(df, F.to_date(ts)), "u", wanted)
+    if day["u"] is None:
+        return None
     inside = df.filter(F.to_date(ts) == F.lit(day["u"]))
     second = F.unix_seconds(F.col(ts).cast("timestamp"))
     hit = _first_reaching(counted(inside, second), "u", wanted, day["reached"] - day["n"])
@@ -59,6 +61,8 @@ def temporal_cutoff(df: DataFrame, ts: str, share: float = 0.8) -> dt.datetime:
 def temporal_split(df: DataFrame, ts: str, share: float = 0.8) -> DataFrame:
     """Adds ``is_validation``: the rows after the cut-off second."""
     cut = temporal_cutoff(df, ts, share)
+    if cut is None:
+        return df.withColumn("is_validation", F.lit(False))
     return df.withColumn("is_validation", F.unix_seconds(F.col(ts).cast("timestamp")) > F.lit(cut))
 
 

@@ -1,22 +1,17 @@
-"""Joins with a checked broadcast, salted joins and day-window lookups."""
+"""Joins for dimensions, salted joins and day-window lookups."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-BROADCAST_LIMIT = 64 * 1024 * 1024
 SALT = "__salt"
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """Upper size estimate of the optimizer; no job is run."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def heavy_keys(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
     """Keys with more than ``rows`` rows: at most ``total / rows`` of them, so safe to broadcast."""
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
@@ -59,27 +54,32 @@ def dimension_join(
     dim: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
-    limit: int = BROADCAST_LIMIT,
+    heavy_rows: int | None = None,
     salts: int = 16,
 ) -> DataFrame:
-    """Broadcast ``dim`` when its planned size is within ``limit``, else join it salted."""
-    if planned_bytes(dim) <= limit:
-        return fact.join(F.broadcast(dim), list(keys), how)
-    return salted_join(fact, dim, keys, how, salts)
+    """Equi-join with a dimension, without a hint: sizes are known only when the sides have run.
+
+    Adaptive execution broadcasts a side whose measured size is below the session's threshold and
+    splits the partitions that measure as skewed. Give ``heavy_rows`` to salt the keys with more rows
+    beforehand, where adaptive execution is off.
+    """
+    if heavy_rows is not None:
+        return salted_join(fact, dim, keys, how, salts, heavy_rows)
+    return fact.join(dim, list(keys), how)
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = ()) -> DataFrame:
     """First row of each key by ``order``, then by all other columns.
 
-    An aggregate, not a window: copies of a key are combined before the shuffle, however many
-    there are.
+    The planner limits each key to its first row before the shuffle, so a group of copies shrinks
+    on the side where it is read.
     """
-    rest = [c for c in df.columns if c not in keys]
     lead = [F.col(c) if isinstance(c, str) else c for c in order]
-    first = F.min(F.struct(*[c.alias(f"__o{i}") for i, c in enumerate(lead)], *rest))
-    picked = df.groupBy(*keys).agg(first.alias("__row"))
-    by_name = {c: F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in df.columns}
-    return picked.select(*by_name.values())
+    rest = [F.col(c) for c in df.columns if c not in keys]
+    if not lead and not rest:
+        return df.dropDuplicates(list(keys))
+    ranked = Window.partitionBy(*keys).orderBy(*lead, *rest)
+    return df.withColumn("__row", F.row_number().over(ranked)).filter("__row = 1").drop("__row")
 
 
 def flags_on_days(
@@ -130,7 +130,12 @@ def exists_after(
         F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.date_add("__from", d).alias("on"))
                             for n, d in offsets.items()])).alias("__p"),
     ).select(*keys, "__from", "__p.n", F.col("__p.on").alias("__on"))
-    present = snapshots.select(*keys, F.col(snapshot_day).cast("date").alias("__on"))
+    # The bare column is compared with the literal range of wanted days, so partitions are pruned.
+    range_ = wanted.agg(F.min("__on"), F.max("__on")).first()
+    if isinstance(snapshots.schema[snapshot_day].dataType, StringType):
+        range_ = [None if d is None else d.isoformat() for d in range_]
+    snapshots = snapshots.filter(F.col(snapshot_day).between(F.lit(range_[0]), F.lit(range_[1])))
+    present = snapshots.select(*keys, F.col(snapshot_day).try_cast("date").alias("__on"))
     found = (
         wanted.join(present, [*keys, "__on"])
         .groupBy(*keys, "__from")

@@ -18,8 +18,8 @@ DISCOUNT_DAYS = 1
 def support_contacts(episodes: DataFrame, reactive_saves: DataFrame) -> DataFrame:
     """Adds ``contacted_by_cs`` and ``saved_by_cs`` from cases on the day or the 7 days after."""
     cases = reactive_saves.filter(F.col("program").isin(*CS_PROGRAMS)).select(
-        F.col("report_company_id").cast("long").alias("company_id"),
-        F.to_date("report_dt").alias("report_day"),
+        C.numeric_id("report_company_id").alias("company_id"),
+        F.col("report_dt").try_cast("date").alias("report_day"),
         "cc_id",
         "saved_cases",
     )
@@ -27,7 +27,7 @@ def support_contacts(episodes: DataFrame, reactive_saves: DataFrame) -> DataFram
         episodes,
         ["company_id"],
         "initiation_date",
-        cases.filter("report_day IS NOT NULL"),
+        cases.filter("report_day IS NOT NULL AND company_id IS NOT NULL"),
         "report_day",
         CS_DAYS,
         {
@@ -51,7 +51,7 @@ def discount_taken(engagement: DataFrame, offer_history: DataFrame) -> DataFrame
     """Episodes whose shown discount was bought on the day or the day after."""
     shown = discount_shown(engagement).withColumn("day", F.to_date("initiation_timestamp"))
     purchases = offer_history.select(
-        F.col("company_id").cast("long").alias("company_id"),
+        C.numeric_id("company_id").alias("company_id"),
         F.col("offer_id").cast("string").alias("obill_offer_id"),
         F.col("purchase_datetime").try_cast("timestamp").alias("bought"),
     ).withColumn("bought_day", F.to_date("bought"))
@@ -59,7 +59,7 @@ def discount_taken(engagement: DataFrame, offer_history: DataFrame) -> DataFrame
         shown,
         ["company_id", "obill_offer_id"],
         "day",
-        purchases.filter("bought IS NOT NULL"),
+        purchases.filter("bought IS NOT NULL AND company_id IS NOT NULL"),
         "bought_day",
         DISCOUNT_DAYS,
         {"first_bought": F.col("bought")},

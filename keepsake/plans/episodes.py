@@ -46,12 +46,12 @@ def flow_moments(events: DataFrame, kinds: Sequence[str] = MILESTONES) -> DataFr
 def company_dimension(companies: DataFrame) -> DataFrame:
     """One row per company (the earliest sign-up) with a text id for the event side."""
     typed = companies.select(
-        F.col("company_id").cast("long").alias("company_key"),
-        F.to_date("signup_date").alias("signup_date"),
+        C.numeric_id("company_id").alias("company_key"),
+        F.col("signup_date").try_cast("date").alias("signup_date"),
         "country",
         "is_suspicious",
     )
-    unique = one_per_key(typed, ["company_key"], ["signup_date"])
+    unique = one_per_key(typed.filter("company_key IS NOT NULL"), ["company_key"], [F.col("signup_date").asc_nulls_last()])
     return unique.withColumn("company_id", F.col("company_key").cast("string"))
 
 

@@ -45,7 +45,7 @@ def retention(
 ) -> DataFrame:
     """Adds ``baked_Nd`` and ``retained_Nd`` for each horizon."""
     active = status.filter(F.col("open_subscriber") == 1).select(
-        F.col("company_id").cast("long").alias("company_id"), "date_of"
+        C.numeric_id("company_id").alias("company_id"), "date_of"
     )
     offsets = {f"retained_{n}d": n for n in days}
     looked_up = exists_after(

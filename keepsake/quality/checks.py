@@ -172,8 +172,11 @@ def engagement_suite() -> list[Check]:
     )
     return [
         row_count(0),
-        *[not_null(c) for c in (*key, "viewed_dic_component", "number_of_data_points_shown")],
-        unique(*key),
+        *[
+            not_null(c, "CRITICAL")
+            for c in (*key, "viewed_dic_component", "number_of_data_points_shown")
+        ],
+        unique(*key, severity="CRITICAL"),
         in_set("ipd_type", OFFER_TYPES),
         between("viewed_ipd", 0, 1),
         between("clicked_ipd", 0, 1),

@@ -43,13 +43,15 @@ def test_rows_without_key_survive_a_salted_left_join(spark, dim, same):
         same(facts.join(dim, "k", how), J.salted_join(facts, dim, ["k"], how, heavy_rows=5))
 
 
-def test_dimension_join_by_size(facts, dim, same):
-    sized = facts.sparkSession.sql("SELECT * FROM VALUES (1L, 'a'), (2L, 'b'), (2L, 'c') AS t(k, name)")
-    small = J.dimension_join(facts, sized, ["k"])
-    large = J.dimension_join(facts, dim, ["k"])  # a frame of unknown size counts as large
-    same(small, large)
-    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
-    assert "__salt" in plan(large) and "__salt" not in plan(small)
+def test_dimension_join_leaves_sizes_to_the_run(facts, dim, same):
+    spark = facts.sparkSession
+    salted = J.dimension_join(facts, dim, ["k"], heavy_rows=1000)
+    plain = J.dimension_join(facts, dim, ["k"])
+    same(plain, salted)
+    # A frame that explodes far beyond its planned size is not broadcast on that plan's word.
+    wide = spark.range(4).selectExpr("id AS k", "explode(sequence(1, 200000)) AS name")
+    plan = J.dimension_join(facts, wide, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plan and "__salt" in salted._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_one_per_key_takes_first_and_all_keys(spark, rows):
@@ -100,3 +102,16 @@ def test_flags(spark, rows):
     got = flag_pivot(df, ["k"], "kind", {"a": "A", "b": "B"}, {"v_{}": "v", "c_{}": "c"})
     assert rows(got, "k", "v_a", "v_b", "c_a", "c_b") == [(1, 1, 0, 0, 0), (2, 0, 0, 1, 0)]
     assert rows(collapse(df, ["k"], ["kind"]), "k", "kind") == [(1, "B"), (2, "A")]
+
+
+def test_snapshot_partitions_are_pruned(spark, tmp_path):
+    status = spark.sql(
+        "SELECT 1L AS c, explode(sequence(DATE '2024-01-01', DATE '2024-12-31')) AS day"
+    )
+    status.repartition(1).write.partitionBy("day").parquet(str(tmp_path / "s"))
+    stored = spark.read.schema("c long, day date").parquet(str(tmp_path / "s"))
+    base = spark.sql("SELECT 1L AS c, DATE '2024-02-01' AS d")
+    found = J.exists_after(base, ["c"], "d", stored, "day", {"r": 31})
+    assert [r["r"] for r in found.collect()] == [1]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "day" in plan and "2024-03-03" in plan
