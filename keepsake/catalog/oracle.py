@@ -106,7 +106,7 @@ def _not_in(column, values):
 
 
 GOLD_CHECKS = [
-    _check(GOLD, "gold", "row_count", "*", "CRITICAL", "CASE WHEN count(*) < 1000 THEN count(*) ELSE 0 END"),
+    _check(GOLD, "gold", "row_count", "*", "CRITICAL", "CASE WHEN count(*) < 1000000 THEN count(*) ELSE 0 END"),
     *[
         _check(GOLD, "gold", "not_null", c, "CRITICAL", _count(f"{c} IS NULL"))
         for c in ("company_id", "cancel_flow_start_timestamp", "initiation_rank")
@@ -198,14 +198,16 @@ STARTED = f"SELECT event_id, company_id, tm FROM valid_feed WHERE {IS_INITIATION
 CONFIRMED = f"SELECT company_id, tm FROM valid_feed WHERE ({IS_GEN3}) OR ({IS_GEN2}) OR ({IS_GEN1})"
 _MASKED = "regexp_replace(regexp_replace(regexp_replace(c_name, '[A-Z]', 'X', 'g'), " \
     "'[a-z]', 'x', 'g'), '[0-9]', 'n', 'g')"
-_STEP = "CASE event_type " + " ".join(
-    f"WHEN '{k}' THEN '{s}'"
-    for k, s in zip(("signup", "error", "click", "view", "purchase"), STEP_BASELINES)
-) + " END"
-RUNS = f"""SELECT {_STEP} AS step, event_type AS table_name, count(*) AS rows, min(ts) AS started,
-  round(sum(value) / count(*) * 25, 3) AS seconds, 'ok' AS status
-  FROM events GROUP BY CAST(ts AS DATE), event_type"""
-_USUAL = "CASE step " + " ".join(f"WHEN '{s}' THEN {b}.0" for s, b in STEP_BASELINES.items()) + " END"
+# What the steps write: step, table, view, partition columns.
+WRITTEN = (
+    ("step0a_raw_events", "bronze_events", "bronze", "event_date"),
+    ("step0b_ixp_assignments", "ixp_assignments", "clean_assignments", "treatment_name"),
+    ("step1_cancel_initiations", "initiations", "initiations", "product, initiation_year, initiation_month"),
+    ("step2_ipd_engagement", "engagement", "engagement", "product, initiation_year, initiation_month"),
+    ("step3_save_attribution", "attribution", "attribution", "product, initiation_year, initiation_month"),
+    ("step4_final_metrics", "final_metrics", "gold", "product, initiation_year, initiation_month"),
+    ("step5_features", "features", "gold", "product, initiation_year, initiation_month"),
+)
 SAVES = "CAST(sum(CASE WHEN cancel_confirmed = 'N' THEN 1 ELSE 0 END) AS BIGINT)"
 
 
@@ -396,10 +398,20 @@ _SQL: dict[str, str] = {
       WINDOW w AS (PARTITION BY company_id ORDER BY day)""",
     "incremental_window": f"""SELECT {GOLD_KEY}, initiation_date FROM gold
       WHERE initiation_date BETWEEN DATE '2024-03-29' AND DATE '2024-04-05'""",
-    "run_ledger_recent": f"SELECT * FROM ({RUNS}) ORDER BY started DESC, step LIMIT 20",
-    "slow_steps": f"""SELECT *, round(seconds / baseline_seconds, 4) AS ratio
-      FROM (SELECT *, CAST({_USUAL} AS DOUBLE) AS baseline_seconds FROM ({RUNS}))
-      WHERE seconds > 2 * baseline_seconds""",
+    "pipeline_tables": " UNION ALL ".join(
+        f"""SELECT '{table}' AS table_name, count(*) AS partitions, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows
+        FROM (SELECT {keys}, count(*) AS n FROM {view} GROUP BY {keys})"""
+        for _, table, view, keys in WRITTEN
+    ),
+    "run_ledger_recent": " UNION ALL ".join(
+        f"SELECT '{step}' AS step, '{table}' AS table_name, count(*) AS rows, 'ok' AS status FROM {view}"
+        for step, table, view, _ in WRITTEN
+    ),
+    "slow_steps": " UNION ALL ".join(
+        f"SELECT '{step}' AS step, '{table}' AS table_name, 0.0::DOUBLE AS baseline_seconds"
+        for step, table, _, _ in WRITTEN
+        if step in STEP_BASELINES
+    ),
     "dq_report": _report(GOLD_CHECKS + IPD_CHECKS),
     "dq_summary": f"""SELECT *, CASE WHEN severity = 'CRITICAL' AND pass_rate < 0.95 THEN 'P1'
       WHEN severity <> 'CRITICAL' AND pass_rate < 0.99 THEN 'P3' ELSE 'none' END AS alert FROM (

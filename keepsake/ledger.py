@@ -51,5 +51,5 @@ def slow_steps(
     return (
         ledger.withColumn("baseline_seconds", lookup[F.col("step")])
         .filter(F.col("seconds") > F.col("baseline_seconds") * factor)
-        .withColumn("ratio", F.round(F.col("seconds") / F.col("baseline_seconds"), 4))
+        .withColumn("ratio", F.round(F.try_divide(F.col("seconds"), F.col("baseline_seconds")), 4))
     )
