@@ -280,8 +280,9 @@ def extract(pages: DataFrame) -> DataFrame:
         for page_id, url, host, path, html in taken:
             yield page_id, url, host, path, _packed(page_lines(html))
 
-    keys = ["host", "path", "page_id", "url", "lines"]
-    by_url = map_rows(source, _LINES, cut).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # Lines order equal keys only; they are no part of the keys that are sampled for the ranges.
+    keys = ["host", "path", "page_id", "url"]
+    by_url = map_rows(source, _LINES, cut).repartitionByRange(*keys).sortWithinPartitions(*keys, "lines")
     settled = stage(map_rows(by_url, _SETTLED, _in_order), "settled")
     # At most four runs of each partition reach the driver.
     ends: dict[int, list[tuple[int, tuple[str, bytes]]]] = {}
