@@ -832,9 +832,6 @@ def average_precision(spark, folder):
     return rounded(M.average_precision(curve), "average_precision")
 
 
-SMALL_MODEL = ML.ChurnConfig(trees=10, depth=4, folds=3)
-
-
 def _model_columns(rows: DataFrame) -> list[str]:
     return [c for c in features.MODEL_FEATURES if c in rows.columns]
 
@@ -842,7 +839,7 @@ def _model_columns(rows: DataFrame) -> list[str]:
 def _fitted(spark, folder):
     rows = S.temporal_split(S.training_set(tables(spark, folder).features), KEYS[2])
     columns = _model_columns(rows)
-    return ML.train(rows, columns, SMALL_MODEL, validation="is_validation"), rows, columns
+    return ML.train(rows, columns, validation="is_validation"), rows, columns
 
 
 @query
@@ -853,10 +850,32 @@ def churn_scores(spark, folder):
     return ML.score(model, current, t.as_of).select(*KEYS, "score", "risk_tier", "as_of_date")
 
 
+@query
+def model_report(spark, folder):
+    """Train, score the held-out part, and rate the scores."""
+    model, rows, _ = _fitted(spark, folder)
+    made = ML.report(model, rows.filter("is_validation"))
+    return rounded(made, "roc_auc", "average_precision", "f1", "precision", "recall")
+
+
+@query
+def model_invariants(spark, folder):
+    """What holds for any fitted model: one score in [0, 1] for each episode, tiers by the rule."""
+    scored = QUERIES["churn_scores"](spark, folder)
+    keys = tables(spark, folder).gold.select("company_id", "initiation_rank")
+    right = scored.join(keys, ["company_id", "initiation_rank"], "left_semi").count() == scored.count()
+    return scored.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("score").between(0, 1)).alias("scores_in_range"),
+        F.count_if(F.col("risk_tier") == C.risk_tier(F.col("score"))).alias("tiers_by_rule"),
+        F.lit(right).alias("keys_known"),
+    )
+
+
 @query
 def cv_auc(spark, folder):
     rows = S.training_set(tables(spark, folder).features)
-    rated = ML.cross_validate(rows, _model_columns(rows), KEYS, SMALL_MODEL)
+    rated = ML.cross_validate(rows, _model_columns(rows), KEYS)
     return rated.agg(F.avg("roc_auc").alias("mean_auc"), F.stddev_pop("roc_auc").alias("std_auc"))
 
 

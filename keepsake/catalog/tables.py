@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans import attribution, bronze, engagement, episodes, features, metrics
-from ..sources.staging import stage
+from ..sources.staging import drop_path, fresh_path
+from ..sources.tables import write_partitions
 from . import inputs as I
 
 
@@ -18,6 +19,22 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self.paths: list[str] = []
+
+    def stage(self, df: DataFrame, label: str, *partition_cols: str) -> DataFrame:
+        path = fresh_path(self.spark, label)
+        if partition_cols:
+            write_partitions(df, path, partition_cols)
+        else:
+            df.write.parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path).select(df.columns)
+
+    def drop(self) -> None:
+        """Remove the staged files."""
+        for path in self.paths:
+            drop_path(self.spark, path)
+        self.paths.clear()
 
     def raw(self) -> DataFrame:
         return I.raw_events(self.spark, self.folder)
@@ -31,29 +48,29 @@ class Tables:
 
     @cached_property
     def events(self) -> DataFrame:
-        return stage(bronze.bronze_events(self.raw(), I.FIRST_DAY, I.LAST_DAY), "bronze")
+        return self.stage(bronze.bronze_events(self.raw(), I.FIRST_DAY, I.LAST_DAY), "bronze", "event_date")
 
     @cached_property
     def moments(self) -> DataFrame:
-        return stage(episodes.flow_moments(self.events), "moments")
+        return self.stage(episodes.flow_moments(self.events), "moments")
 
     @cached_property
     def initiations(self) -> DataFrame:
         found = episodes.initiations(
             self.events, self.input("companies"), cut=lambda df, label: self.moments
         )
-        return stage(found, "initiations")
+        return self.stage(found, "initiations")
 
     @cached_property
     def engagement(self) -> DataFrame:
-        return stage(
+        return self.stage(
             engagement.offer_engagement(self.initiations, self.events, self.input("offers")),
             "engagement",
         )
 
     @cached_property
     def attribution(self) -> DataFrame:
-        return stage(
+        return self.stage(
             attribution.save_attribution(
                 self.initiations,
                 self.engagement,
@@ -72,11 +89,11 @@ class Tables:
             self.input("subscriber_status"),
             self.as_of,
         )
-        return stage(wide, "metrics")
+        return self.stage(wide, "metrics")
 
     @cached_property
     def features(self) -> DataFrame:
-        return stage(features.features(self.gold), "features")
+        return self.stage(features.features(self.gold), "features")
 
 
 _TABLES: dict[tuple[str, str], Tables] = {}
@@ -90,7 +107,11 @@ def tables(spark: SparkSession, folder: str) -> Tables:
 
 
 def forget() -> None:
-    """Build everything anew on the next use."""
+    """Build everything anew on the next use; the staged files of ended uses go."""
+    for (application, _), held in _TABLES.items():
+        active = SparkSession.getActiveSession()
+        if active is not None and active.sparkContext.applicationId == application:
+            held.drop()
     _TABLES.clear()
 
 

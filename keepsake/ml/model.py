@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import risk_tier
 from ..operators.timeline import along
-from .metrics import roc_auc
+from .metrics import average_precision, best_threshold, pr_curve, roc_auc
 from .split import TARGET, stratified_folds
 
 
@@ -31,6 +31,9 @@ class ChurnConfig:
     positive_weight: float = 3.0
     folds: int = 5
     seed: int = 42
+    # Boosting stops when the validation error falls by less than this share of itself. The published
+    # model waits 50 rounds without any gain instead, which MLlib does not offer.
+    tolerance: float = 0.0001
 
 
 def train(
@@ -57,7 +60,7 @@ def train(
         seed=config.seed,
     )
     if validation:
-        booster = booster.setValidationIndicatorCol(validation)
+        booster = booster.setValidationIndicatorCol(validation).setParams(validationTol=config.tolerance)
     assembler = VectorAssembler(inputCols=list(columns), outputCol="features")
     return Pipeline(stages=[assembler, booster]).fit(weighted)
 
@@ -81,11 +84,16 @@ def cross_validate(
     config: ChurnConfig = ChurnConfig(),
     target: str = TARGET,
 ) -> DataFrame:
-    """ROC-AUC per fold; one training run per fold, each of them distributed."""
+    """ROC-AUC per fold; one training run per fold, each of them distributed.
+
+    The fold after the held-out one tells when boosting stops.
+    """
     dealt = stratified_folds(df, target, keys, config.folds)
     parts = []
     for k in range(config.folds):
-        model = train(dealt.filter(F.col("fold") != k), columns, config, target)
+        others = dealt.filter(F.col("fold") != k)
+        others = others.withColumn("__stop", F.col("fold") == (k + 1) % config.folds)
+        model = train(others, columns, config, target, validation="__stop")
         held_out = model.transform(dealt.filter(F.col("fold") == k)).withColumn("p", probability())
         parts.append(roc_auc(held_out, target, "p").select(F.lit(k).alias("fold"), "roc_auc"))
     rated = parts[0]
@@ -94,6 +102,19 @@ def cross_validate(
     return rated
 
 
+def report(model: PipelineModel, held_out: DataFrame, target: str = TARGET) -> DataFrame:
+    """One row over scored held-out rows: ROC-AUC, average precision and the best threshold."""
+    scored = model.transform(held_out).select(target, F.round(probability(), 4).alias("score"))
+    curve = pr_curve(scored, target, "score")
+    rated = [roc_auc(scored, target, "score"), average_precision(curve), best_threshold(curve)]
+    one, *more = [df.withColumn("__row", F.lit(1)) for df in rated]  # one row each
+    for df in more:
+        one = one.join(df, "__row")
+    return one.select(
+        "roc_auc", "positives", "negatives", "average_precision", "threshold", "f1", "precision", "recall"
+    )
+
+
 def permutation_importance(
     model: PipelineModel, df: DataFrame, columns: Sequence[str], keys: Sequence[str]
 ) -> DataFrame:

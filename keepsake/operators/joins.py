@@ -95,8 +95,10 @@ def flags_on_days(
 
     The facts are reduced to one row per key and day, each is then offered to the ``days + 1`` days
     that can see it, and the join is an equality on (key, day): no range join, no pairs. The
-    measures must be idempotent under regrouping (min, max).
+    measures must be idempotent under regrouping (min, max). Facts of keys that no row has are left
+    out first.
     """
+    facts = facts.join(df.select(*keys).distinct(), list(keys), "left_semi")
     combine = {n: (F.min if n.startswith("first_") else F.max) for n in measures}
     daily = facts.groupBy(*keys, F.col(fact_day).alias("__d")).agg(
         *[combine[n](e).alias(n) for n, e in measures.items()]
