@@ -38,11 +38,19 @@ INLINE = frozenset(
     "strike strong sub sup time tt u var wbr".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert form".split())
-FURNITURE = frozenset(
+# Words of class and id names. A name is furniture if one of its words is, and the others
+# are too or say nothing: "ad-slot", "reader-comments", "cookie_bar", but not "share-price".
+REMARKS = frozenset("comment comments respond reply replies discussion disqus related recommended".split())
+FURNITURE = REMARKS | frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu "
     "sidebar aside footer header masthead topbar toolbar breadcrumb breadcrumbs cookie cookies consent gdpr notice "
     "notices notification alert popup modal overlay newsletter subscribe subscription signup login share sharing social "
-    "related recommended comment comments respond reply replies discussion disqus pagination pager widget".split()
+    "pagination pager widget".split()
+)
+PLAIN = frozenset(
+    "site page main top bottom left right global user users reader readers post article entry side inline google box bar "
+    "slot unit container wrapper wrap list links area section block panel buttons button item items inner outer content "
+    "title thread body author meta text group row col column message first last js big small fixed sticky".split()
 )
 
 _TAG = re.compile(
@@ -52,27 +60,52 @@ _TAG = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]+)))?", re.I)
-_NAMES = re.compile(r"[a-zA-Z]+")
+_NAMES = re.compile(r"[a-z]+")
+_ARTICLE = re.compile(r"<(?:article|main)\b", re.I)
+
+
+def _named(token: str, in_article: bool) -> frozenset[str]:
+    """The furniture words of a class or id name, none if it has other words that say something."""
+    words = frozenset(_NAMES.findall(token.lower()))
+    found = words & FURNITURE
+    if in_article:
+        found -= {"header", "masthead", "banner"}
+    return found if found and words <= FURNITURE | PLAIN else frozenset()
 
 
-def _is_furniture(name: str, attributes: str, in_article: bool) -> bool:
+def _is_furniture(name: str, attributes: str, in_article: bool) -> str:
+    """``no``; ``yes``; or ``shell``: yes, unless it turns out to hold the article."""
     if name in NEVER_TEXT or name == "header" and not in_article:
-        return True
-    if name in ("html", "body", "article", "main") or not attributes:
-        return False
+        return "shell" if name in ("form", "fieldset", "dialog") else "yes"
+    if name in ("html", "body", "main") or not attributes:
+        return "no"
     for m in _ATTRIBUTE.finditer(attributes):
         key = m[1].lower()
         value = (m[2] or m[3] or m[4] or "").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
+            return "yes"
         if key == "role" and value in ROLES:
-            return True
-        # A name of several words counts by its first or last one: "ad-slot", "site-nav", "cookie_bar".
+            return "shell" if value in ("form", "dialog", "alert", "banner") else "yes"
         if key in ("class", "id"):
-            for token in value.split():
-                words = _NAMES.findall(token)
-                if words and (words[0] in FURNITURE or words[-1] in FURNITURE):
-                    return True
+            found = frozenset().union(*(_named(t, in_article) for t in value.split()))
+            if found:
+                return "yes" if found & REMARKS or name == "article" else "shell"
+    return "no"
+
+
+def _holds_article(html: str, at: int, name: str) -> bool:
+    """Does the element opened before ``at`` hold an article element that is none of furniture?"""
+    if not _ARTICLE.search(html, at):
+        return False
+    depth = 1
+    for m in _TAG.finditer(html, at):
+        tag, closing = (m[3] or m[6] or "").lower(), bool(m[2] or m[5])
+        if tag in ("article", "main") and not closing and _is_furniture(tag, m[4] or m[7] or "", False) == "no":
+            return True
+        if tag == name:
+            depth += -1 if closing else 1
+            if not depth:
+                return False
     return False
 
 
@@ -113,7 +146,10 @@ def page_lines(html: str | None) -> list[tuple[bool, str]]:
                 if depth == 0:
                     skipped = ""
             continue
-        if not closing and _is_furniture(name, attributes, article > 0):
+        furniture = "no" if closing else _is_furniture(name, attributes, article > 0)
+        if furniture == "shell" and not article and name not in VOID and _holds_article(html, at, name):
+            furniture = "no"
+        if furniture != "no":
             if name not in INLINE:
                 end_line()
             if alone:

@@ -29,6 +29,22 @@ def test_structure():
     assert text_of("<p>" * 3000 + "deep" + "<i title='>" * 50).startswith("deep")
 
 
+def test_names_of_furniture():
+    inside = "<article><p>text</p>{}</article>"
+    for gone in (
+        '<div class="post-comments-area">x</div>', '<section id="reader-comments"><article>x</article></section>',
+        '<div class="notice">x</div>', '<div role="complementary">x</div>', '<p hidden>x</p>', '<div class="ad ad-1">x</div>',
+        '<div class="box"><article class="comment">x</article></div>',
+    ):
+        assert text_of(inside.format(gone)) == "text", gone
+    for kept in ('<p class="share-price">x</p>', '<div class="entry-header"><h2>x</h2></div>', '<p id="shadow">x</p>'):
+        assert text_of(inside.format(kept)) == "text x", kept
+    shell = '<form id="f"><div class="sidebar-content"><div class="ad">buy</div><article>text</article></div></form>'
+    assert text_of(shell) == "text"
+    assert text_of('<section class="comments"><article>remark</article></section><p>text</p>') == "text"
+    assert text_of('<article>text</article><aside><article>teaser</article></aside>') == "text"
+
+
 def test_common_lines_are_a_longest_common_subsequence():
     rng = random.Random(3)
     for _ in range(300):
