@@ -400,6 +400,7 @@ _SQL: dict[str, str] = {
       WHERE initiation_date BETWEEN DATE '2024-03-29' AND DATE '2024-04-05'""",
     "model_invariants": """SELECT count(*) AS rows, count(*) AS scores_in_range, count(*) AS tiers_by_rule,
       true AS keys_known FROM gold""",
+    "initiations_daily": "SELECT * FROM initiations",
     "pipeline_tables": " UNION ALL ".join(
         f"""SELECT '{table}' AS table_name, count(*) AS partitions, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows
         FROM (SELECT {keys}, count(*) AS n FROM {view} GROUP BY {keys})"""

@@ -614,6 +614,17 @@ def _written(spark, folder) -> tuple[str, str]:
     return t.written
 
 
+@query
+def initiations_daily(spark, folder):
+    """The table of episodes, grown slice by slice with the events of each slice only."""
+    t = tables(spark, folder)
+    moments, path = fresh_path(spark, "moments"), fresh_path(spark, "episodes")
+    for first, last in io.month_slices(I.FIRST_DAY, I.LAST_DAY):
+        part = t.events.filter(F.col("event_date").between(first, last))
+        episodes.initiations_of_slice(spark, part, t.input("companies"), first, moments, path)
+    return _read(spark, path, t.initiations)
+
+
 @query
 def pipeline_tables(spark, folder):
     """Partitions and rows of every table that the steps wrote, read back from the files."""

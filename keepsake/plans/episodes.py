@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -12,7 +12,10 @@ from ..functions import taxonomy as X
 from ..operators.flags import collapse
 from ..operators.joins import dimension_join, one_per_key
 from ..operators.timeline import along, next_times
+from ..operators.upsert import merge_upsert
+from ..schemas import TABLE_PARTITIONS
 from ..sources.staging import stage
+from ..sources.tables import write_partitions
 
 ATTRIBUTES = (
     "product",
@@ -127,7 +130,18 @@ def initiations(
     confirmations are right at the edges; only episodes of ``[start, end]`` are returned. ``cut``
     materialises the few cancel-flow rows once, since several branches read them.
     """
-    moments = cut(flow_moments(events), "moments")
+    return episodes_of(cut(flow_moments(events), "moments"), companies, start, end, match_on, cap)
+
+
+def episodes_of(
+    moments: DataFrame,
+    companies: DataFrame,
+    start: str | None = None,
+    end: str | None = None,
+    match_on: Sequence[str] = ("company_id",),
+    cap: str | None = None,
+) -> DataFrame:
+    """Episodes of the companies in ``moments``, which must hold their whole history."""
     starts = (
         moments.filter(F.col("kind") == "initiation")
         .withColumnRenamed("at", "initiation_timestamp")
@@ -184,3 +198,32 @@ def initiations(
         C.partition_year("initiation_date").alias("initiation_year"),
         C.partition_month("initiation_date").alias("initiation_month"),
     )
+
+
+def initiations_of_slice(
+    spark: SparkSession,
+    events: DataFrame,
+    companies: DataFrame,
+    label: str,
+    moments_path: str,
+    table_path: str,
+    **options,
+) -> int:
+    """Bring the stored table of episodes up to date with one more slice of events; returns rows written.
+
+    ``events`` are those of the slice (a day) only. Their few cancel-flow moments are stored under ``label``,
+    and a slice can be run again. History is carried by that small table: the episodes of the
+    companies that occur in the slice are made anew from all their moments, so ranks go on, the window of an
+    earlier episode ends where the next one starts and a late confirmation reaches its episode; then they are
+    merged into the table by company and time.
+    """
+    fresh = flow_moments(events).withColumn("slice", F.lit(label))
+    if write_partitions(fresh, moments_path, ["slice"]) == 0:
+        return 0
+    stored = spark.read.schema(fresh.schema).parquet(moments_path)
+    touched = stored.filter(F.col("slice") == label).select("company_id").distinct()
+    history = stored.join(touched, "company_id", "left_semi").drop("slice")
+    # A time that two slices hold is one moment.
+    history = stage(one_per_key(history, ["company_id", "at", "kind"]), "history")
+    made = episodes_of(history, companies, **options)
+    return merge_upsert(spark, table_path, made, ["company_id", "initiation_timestamp"], TABLE_PARTITIONS)

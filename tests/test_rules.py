@@ -180,3 +180,35 @@ def test_partition_keys_keep_leading_zero(spark):
     df = spark.createDataFrame([(dt.date(2024, 6, 5),)], "d date")
     got = C.with_partition_keys(df, "d").first()
     assert (got["initiation_year"], got["initiation_month"]) == ("2024", "06")
+
+
+def test_malformed_ids_and_days_do_not_stop_a_job(spark):
+    from keepsake.plans import attribution, episodes, metrics
+
+    companies = spark.createDataFrame(
+        [("7", "2024-01-02", "US", 0), ("x12", "2024-01-02", "US", 0), ("8", "no day", "US", 0), (None, None, "US", 0)],
+        "company_id string, signup_date string, country string, is_suspicious int",
+    )
+    known = {r["company_key"]: r["signup_date"] for r in episodes.company_dimension(companies).collect()}
+    assert set(known) == {7, 8} and known[8] is None
+
+    base = spark.sql("SELECT 7L AS company_id, DATE '2024-02-01' AS initiation_date")
+    cases = spark.createDataFrame(
+        [("7", "2024-02-03", "SaaS Core", 1, 1), ("x12", "2024-02-03", "SaaS Core", 2, 1), ("7", "2024-99-03", "SaaS Core", 3, 1)],
+        "report_company_id string, report_dt string, program string, cc_id int, saved_cases int",
+    )
+    assert [r["saved_by_cs"] for r in attribution.support_contacts(base, cases).collect()] == [1]
+
+    status = spark.createDataFrame(
+        [("7", "2024-03-03", 1), ("x12", "2024-03-03", 1), ("7", "bad", 1)],
+        "company_id string, date_of string, open_subscriber int",
+    )
+    kept = metrics.retention(base, status, F.lit("2024-12-31").cast("date")).first()
+    assert kept["retained_31d"] == 1 and kept["retained_92d"] == 0
+
+
+def test_an_empty_frame_splits(spark):
+    from keepsake.ml import split
+
+    empty = spark.createDataFrame([], "ts timestamp, y int")
+    assert split.temporal_split(empty, "ts").count() == 0
