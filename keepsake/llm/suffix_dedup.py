@@ -38,9 +38,11 @@ from keepsake.sources.staging import stage
 K = 32
 CHUNK = 1 << 19  # starts of windows that one pass over a long text looks at
 RUN_BYTES = 24 << 20
-SAMPLE_TEXTS = 1500  # or one for each segment
-SAMPLE_KEYS = 20_000  # or eight for each segment
-SEGMENT_BYTES = 4 << 20
+# The sample that places the splitters is bounded: by the larger of these and four keys for each segment.
+SAMPLE_TEXTS = 1500
+SAMPLE_KEYS = 20_000
+SEGMENT_BYTES = 4 << 20  # or more, where MAX_SEGMENTS would not hold all
+MAX_SEGMENTS = 100_000
 HEAVY = 4.0
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
@@ -354,8 +356,8 @@ def repeated_spans(docs: DataFrame, length: int = 200, heavy: float = HEAVY, seg
 
     # The bounded sample that places the splitters: texts by least hash of their id.
     total = wanted.agg(F.sum(F.size("hashes"))).first()[0] or 0
-    segments = segments or max(1, -(-total * (length + length // 2) // SEGMENT_BYTES))
-    few = wanted.orderBy(F.xxhash64("t0", "t1"), "t0", "t1").limit(max(SAMPLE_TEXTS, segments))
+    segments = segments or max(1, min(MAX_SEGMENTS, -(-total * (length + length // 2) // SEGMENT_BYTES)))
+    few = wanted.orderBy(F.xxhash64("t0", "t1"), "t0", "t1").limit(max(SAMPLE_TEXTS, segments // 4))
     asked = {(r["t0"], r["t1"]): r["hashes"] for r in few.collect()}
     halves = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
     ids = spark.createDataFrame([(struct.pack("<qq", *t).hex(),) for t in asked], "id string")
@@ -363,7 +365,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, heavy: float = HEAVY, seg
     sent = spark.sparkContext.broadcast(asked)
 
     def sampled(taken: Iterable[tuple]) -> Iterator[tuple]:
-        share = max(1, max(SAMPLE_KEYS, 8 * segments) // max(1, len(sent.value)))
+        share = max(1, max(SAMPLE_KEYS, 4 * segments) // max(1, len(sent.value)))
         for t0, t1, data in _once(taken):
             keys = [s[0] for s, _, _ in _suffixes(t0, t1, data, set(sent.value[t0, t1]), length)]
             step = max(1, len(keys) // share)
