@@ -86,14 +86,14 @@ def cross_validate(
 ) -> DataFrame:
     """ROC-AUC per fold; one training run per fold, each of them distributed.
 
-    The fold after the held-out one tells when boosting stops.
+    The fold after the held-out one tells when boosting stops; with two folds there is none to spare.
     """
     dealt = stratified_folds(df, target, keys, config.folds)
     parts = []
     for k in range(config.folds):
         others = dealt.filter(F.col("fold") != k)
         others = others.withColumn("__stop", F.col("fold") == (k + 1) % config.folds)
-        model = train(others, columns, config, target, validation="__stop")
+        model = train(others, columns, config, target, "__stop" if config.folds > 2 else None)
         held_out = model.transform(dealt.filter(F.col("fold") == k)).withColumn("p", probability())
         parts.append(roc_auc(held_out, target, "p").select(F.lit(k).alias("fold"), "roc_auc"))
     rated = parts[0]
