@@ -2,23 +2,26 @@
 
 Given prefix rules decide first, the longest that fits. Other URLs are judged by mined rules: token
 combinations that go with bad labels often and surely enough. The mined rules are matched through an
-inverted index from token to rules, held as a bounded constant; no row is shuffled to be judged.
+inverted index from token to rules: a constant while the rules are few, where no row is shuffled to be
+judged, else a table that distinct URLs are joined with. No rule is left out for their number.
 """
 
 from __future__ import annotations
 
 import json
 import zlib
+from functools import reduce
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keepsake.llm.common import ascii_lower
+from keepsake.sources.staging import stage
 
 BAD = "=bad"
 SLOTS = 1024
-MAX_RULES = 1000
+MAX_INDEXED = 1000  # rules held as a constant; more are matched as a table
 
 # The given prefix rules.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -82,34 +85,55 @@ def labelled_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return found.join(marked, F.col("number") == F.col("doc_id")).select("url", (F.col("bad") == 1).alias("bad"))
 
 
-def mine(
-    labelled: DataFrame, min_support: float = 0.005, min_confidence: float = 0.75, max_rules: int = MAX_RULES
-) -> list[tuple[tuple[str, ...], float, float]]:
-    """Rules ``tokens -> bad`` as (tokens, confidence, support), strongest first, at most ``max_rules``.
+def mined_rules(labelled: DataFrame, min_support: float = 0.005, min_confidence: float = 0.75) -> DataFrame | None:
+    """Rules ``tokens -> bad`` as (t, confidence, support), ``t`` sorted; none without labelled rows.
 
-    A rule is dropped if a part of its tokens is a rule of at least its confidence. Without labelled
-    rows there are no rules.
+    A rule is dropped if a part of its tokens is a rule of at least its confidence; all others stay.
+    Token sets grow by one a round, and each learns the best rule below it from the sets one smaller,
+    which are all there, as a part of a frequent set is frequent.
     """
     items = tokens(F.col("url"))
     baskets = labelled.select(
         F.when(F.col("bad"), F.concat(items, F.array(F.lit(BAD)))).otherwise(items).alias("items")
     )
     # A third of the pages may share one URL: copies of a basket are mined with the rest, in place.
-    if baskets.limit(1).isEmpty():
-        return []
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    found = (
-        model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD)))
-        .select(F.sort_array("antecedent").alias("t"), "confidence", "support")
-        .orderBy(F.desc("confidence"), F.size("t"), F.desc("support"), "t")
-        .limit(max_rules)
-        .collect()
+    baskets = stage(baskets, "baskets")
+    total = baskets.count()
+    if not total:
+        return None
+    frequent = stage(FPGrowth(itemsCol="items", minSupport=min_support).fit(baskets).freqItemsets, "itemsets")
+    is_bad = F.array_contains("items", BAD)
+    bad = frequent.where(is_bad & (F.size("items") > 1)).select(
+        F.sort_array(F.array_remove("items", BAD)).alias("t"), F.col("freq").alias("both")
     )
-    kept: list[tuple[tuple[str, ...], float, float]] = []
-    for r in found:
-        if not any(set(k[0]) <= set(r["t"]) for k in kept):
-            kept.append((tuple(r["t"]), r["confidence"], r["support"]))
-    return kept
+    sets = stage(
+        bad.join(frequent.where(~is_bad).select(F.sort_array("items").alias("t"), "freq"), "t").select(
+            "t", (F.col("both") / F.col("freq")).alias("confidence"), (F.col("both") / F.lit(total)).alias("support")
+        ),
+        "sets",
+    )
+    is_rule = F.col("confidence") >= min_confidence
+    longest = sets.agg(F.max(F.size("t"))).first()[0] or 0
+    below = sets.where("size(t) = 1").withColumn("below", F.lit(0.0))
+    levels = [below]
+    for size in range(2, longest + 1):
+        best = F.greatest("below", F.when(is_rule, F.col("confidence")).otherwise(0.0))
+        smaller = below.select(F.col("t").alias("part"), best.alias("best"))
+        parts = sets.where(F.size("t") == size).select("*", F.explode("t").alias("x"))
+        parts = parts.select("t", "confidence", "support", F.expr("array_remove(t, x)").alias("part"))
+        found = parts.join(smaller, "part").groupBy("t", "confidence", "support")
+        below = stage(found.agg(F.max("best").alias("below")), "level")
+        levels.append(below)
+    kept = reduce(DataFrame.union, levels).where(is_rule & (F.col("below") < F.col("confidence")))
+    return stage(kept.select("t", "confidence", "support"), "rules")
+
+
+def mine(labelled: DataFrame, **mining) -> list[tuple[tuple[str, ...], float, float]]:
+    """All of ``mined_rules`` as (tokens, confidence, support), strongest first."""
+    found = mined_rules(labelled, **mining)
+    rows = [] if found is None else found.collect()
+    kept = [(tuple(r["t"]), r["confidence"], r["support"]) for r in rows]
+    return sorted(kept, key=lambda r: (-r[1], len(r[0]), -r[2], r[0]))
 
 
 def matches(url: Column, rules: list[tuple[str, ...]]) -> Column:
@@ -145,19 +169,42 @@ def matches(url: Column, rules: list[tuple[str, ...]]) -> Column:
     return F.aggregate(F.sort_array(met), start, step)["found"]
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules=RULES, **mining) -> DataFrame:
+def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """The distinct ``url`` that have all tokens of some rule (``t``), by joins.
+
+    A rule is listed under the token that the fewest rules have, so that common tokens list few.
+    """
+    listed = rules.select("t", F.explode("t").alias("token"))
+    spread = listed.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    index = (
+        listed.join(spread, "token")
+        .groupBy("t")
+        .agg(F.min(F.struct("n", "token"))["token"].alias("token"))
+    )
+    cut = urls.select("url").distinct().select("url", tokens(F.col("url")).alias("has"))
+    met = cut.select("url", "has", F.explode("has").alias("token")).join(index, "token")
+    return met.where(F.size(F.array_except("t", "has")) == 0).select("url").distinct()
+
+
+def judge(pages: DataFrame, labels: DataFrame, rules=RULES, max_indexed: int = MAX_INDEXED, **mining) -> DataFrame:
     """(page_id, host, path, rule, verdict) of every page row.
 
     A URL that no prefix rule fits is blocked if a mined rule matches, else allowed; so are null and
     malformed URLs, which have no tokens. Repeated rows are judged alike; other columns are ignored;
     empty tables give no rows, or no mined rules.
     """
-    mined = [r[0] for r in mine(labelled_urls(pages, labels), **mining)]
+    mined = mined_rules(labelled_urls(pages, labels), **mining)
+    few = [] if mined is None else [tuple(r["t"]) for r in mined.select("t").limit(max_indexed + 1).collect()]
     actions = F.create_map(*[F.lit(x) for action, rule in rules for x in (rule, action)])
     host, path = host_and_path(F.col("url"))
     found = pages.select("page_id", "url", host.alias("host"), path.alias("path")).select(
         "*", prefix_rule(F.col("host"), F.col("path"), rules).alias("rule")
     )
-    learned = F.when(matches(F.col("url"), mined), F.lit("block")).otherwise(F.lit("allow"))
+    if len(few) <= max_indexed:
+        found = found.withColumn("mined", matches(F.col("url"), few))
+    else:
+        blocked = matched(found.where("rule is null"), mined).withColumn("mined", F.lit(True))
+        found = found.join(blocked, "url", "left")
+    learned = F.when(F.col("mined"), F.lit("block")).otherwise(F.lit("allow"))
     verdict = F.when(F.col("rule").isNotNull(), F.try_element_at(actions, F.col("rule"))).otherwise(learned)
     return found.select("page_id", "host", "path", "rule", verdict.alias("verdict"))

@@ -1,5 +1,6 @@
 import random
 import re
+from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,3 +88,40 @@ def test_index_against_brute_force(spark):
 def test_no_python_in_the_plan(mined):
     plan = url_rules.judge(mined[0], mined[1])._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_many_rules_of_one_url_hide_no_other(spark):
+    """A long hot URL gives 2**11 - 1 antecedents of confidence 1.0; the weaker rules stay."""
+    hot = "http://" + ".".join(f"hot{n}" for n in range(10)) + "/{}"
+    urls, labels = [], []
+    for n in range(300):
+        urls.append(hot.format(n) if n < 100 else f"http://pills/buy/{n}" if n < 150 else f"http://fine/buy/{n}")
+        labels.append((n, int(n >= 140), 0))
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    labelled = url_rules.labelled_urls(pages, labels)
+    baskets = [({"scheme http", *(f"host {w}" for w in u[7:].split("/")[0].split("."))} | ({"path buy"} if "/buy/" in u else set()), n < 140)
+               for n, u in enumerate(urls)]
+    every = {}
+    for size in range(1, 13):
+        for held in {frozenset(b) for b, _ in baskets}:
+            for t in combinations(sorted(held), size):
+                n_bad, n = (sum(1 for b, bad in baskets if set(t) <= b and (bad or not only)) for only in (True, False))
+                if n_bad >= 0.005 * 300 and n_bad / n >= 0.75:
+                    every[t] = n_bad / n
+    want = {t: c for t, c in every.items() if not any(set(u) < set(t) and every[u] >= c for u in every)}
+    got = url_rules.mine(labelled)
+    assert {t: c for t, c, _ in got} == want and ("host pills",) in want and len(every) > 2000
+    verdicts = [r[0] for r in url_rules.judge(pages, labels).orderBy("page_id").select("verdict").collect()]
+    assert verdicts == ["block"] * 150 + ["allow"] * 150
+
+
+def test_rules_as_a_table(mined):
+    pages, labels, _ = mined
+    assert len(url_rules.mine(url_rules.labelled_urls(pages, labels), min_support=0.02)) > 0
+    pages = pages.union(pages.limit(9)).unionByName(pages.limit(1).selectExpr("page_id", "cast(null as string) url"))
+    constant, table = (
+        sorted(map(tuple, url_rules.judge(pages, labels, max_indexed=n, min_support=0.02).collect()), key=repr)
+        for n in (url_rules.MAX_INDEXED, 0)
+    )
+    assert table == constant and {r[4] for r in table} == {"block", "allow"}
