@@ -4,8 +4,8 @@ A page is cut into text lines at block elements; what is never text (scripts, fo
 the like, by element, role or class) is left out. Pages of a host are sorted by URL path; each is
 aligned with the nearest one, the page before it that differs (the first with the one after), by a longest common
 subsequence of lines, and shared lines are deleted as page furniture. Lines inside an article element
-are safe from deletion, as neighbouring pages may carry the same passages; where there is such an
-element, lines outside it go.
+are safe from deletion, as neighbouring pages may carry the same passages. Only where a host has no
+other page to tell furniture by, and there is such an element, all lines outside it go.
 
 Pages meet by a range partitioning over (host, path), so a host of any size spreads; a page whose
 neighbour is in another partition is settled afterwards from the partitions' first and last pages.
@@ -205,13 +205,11 @@ def common_lines(a: list[str], b: list[str]) -> set[int]:
 
 def main_text(lines: list[tuple[bool, str]], nearest: list[tuple[bool, str]] | None) -> str:
     """Lines that are left once those shared with the nearest page are deleted, joined by spaces."""
-    shared: set[int] = set()
-    if nearest is not None:
-        shared = common_lines([t for _, t in lines], [t for _, t in nearest])
-    has_article = any(inside for inside, _ in lines)
-    return " ".join(
-        text for n, (inside, text) in enumerate(lines) if inside or not has_article and n not in shared
-    )
+    if nearest is None:
+        has_article = any(inside for inside, _ in lines)
+        return " ".join(text for inside, text in lines if inside or not has_article)
+    shared = common_lines([t for _, t in lines], [t for _, t in nearest])
+    return " ".join(text for n, (inside, text) in enumerate(lines) if inside or n not in shared)
 
 
 def _packed(lines: list[tuple[bool, str]]) -> bytes:

@@ -109,6 +109,13 @@ def test_furniture_is_what_neighbours_share(spark, parts):
     assert got == expected(rows)
 
 
+def test_text_beside_an_article_stays_unless_shared(spark):
+    rows = [(n, f"http://a.org/{n}", page(n, f"<p>body {n}</p><article>teaser</article>")) for n in range(4)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(df).collect()}
+    assert got == {n: f"body {n} teaser" for n in range(4)}
+
+
 def test_nothing(spark):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert html_extract.extract(empty).count() == 0
