@@ -16,6 +16,7 @@ from __future__ import annotations
 import html as entities
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 from pyspark import TaskContext
@@ -37,6 +38,22 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr".split()
 )
+# Start tags that end an open p; table parts and items end their kind, and what stands in them.
+ENDS_P = frozenset(
+    "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 "
+    "h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul".split()
+)
+_TABLE = frozenset(["table"])
+_LISTS = frozenset("ul ol menu".split())
+#: For each of these start tags the elements within which it belongs to them, not to what is outside.
+HOLDERS = {
+    **dict.fromkeys(("li",), _LISTS),
+    **dict.fromkeys(("dd", "dt"), frozenset(["dl"])),
+    **dict.fromkeys(("td", "th"), _TABLE | {"tr"}),
+    **dict.fromkeys(("tr",), _TABLE | {"tbody", "thead", "tfoot"}),
+    **dict.fromkeys(("tbody", "thead", "tfoot"), _TABLE),
+}
+UNCLOSED = frozenset("p li dd dt td th tr".split())
 ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert form".split())
 # Words of class and id names. A name is furniture if one of its words is, and the others
 # are too or say nothing: "ad-slot", "reader-comments", "cookie_bar", but not "share-price".
@@ -93,16 +110,50 @@ def _is_furniture(name: str, attributes: str, in_article: bool) -> str:
     return "no"
 
 
-def _holds_article(html: str, at: int, name: str) -> bool:
+class _Skipped:
+    """An element that may go without its end tag, read on until it is over."""
+
+    def __init__(self, name: str, around: Counter) -> None:
+        self.inside, self.around = [name], around
+
+    def over(self, tag: str, closing: bool) -> str:
+        """``no``; ``closed`` by this tag; or ``before`` it, which belongs to what is around."""
+        if tag in INLINE or tag in VOID and tag != "hr":
+            return "no"
+        if closing:
+            for n in range(len(self.inside) - 1, -1, -1):
+                if self.inside[n] == tag:
+                    del self.inside[n:]
+                    return "no" if self.inside else "closed"
+            return "before" if tag != "p" and self.around[tag] > 0 else "no"
+        if tag in HOLDERS:
+            if HOLDERS[tag].isdisjoint(self.inside):
+                return "before"
+        elif tag in ENDS_P and self.inside[0] == "p" and len(self.inside) == 1:
+            return "before"
+        if tag not in VOID:
+            self.inside.append(tag)
+        return "no"
+
+
+def _after_raw(html: str, at: int, name: str) -> int:
+    end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
+    return end.end() if end else len(html)
+
+
+def _holds_article(html: str, at: int, name: str, around: Counter) -> bool:
     """Does the element opened before ``at`` hold an article element that is none of furniture?"""
     if not _ARTICLE.search(html, at):
         return False
     depth = 1
+    unclosed = _Skipped(name, around) if name in UNCLOSED else None
     for m in _TAG.finditer(html, at):
         tag, closing = (m[3] or m[6] or "").lower(), bool(m[2] or m[5])
+        if unclosed and tag and unclosed.over(tag, closing) != "no":
+            return False
         if tag in ("article", "main") and not closing and _is_furniture(tag, m[4] or m[7] or "", False) == "no":
             return True
-        if tag == name:
+        if tag == name and not unclosed:
             depth += -1 if closing else 1
             if not depth:
                 return False
@@ -116,6 +167,8 @@ def page_lines(html: str | None) -> list[tuple[bool, str]]:
     held: list[str] = []
     article = 0
     skipped, depth = "", 0
+    unclosed: _Skipped | None = None
+    around: Counter = Counter()  # open elements outside of what is skipped
 
     def end_line() -> None:
         text = " ".join(entities.unescape("".join(held)).split())
@@ -140,14 +193,23 @@ def page_lines(html: str | None) -> list[tuple[bool, str]]:
             continue
         closing, attributes = bool(m[2] or m[5]), m[4] or m[7] or ""
         alone = name in VOID or attributes.endswith("/") and name in ("svg", "path", "use")
-        if skipped:
+        if unclosed:
+            ended = "no" if alone and name not in VOID else unclosed.over(name, closing)
+            if ended == "no" and name in RAW and not closing:
+                at = _after_raw(html, at, name)
+                unclosed.over(name, True)
+            if ended != "no":
+                skipped, unclosed = "", None
+            if ended != "before":
+                continue
+        elif skipped:
             if name == skipped and not alone:
                 depth += -1 if closing else 1
                 if depth == 0:
                     skipped = ""
             continue
         furniture = "no" if closing else _is_furniture(name, attributes, article > 0)
-        if furniture == "shell" and not article and name not in VOID and _holds_article(html, at, name):
+        if furniture == "shell" and not article and name not in VOID and _holds_article(html, at, name, around):
             furniture = "no"
         if furniture != "no":
             if name not in INLINE:
@@ -155,14 +217,15 @@ def page_lines(html: str | None) -> list[tuple[bool, str]]:
             if alone:
                 continue
             if name in RAW:
-                end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
-                at = end.end() if end else len(html)
+                at = _after_raw(html, at, name)
                 continue
             skipped, depth = name, 1
+            unclosed = _Skipped(name, around) if name in UNCLOSED else None
             continue
         if name in INLINE:
             continue
         end_line()
+        around[name] = max(0, around[name] + (-1 if closing else 1))
         if name in ("article", "main"):
             article = max(0, article + (-1 if closing else 1))
     end_line()

@@ -45,6 +45,24 @@ def test_names_of_furniture():
     assert text_of('<article>text</article><aside><article>teaser</article></aside>') == "text"
 
 
+def test_skipped_elements_without_end_tags():
+    for html, left in (
+        ('<article><p class="notice">ad <b>x</b><p>text</article>end', "text"),
+        ('<article><p class="notice">ad<div>text</div></article>', "text"),
+        ('<article>text<div><p class="notice">ad</div>more</article>', "text more"),
+        ('<p class="notice">ad<article>text</article>', "text"),
+        ('<article><ul><li class="ad">ad<ul><li>ad</ul>ad<li>text<li class="ad">ad</ul>more</article>', "text more"),
+        ('<article><ul><li class="ad"><p>ad<div>ad</div></p>ad</b></li>text</ul></article>', "text"),
+        ('<article><ul><li>a<p class="notice">ad<li>b</ul></article>', "a b"),
+        ('<article><dl><dt class="ad">ad<dd>a<dd class="ad">ad<dt>b</dl>c</article>', "a b c"),
+        ('<article><table><tr class="ad"><td>ad<table><tr><td>ad</table>ad<tr><td>a<td class="ad">ad<th>b</table>c</article>', "a b c"),
+        ('<article><table><tr><td class="ad">ad<tbody><tr><td>a</table></article>', "a"),
+        ('<article><p class="notice">ad<script>var t="</article><div>";</script>ad<p>text</article>', "text"),
+        ('<article><p class="notice">ad</p>text</article>', "text"),
+    ):
+        assert text_of(html) == left, html
+
+
 def test_common_lines_are_a_longest_common_subsequence():
     rng = random.Random(3)
     for _ in range(300):
