@@ -4,9 +4,9 @@ Each is a logistic regression. Over some rounds each marks the unlabelled texts
 learns from those marks. Both are then calibrated on labelled rows they did not learn from, and
 their log odds are added. A document is good if it is labelled of quality and not toxic.
 
-Learning sees a bounded sample (``MAX_LABELLED`` labelled and ``MAX_POOL`` unlabelled documents, by least
-hash of the id), of which only features reach the driver; scoring reads every document once, with a
-model of fixed size.
+Learning sees at most ``MAX_LABELLED`` labelled documents, by least hash of the id. Every round each view
+reads all other documents in the cluster, and the ``PER_ROUND`` surest of all of each class are marked; only
+features of labelled and marked ones reach the driver. Models are of fixed size.
 """
 
 from __future__ import annotations
@@ -24,9 +24,9 @@ from pyspark.sql.types import BooleanType, DoubleType, StructType
 
 from keepsake.llm.common import READ_ROWS, map_rows, shared_object
 from keepsake.llm.decontaminate import words_of
+from keepsake.sources.staging import stage
 
 MAX_LABELLED = 6000
-MAX_POOL = 2000
 ROUNDS = 3
 SURE = 0.98
 PER_ROUND = 150
@@ -164,17 +164,71 @@ class Model:
 
 def _features(docs: DataFrame) -> DataFrame:
     def rows(taken: Iterable[tuple]) -> Iterator[tuple]:
-        for doc_id, text, lang, source, n_chars in taken:
-            yield doc_id, text_slots(text), shapes(text), meta_slots(lang, source, n_chars)
+        for doc_id, mark, text, lang, source, n_chars in taken:
+            yield doc_id, mark, text_slots(text), shapes(text), meta_slots(lang, source, n_chars)
 
-    return map_rows(docs, "doc_id long, slots array<int>, shapes array<double>, meta array<int>", rows, 200)
+    inputs = ["text", "lang", "source", F.col("n_chars").cast("long").alias("n_chars")]
+    picked = docs.where("doc_id is not null").select("doc_id", *inputs)
+    marked = picked.select("doc_id", F.xxhash64("text", "lang", "source", "n_chars").alias("mark"), *picked.columns[1:])
+    return map_rows(marked, "doc_id long, mark long, slots array<int>, shapes array<double>, meta array<int>", rows, 200)
 
 
-def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL) -> Model:
+def _picked(features: DataFrame, ids: Iterable[int]) -> list[tuple]:
+    """(doc_id, slots, shapes, meta) by id. Copies of one id are one row, whichever has the smallest mark."""
+    wanted = features.sparkSession.createDataFrame([(d,) for d in ids], "doc_id long")
+    one = (
+        features.join(F.broadcast(wanted), "doc_id", "left_semi")
+        .groupBy("doc_id")
+        .agg(F.min_by(F.struct("slots", "shapes", "meta"), "mark").alias("d"))
+        .select("doc_id", "d.*")
+    )
+    return sorted(map(tuple, one.collect()))
+
+
+def _odds(features: DataFrame, views: dict[str, View]) -> DataFrame:
+    """(doc_id, text, meta): the log odds of both views, one row an id."""
+    sent = shared_object(features.sparkSession, views)
+
+    def flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        ends = lists.offsets.to_numpy()
+        return np.diff(ends), lists.values.to_numpy()[ends[0] : ends[-1]]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = sent()
+        for b in batches:
+            out = [b.column("doc_id"), b.column("mark")]
+            for name, source in (("text", "slots"), ("meta", "meta")):
+                view = held[name]
+                sizes, slots = flat(b.column(source))
+                row = np.repeat(np.arange(b.num_rows), sizes)
+                raw = view.bias + np.bincount(row, view.slots[slots], b.num_rows)
+                if len(view.dense):
+                    raw += (flat(b.column("shapes"))[1].reshape(b.num_rows, -1) * view.dense).sum(1)
+                out.append(pa.array(view.slope * raw + view.shift))
+            yield pa.RecordBatch.from_arrays(out, ["doc_id", "mark", "text", "meta"])
+
+    odds = features.mapInArrow(run, "doc_id long, mark long, text double, meta double")
+    return odds.groupBy("doc_id").agg(F.min_by(F.struct("text", "meta"), "mark").alias("o")).select("doc_id", "o.*")
+
+
+def surest(features: DataFrame, views: dict[str, View], used: set[int]) -> list[tuple[str, float, list[int]]]:
+    """(teacher, mark, ids): of all documents but the ``used`` those each view is surest of, surest first."""
+    gone = features.sparkSession.createDataFrame([(d,) for d in used], "doc_id long")
+    sure = math.log(SURE / (1 - SURE))
+    rest = _odds(features, views).join(F.broadcast(gone), "doc_id", "left_anti")
+    rest = stage(rest.where((F.abs("text") >= sure) | (F.abs("meta") >= sure)), "odds")
+    out = []
+    for teacher in ("text", "meta"):
+        for mark, odds in ((1.0, F.col(teacher)), (0.0, -F.col(teacher))):
+            first = rest.where(odds >= sure).orderBy(odds.desc(), "doc_id").limit(PER_ROUND)
+            out.append((teacher, mark, [r["doc_id"] for r in first.select("doc_id").collect()]))
+    return out
+
+
+def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Model:
     """Co-trained, calibrated views. Labels without an id or a quality are left out; of copies of a
     label the worst counts. Without labels of both kinds everything is good.
     """
-    spark = docs.sparkSession
     by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
     marked = (
         labels.where("doc_id is not null and quality is not null")
@@ -184,23 +238,11 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
         .limit(max_labelled)
     )
     good = {r["doc_id"]: float(r["good"]) for r in marked.collect()}
-    ids = docs.where("doc_id is not null").select("doc_id").distinct().orderBy(*by_hash)
-    pool = [r["doc_id"] for r in ids.limit(max_pool + max_labelled).collect()]
-    asked = [*good, *[d for d in pool if d not in good][:max_pool]]
-    wanted = spark.createDataFrame([(d,) for d in asked], "doc_id long")
-    picked = docs.select("doc_id", "text", "lang", "source", F.col("n_chars").cast("long").alias("n_chars"))
-    # Copies of one id are one row, whichever has the smallest text hash.
-    one = (
-        picked.join(F.broadcast(wanted), "doc_id", "left_semi")
-        .groupBy("doc_id")
-        .agg(F.min_by(F.struct("text", "lang", "source", "n_chars"), F.xxhash64("text", "lang", "source")).alias("d"))
-        .select("doc_id", "d.*")
-    )
-    held = sorted(map(tuple, _features(one).collect()))
-    learn, check, pool_rows = [], [], []
-    for row in held:
-        to = pool_rows if row[0] not in good else check if zlib.crc32(b"%d" % row[0]) % 4 == 0 else learn
-        to.append(row)
+    # A round needs odds of all documents; words are cut once.
+    features = stage(_features(docs), "features")
+    learn, check = [], []
+    for row in _picked(features, good):
+        (check if zlib.crc32(b"%d" % row[0]) % 4 == 0 else learn).append(row)
 
     def rows_of(picked: list[tuple], view: str) -> Rows:
         if view == "text":
@@ -211,26 +253,20 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     tests = {v: rows_of(check, v) for v in ("text", "meta")}
     sizes = {"text": (TEXT_SLOTS, SHAPES), "meta": (META_SLOTS, 0)}
     views = {v: calibrate(fit(sets[v], *sizes[v]), tests[v]) for v in sets}
-    open_rows = pool_rows
+    used = set(good)
     for _ in range(ROUNDS):
-        taken: set[int] = set()
-        for teacher, pupil in (("text", "meta"), ("meta", "text")):
-            odds = [
-                views[teacher].log_odds(*((r[1], r[2]) if teacher == "text" else (r[3], []))) for r in open_rows
-            ]
-            sure = math.log(SURE / (1 - SURE))
-            for mark, order in ((1.0, sorted(range(len(odds)), key=lambda k: -odds[k])), (0.0, sorted(range(len(odds)), key=lambda k: odds[k]))):
-                for k in order[:PER_ROUND]:
-                    if (odds[k] if mark else -odds[k]) < sure:
-                        break
-                    r = open_rows[k]
-                    sets[pupil].slots.append(r[1] if pupil == "text" else r[3])
-                    sets[pupil].dense.append(r[2] if pupil == "text" else [])
-                    sets[pupil].good.append(mark)
-                    taken.add(r[0])
+        marked_now = surest(features, views, used)
+        taken = {d for _, _, ids in marked_now for d in ids}
         if not taken:
             break
-        open_rows = [r for r in open_rows if r[0] not in taken]
+        rows = {r[0]: r for r in _picked(features, taken)}
+        for teacher, mark, ids in marked_now:
+            pupil = "meta" if teacher == "text" else "text"
+            for r in map(rows.get, ids):
+                sets[pupil].slots.append(r[1] if pupil == "text" else r[3])
+                sets[pupil].dense.append(r[2] if pupil == "text" else [])
+                sets[pupil].good.append(mark)
+        used |= taken
         views = {v: calibrate(fit(sets[v], *sizes[v]), tests[v]) for v in sets}
     share = (sum(good.values()) + 1) / (len(good) + 2)
     return Model(views["text"], views["meta"], math.log(share / (1 - share)))

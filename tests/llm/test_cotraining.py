@@ -28,6 +28,36 @@ def test_held_out_accuracy(spark):
     assert len(wrong) <= 6
 
 
+def test_rounds_take_the_surest_of_all_documents(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [made(rng, n, n % 4 == 0) for n in range(3600)]
+    docs = spark.createDataFrame(rows + rows[700:720], SCHEMA)
+    labels = spark.createDataFrame([(n, int(n % 4 != 0), 0) for n in range(600)], "doc_id long, quality int, toxic int")
+    learned, views = [], []
+
+    def fit(rows, *sizes, of=cotraining.fit):
+        learned.append(list(rows.slots))
+        return of(rows, *sizes)
+
+    def calibrate(view, rows, of=cotraining.calibrate):
+        views.append(of(view, rows))
+        return views[-1]
+
+    monkeypatch.setattr(cotraining, "fit", fit)
+    monkeypatch.setattr(cotraining, "calibrate", calibrate)
+    monkeypatch.setattr(cotraining, "ROUNDS", 1)
+    cotraining.train(docs, labels)
+    meta = {r[0]: cotraining.meta_slots(r[2], r[3], r[4]) for r in rows[600:]}
+    text = {r[0]: cotraining.text_slots(r[1]) for r in rows[600:]}
+    odds = {r[0]: views[0].log_odds(text[r[0]], cotraining.shapes(r[1])) for r in rows[600:]}
+    sure = np.log(cotraining.SURE / (1 - cotraining.SURE))
+    want = []
+    for sign in (1, -1):
+        first = sorted(odds, key=lambda d: (-sign * odds[d], d))[: cotraining.PER_ROUND]
+        want += [meta[d] for d in first if sign * odds[d] >= sure]
+    assert len(want) > 200 and learned[3][len(learned[1]) :] == want
+
+
 def test_odd_rows_are_scored(spark, docs, corpus, no_docs):
     labels = spark.createDataFrame([(n, n % 2, 0) for n in range(40)], "doc_id long, quality int, toxic int")
     model = cotraining.train(docs, labels)
