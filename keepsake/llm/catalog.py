@@ -13,6 +13,7 @@ from keepsake.llm import (
     html_extract,
     lattice_lm,
     packing,
+    piece_codec,
     quality_rules,
     sharding,
     simhash,
@@ -36,6 +37,12 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def piece_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 @query
 def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), word_tokenizer(), max_len=2048, end_id=0)
@@ -53,9 +60,7 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    import public_tokenizers
-
-    return lattice_lm.score(read(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return lattice_lm.score(read(spark, folder, "documents"), piece_vocabulary())
 
 
 @query
@@ -101,6 +106,11 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_rules.judge(read(spark, folder, "pages"), read(spark, folder, "labels"))
 
 
+@query
+def op11_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_codec.digest(read(spark, folder, "documents"), piece_vocabulary())
+
+
 _ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ITEM_WORDS = f"regexp_extract_all({_ASCII_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 

@@ -19,7 +19,7 @@ pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="needs the giv
 
 
 def test_names():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, len(QUERIES) + 1)}
     assert "pipeline" in entry.queries() and set(QUERIES) <= set(entry.queries())
     assert set(ORACLE_SQL) <= set(QUERIES)
 
