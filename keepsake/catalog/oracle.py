@@ -381,6 +381,11 @@ _SQL: dict[str, str] = {
         price=f"CASE WHEN {_INSERTED} THEN o_totalprice + 1 ELSE o_totalprice END",
     ),
     "compact": ORDERS,
+    "compact_padded": """SELECT strftime(o_orderdate, '%m') AS order_month, count(*) AS rows,
+        round(sum(o_totalprice), 2) AS price, CAST(1 AS BIGINT) AS files FROM orders GROUP BY 1""",
+    "merge_partition_key": """SELECT cust_group, order_month, orders + CASE WHEN cust_group % 3 = 0 THEN 1000 ELSE 0 END AS orders
+      FROM (SELECT o_custkey % 500 AS cust_group, strftime(o_orderdate, '%m') AS order_month, count(*) AS orders
+        FROM orders GROUP BY 1, 2) WHERE cust_group % 2 = 0 OR cust_group % 3 = 0""",
     "zorder": ORDERS,
     "as_of_snapshot": """SELECT user_id, ts, event_id, event_type, value FROM events
       WHERE ts <= TIMESTAMP '2024-01-20' QUALIFY row_number() OVER (

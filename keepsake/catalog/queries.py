@@ -547,6 +547,40 @@ def compact(spark, folder):
     return _read(spark, path, orders)
 
 
+def _padded_orders(spark, folder) -> DataFrame:
+    """Orders with the month as two digits, as the tables' partitions have it."""
+    return I.table(spark, folder, "orders").withColumn("order_month", F.date_format("o_orderdate", "MM"))
+
+
+@query
+def compact_padded(spark, folder):
+    """Folders 01 to 09 compacted under their own names, by a table that keeps no schema."""
+    orders, path = _padded_orders(spark, folder), fresh_path(spark, "padded")
+    orders.repartition(4).write.partitionBy("order_month").parquet(path)
+    layout.compact(spark, path, ["order_month"])
+    stored = _read(spark, path, orders)
+    sizes = stored.groupBy("order_month").agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("o_totalprice"), 2).alias("price"))
+    files = stored.groupBy("order_month").agg(F.countDistinct(F.input_file_name()).alias("files"))
+    return sizes.join(files, "order_month")
+
+
+@query
+def merge_partition_key(spark, folder):
+    """A merge whose key holds the partition, a month of two digits; half of the keys are new there."""
+    monthly = (
+        _padded_orders(spark, folder)
+        .groupBy((F.col("o_custkey") % 500).alias("cust_group"), "order_month")
+        .agg(F.count(F.lit(1)).alias("orders"))
+    )
+    path = fresh_path(spark, "monthly")
+    io.replace_table(monthly.filter("cust_group % 2 = 0"), path, ["order_month"])
+    upsert.merge_upsert(
+        spark, path, monthly.filter("cust_group % 3 = 0").withColumn("orders", F.col("orders") + 1000),
+        ["cust_group", "order_month"], ["order_month"],
+    )
+    return _read(spark, path, monthly)
+
+
 @query
 def zorder(spark, folder):
     """Orders clustered on customer, price and status, all rows unchanged."""
@@ -633,7 +667,7 @@ def pipeline_tables(spark, folder):
     counted = []
     for name in ("bronze_events", "ixp_assignments", "initiations", "engagement", "attribution",
                  "final_metrics", "features"):
-        stored = spark.read.parquet(f"{root}/{name}")
+        stored = io.read_table(spark, f"{root}/{name}")
         keys = parts.get(name, list(TABLE_PARTITIONS))
         sizes = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
         counted.append(
@@ -960,7 +994,7 @@ def _ingest_twice(spark, folder):
         )
         for q in queries:
             q.awaitTermination()
-    return spark.read.parquet(out), spark.read.parquet(ledger)
+    return io.read_table(spark, out), io.read_table(spark, ledger)
 
 
 @query

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import partition_columns, rewrite_partitions
+from ..sources.tables import partition_columns, read_table, rewrite_partitions
 
 SAMPLE_ROWS = 20_000
 MAX_BITS = 12
@@ -25,6 +25,8 @@ def compact(
 ) -> int:
     """Rewrite partitions selected by ``where`` (over partition columns) into files of about ``target_mb``.
 
+    Partition columns have the types that the table keeps, or else are text.
+
     File sizes are read from the files; partitions that need no fewer files stay untouched. The
     partition columns must be all the table has: the stream ingest has its own ``compact_batches``.
     Returns the rows rewritten.
@@ -32,7 +34,7 @@ def compact(
     actual = partition_columns(spark, path)
     if not partition_cols or list(partition_cols) != actual:
         raise ValueError(f"{path} is partitioned by {actual}, not by {list(partition_cols)}")
-    df = spark.read.format(fmt).load(path)
+    df = read_table(spark, path, fmt=fmt)
     if where is not None:
         df = df.filter(where)
     files = df.select(

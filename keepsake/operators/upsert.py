@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
-from ..sources.tables import rewrite_partitions, table_exists, write_partitions
+from ..sources.tables import read_table, rewrite_partitions, table_exists, write_partitions
 
 
 def incremental_window(
@@ -89,8 +89,8 @@ def merge_upsert(
 
     Source keys must be unique and not NULL (a NULL key matches nothing, so it would be inserted
     again by every merge), and a key must stay in its partition. All are checked, the last one only
-    where the partition is not part of the key. The source is staged, so its plan runs once. Returns the
-    rows written.
+    where the partition is not part of the key, and so are the types of partition columns. The source is
+    staged, so its plan runs once. Returns the rows written.
     """
     source = stage(source, "source")
     unkeyed = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
@@ -99,11 +99,8 @@ def merge_upsert(
     _refuse(doubled, f"several source rows share one key {list(keys)}")
     if not table_exists(spark, path):
         return write_partitions(source, path, partition_cols, fmt)
-    target = spark.read.format(fmt).load(path)
-    # Partition values come back with inferred types; compare and write them as the source has them.
-    target = target.withColumns(
-        {c: F.col(c).cast(source.schema[c].dataType) for c in partition_cols}
-    )
+    # Partition values are compared and written as they are stored, not as their folders' names look.
+    target = read_table(spark, path, source.schema, fmt)
     if not set(partition_cols) <= set(keys):
         homes = lambda df, tag: df.select(
             *keys, F.struct(*[F.col(c) for c in partition_cols]).alias(f"__{tag}")

@@ -42,6 +42,20 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_bucketed(df: DataFrame, buckets: int, *keys: str, label: str = "stage") -> DataFrame:
+    """``stage`` in buckets by ``keys``: joins and groups by them read it without a shuffle.
+
+    Buckets are known to Spark through a catalog table, which is gone again when this returns; the frame holds
+    the files and their buckets.
+    """
+    spark, name = df.sparkSession, f"staged_{uuid.uuid4().hex}"
+    path = fresh_path(spark, label)
+    df.write.bucketBy(buckets, *keys).option("path", path).format("parquet").saveAsTable(name)
+    staged = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return staged
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a folder that this library made in the shared folder."""
     if not path.startswith(f"{shared_dir(spark)}/"):

@@ -1,17 +1,97 @@
-"""Batch reads and writes of partitioned tables."""
+"""Batch reads and writes of partitioned tables.
+
+A written table keeps its schema beside its files. Readers take the types of partition columns from there or from
+the caller, never from folder names, which say that ``01`` is the number 1.
+"""
 
 from __future__ import annotations
 
 import calendar
 import datetime as dt
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from .staging import drop_path, fresh_path
 
+#: In a table's folder; Spark passes over names that begin so.
+SCHEMA_FILE = "_table_schema.json"
+FILE_FORMATS = ("parquet", "orc", "json", "csv")
+
+
+def _location(spark: SparkSession, path: str):
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location, location.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def kept_schema(spark: SparkSession, path: str) -> StructType | None:
+    """The schema that the last writer kept, if one did."""
+    location, files = _location(spark, f"{path}/{SCHEMA_FILE}")
+    if not files.exists(location):
+        return None
+    stream = files.open(location)
+    try:
+        return StructType.fromJson(json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+    finally:
+        stream.close()
+
+
+def keep_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    location, files = _location(spark, f"{path}/{SCHEMA_FILE}")
+    stream = files.create(location, True)
+    try:
+        stream.writeBytes(json.dumps(schema.jsonValue()))
+    finally:
+        stream.close()
+
+
+def with_new_fields(old: StructType, new: StructType) -> StructType:
+    """``old`` and the fields that only ``new`` has."""
+    return StructType([*old.fields, *[f for f in new.fields if f.name not in old.fieldNames()]])
+
+
+def _refuse_other_types(path: str, kept: StructType, given: StructType, names: Sequence[str]) -> None:
+    for c in names:
+        if c in kept.fieldNames() and kept[c].dataType != given[c].dataType:
+            have, want = kept[c].dataType.simpleString(), given[c].dataType.simpleString()
+            raise ValueError(f"partition column {c} of {path} is {have}, not {want}")
+
+
+def table_schema(spark: SparkSession, path: str, given: StructType | None = None, fmt: str = "parquet") -> StructType:
+    """Schema of a table: the kept one, else that of a file and its partition columns as text.
+
+    ``given`` types partition columns of tables that keep no schema; where one is kept both must agree.
+    """
+    names, kept = partition_columns(spark, path), kept_schema(spark, path)
+    stated = [c for c in names if given is not None and c in given.fieldNames()]
+    if kept is not None:
+        _refuse_other_types(path, kept, given, stated)
+        return kept
+    # A leaf folder by itself has no partition columns, whatever its name.
+    leaf, files = _location(spark, path)
+    for _ in names:
+        leaf = next(f.getPath() for f in files.listStatus(leaf) if f.isDirectory() and "=" in f.getPath().getName())
+    schema = spark.read.format(fmt).load(leaf.toString()).schema
+    for c in names:
+        schema = schema.add(c, given[c].dataType if c in stated else StringType())
+    return schema
+
+
+def read_table(
+    spark: SparkSession, path: str, given: StructType | None = None, fmt: str = "parquet"
+) -> DataFrame:
+    """A table with its partition values as they were written; see ``table_schema``.
+
+    A folder name that does not cast to its column's type is an error, not a NULL.
+    """
+    if fmt not in FILE_FORMATS or not partition_columns(spark, path) and kept_schema(spark, path) is None:
+        return spark.read.format(fmt).load(path)
+    schema = table_schema(spark, path, given, fmt)
+    return spark.read.format(fmt).schema(schema).load(path).select(*[f"`{c}`" for c in schema.fieldNames()])
+
 
 def scan(
     spark: SparkSession,
@@ -28,8 +108,7 @@ def scan(
     The bare column is compared, so the filter prunes partitions or reaches the reader; ``columns``
     narrows the read schema.
     """
-    reader = spark.read.format(fmt)
-    df = (reader.schema(schema) if schema else reader).load(path)
+    df = spark.read.format(fmt).schema(schema).load(path) if schema else read_table(spark, path, fmt=fmt)
     if date_col and start is not None:
         df = df.filter(F.col(date_col) >= F.lit(start))
     if date_col and end is not None:
@@ -42,7 +121,7 @@ def load(
 ) -> DataFrame:
     """The path when given, else the catalog table."""
     if path:
-        return spark.read.format(fmt).load(path)
+        return read_table(spark, path, fmt=fmt)
     if table:
         return spark.table(table)
     raise ValueError("give a path or a catalog table")
@@ -64,8 +143,7 @@ def read_version(
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Does ``path`` hold a table? Leftovers of an aborted write (``_temporary``, hidden folders) are none."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    location, files = _location(spark, path)
     if not files.exists(location):
         return False
     return any(not f.getPath().getName().startswith(("_", ".")) for f in files.listStatus(location))
@@ -73,8 +151,7 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 def partition_columns(spark: SparkSession, path: str) -> list[str]:
     """Names of the partition folders below ``path``, from one branch of the folder tree."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    location, files = _location(spark, path)
     names: list[str] = []
     while True:
         folders = [f.getPath() for f in files.listStatus(location) if f.isDirectory()]
@@ -86,8 +163,7 @@ def partition_columns(spark: SparkSession, path: str) -> list[str]:
 
 
 def table_bytes(spark: SparkSession, path: str) -> int:
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    location, files = _location(spark, path)
     return int(files.getContentSummary(location).getLength())
 
 
@@ -95,12 +171,24 @@ def _write(
     df: DataFrame, path: str, partition_cols: Sequence[str], fmt: str, how: str, rebalance: bool = True
 ) -> int:
     """Write once and take the row count from the write itself, not from a second run."""
+    spark, kept, foreign = df.sparkSession, None, False
+    schema = StructType([f for f in df.schema if f.name not in partition_cols]
+                        + [df.schema[c] for c in partition_cols])
+    if fmt in FILE_FORMATS and how == "dynamic" and table_exists(spark, path):
+        kept = kept_schema(spark, path)
+        foreign = kept is None  # of a table written elsewhere the types are only assumed
+        if kept is not None:
+            _refuse_other_types(path, kept, schema, partition_cols)
     seen = Observation()
     # Rebalancing gathers a partition's rows into few files and still splits a big partition.
     laid_out = df.hint("rebalance", *partition_cols) if partition_cols and rebalance else df
     counted = laid_out.observe(seen, F.count(F.lit(1)).alias("rows"))
     writer = counted.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", how)
     (writer.partitionBy(*partition_cols) if partition_cols else writer).save(path)
+    if fmt in FILE_FORMATS and partition_cols and not foreign:
+        whole = schema if kept is None else with_new_fields(kept, schema)
+        if whole != kept:
+            keep_schema(spark, path, whole)
     return int(seen.get["rows"])
 
 

@@ -14,7 +14,7 @@ from ..operators.joins import one_per_key
 from ..operators.upsert import in_partitions_of
 from ..schemas import EVENT_SCHEMA, REQUIRED_EVENT_FIELDS
 from ..sources.streams import stream_sink, stream_source
-from ..sources.tables import rewrite_partitions, table_exists, write_partitions
+from ..sources.tables import read_table, rewrite_partitions, table_exists, write_partitions
 
 
 COMPACTED = -1  # the batch that holds the joined rows of compacted days
@@ -121,7 +121,7 @@ def compact_batches(
     it again takes one row per key and ends clean. Later batches and replays find the joined rows as
     they found the batches.
     """
-    stored = spark.read.option("basePath", path).parquet(path).filter(F.col(day_col).cast("string").isin(*days))
+    stored = read_table(spark, path).filter(F.col(day_col).cast("string").isin(*days))
     batches = sorted({r[0] for r in stored.select(F.col("batch_id").cast("long")).distinct().collect()})
     rows = one_per_key(stored.drop("batch_id"), list(keys), list(order))
     joined = rows.withColumn("batch_id", F.lit(COMPACTED).cast("long"))

@@ -6,9 +6,22 @@ from pyspark.sql import functions as F
 from keepsake import ledger as L
 from keepsake.operators import layout, upsert, versions
 from keepsake.sources import staging
+from keepsake.session import DEFAULTS
 from keepsake.sources import tables as io
 
 
+@pytest.fixture(params=["own session", "bare session"])
+def spark(request, spark):
+    """The library's session, and one with Spark's defaults, as in a foreign notebook."""
+    if request.param == "own session":
+        return spark
+    bare = spark.newSession()
+    for name in DEFAULTS:
+        bare.conf.unset(name)
+    assert bare.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled") == "true"
+    return bare
+
+
 @pytest.fixture
 def path(tmp_path):
     return str(tmp_path / "t")
@@ -118,6 +131,50 @@ def test_merge_reads_only_touched_partitions(spark, path, base, rows):
     assert "PartitionFilters: [((part" in text and "= 02)" in text
 
 
+@pytest.mark.parametrize("kept", [True, False])
+def test_partition_values_stay_as_written(spark, path, rows, kept):
+    """Merge with the partition in the key and compaction, on folders that look like numbers."""
+    df = spark.createDataFrame(
+        [(n % 5, f"{n // 5:02d}", float(n)) for n in range(30)], "id int, part string, v double"
+    )
+    if kept:
+        io.write_partitions(df.repartition(6), path, ["part"])
+    else:
+        df.repartition(6).write.partitionBy("part").parquet(path)
+    new = spark.createDataFrame([(3, "01", -1.0)], df.schema)
+    assert upsert.merge_upsert(spark, path, new, ["id", "part"], ["part"]) == 5
+    want = sorted((n % 5, f"{n // 5:02d}", -1.0 if n == 8 else float(n)) for n in range(30))
+    assert rows(io.read_table(spark, path), "id", "part", "v") == want
+    df.withColumn("id", F.col("id") + 10).write.mode("append").partitionBy("part").parquet(path)
+    assert layout.compact(spark, path, ["part"]) == 60
+    assert io.read_table(spark, path).count() == 60
+    location, files = io._location(spark, path)
+    folders = {f.getPath().getName() for f in files.listStatus(location) if f.isDirectory()}
+    assert folders == {f"part={n:02d}" for n in range(6)}
+    assert layout.compact(spark, path, ["part"]) == 0
+
+
+def test_partition_types_must_agree(spark, path, base):
+    io.write_partitions(base, path, ["part"])
+    numbered = base.withColumn("part", F.col("part").cast("int"))
+    for write in (
+        lambda: io.write_partitions(numbered, path, ["part"]),
+        lambda: upsert.merge_upsert(spark, path, numbered, ["id"], ["part"]),
+    ):
+        with pytest.raises(ValueError, match="is string, not int"):
+            write()
+    assert io.read_table(spark, path).schema["part"].dataType.simpleString() == "string"
+    io.replace_table(numbered, path, ["part"])
+    assert io.read_table(spark, path).schema["part"].dataType.simpleString() == "int"
+
+
+def test_a_kept_schema_grows_by_new_fields(spark, path, base, rows):
+    io.write_partitions(base, path, ["part"])
+    io.write_partitions(base.filter("id = 3").withColumn("more", F.lit(7)), path, ["part"])
+    assert rows(io.read_table(spark, path), "id", "more", "part") == [(1, None, "01"), (2, None, "01"), (3, 7, "02")]
+    assert io.kept_schema(spark, path).fieldNames() == ["id", "v", "part", "more"]
+
+
 def test_incremental_window(spark):
     df = spark.sql("SELECT explode(sequence(DATE '2024-01-01', DATE '2024-01-31')) AS d")
     assert upsert.incremental_window(df, "d", "2024-01-31").count() == 8
