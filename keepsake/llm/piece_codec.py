@@ -4,8 +4,8 @@ A vocabulary whose pieces hold the white-space marker only in front never merges
 before a marker, so a text's ids are those of its chunks: a run of markers and the characters up to
 the next one. Each task turns about ``BLOCK_BYTES`` of text into a block: its distinct chunks and, for
 every document, chunk numbers by position. Chunks of all blocks meet by hash in buckets of about
-``BUCKET_CHUNKS``, where equal ones are one entry that the library segments once. Ids and decoded texts
-go back to the blocks by chunk number, and every position takes its entry.
+``BUCKET_CHUNKS``, where equal ones are one entry that the library segments once. Ids go back to the blocks by chunk number,
+each entry of a block is decoded, and every position takes its entry.
 
 A frequent chunk counts once for each block. Blocks and buckets are bounded groups; only a text
 longer than a block makes a longer one.
@@ -24,28 +24,31 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keepsake.llm.common import kept_by_worker, map_rows
-from keepsake.sources.staging import stage
+from keepsake.llm.common import kept_by_worker, map_rows, width
+from keepsake.sources.staging import stage_bucketed
 
 MARK = "▁"
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 32 << 20
 BUCKET_CHUNKS = 200_000
 _CHUNK = re.compile(f"{MARK}({MARK}*[^{MARK}]*)")
 _BATCH = 4096
 
 BLOCKS = "block long, n_chunks long, chunks binary, doc_ids array<long>, lengths array<long>, positions binary"
 ASKED = "bucket long, block long, numbers binary, chunks binary"
-ANSWERED = "block long, numbers binary, counts binary, ids binary, decoded binary"
+ANSWERED = "block long, numbers binary, counts binary, ids binary"
 ENCODED = "doc_id long, ids array<int>, decoded string"
 DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
-def _pack(numbers: np.ndarray) -> bytes:
-    """Compressed little-endian numbers, equal bytes of all numbers together."""
+def _compressed(data: bytes) -> bytes:
     import zstandard
 
-    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(3).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(9).compress(data)
+
+
+def _pack(numbers: np.ndarray) -> bytes:
+    """Compressed little-endian numbers, equal bytes of all numbers together."""
+    return _compressed(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
 
 
 def _unpack(blob: bytes) -> np.ndarray:
@@ -56,11 +59,9 @@ def _unpack(blob: bytes) -> np.ndarray:
 
 
 def _pack_texts(texts: list[str]) -> bytes:
-    import zstandard
-
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     sizes = np.array([len(r) for r in raw], "<u4").tobytes()
-    return zstandard.ZstdCompressor(3).compress(np.array([len(raw)], "<u8").tobytes() + sizes + b"".join(raw))
+    return _compressed(np.array([len(raw)], "<u8").tobytes() + sizes + b"".join(raw))
 
 
 def _unpack_texts(blob: bytes) -> list[bytes]:
@@ -95,13 +96,19 @@ class Pieces:
             return [text] if text else []
         return _CHUNK.findall(self.model.normalize(text))
 
-    def segmented(self, chunks: list[str]) -> tuple[list[list[int]], list[str]]:
-        """Ids of each chunk and the library's decoding of them."""
-        ids = self.model.encode(chunks, num_threads=1)
-        if self.parted:
-            ids = [i or [self.mark] for i in ids]
-        decoded = self.model.decode(ids, num_threads=1)
-        return ids, [" " + d for d in decoded] if self.parted else decoded
+    def segmented(self, chunks: list[str]) -> list[list[int]]:
+        ids: list[list[int]] = []
+        for at in range(0, len(chunks), _BATCH):
+            ids += self.model.encode(chunks[at : at + _BATCH], num_threads=1)
+        return [i or [self.mark] for i in ids] if self.parted else ids
+
+    def decoded(self, ids: list[list[int]]) -> list[bytes]:
+        """The library's decoding of the ids of each chunk, with the space of its marker."""
+        front = b" " if self.parted else b""
+        out: list[bytes] = []
+        for at in range(0, len(ids), _BATCH):
+            out += [front + d.encode() for d in self.model.decode(ids[at : at + _BATCH], num_threads=1)]
+        return out
 
     def joined(self, decoded: list[bytes]) -> bytes:
         """The text of decoded chunks: the space of the first marker is not part of it."""
@@ -172,51 +179,45 @@ def _answered(asked: DataFrame, model_path: str) -> DataFrame:
         wanted = []
         for packed in bucket.column("chunks").to_pylist():
             wanted.append(np.array([table.setdefault(c, len(table)) for c in _unpack_texts(packed)], np.int64))
-        distinct = [c.decode("utf-8", "surrogatepass") for c in table]
-        ids: list[list[int]] = []
-        decoded: list[str] = []
-        for at in range(0, len(distinct), _BATCH):
-            more = model.segmented(distinct[at : at + _BATCH])
-            ids += more[0]
-            decoded += more[1]
-        out = [[], [], []]
+        ids = model.segmented([c.decode("utf-8", "surrogatepass") for c in table])
+        counts, flat = [], []
         for picked in wanted:
             mine = [ids[n] for n in picked.tolist()]
-            out[0].append(_pack(np.array([len(i) for i in mine], "<u4")))
-            out[1].append(_pack(np.array([p for i in mine for p in i], "<u4")))
-            out[2].append(_pack_texts([decoded[n] for n in picked.tolist()]))
-        columns = [bucket.column("block"), bucket.column("numbers"), *(pa.array(c, pa.binary()) for c in out)]
-        return pa.table(columns, ["block", "numbers", "counts", "ids", "decoded"])
+            counts.append(_pack(np.array([len(i) for i in mine], "<u4")))
+            flat.append(_pack(np.array([p for i in mine for p in i], "<u4")))
+        columns = [bucket.column("block"), bucket.column("numbers"), pa.array(counts, pa.binary()), pa.array(flat, pa.binary())]
+        return pa.table(columns, ["block", "numbers", "counts", "ids"])
 
     return asked.groupBy("bucket").applyInArrow(segment, ANSWERED)
 
 
-def _entries(answers: pa.Table, n_chunks: int) -> tuple[list, list]:
-    """Ids and decoded text of each chunk of a block, by number."""
+def _entries(answers: pa.Table, n_chunks: int) -> list[list[int]]:
+    """Ids of each chunk of a block, by number."""
     ids: list = [None] * n_chunks
-    decoded: list = [None] * n_chunks
-    for a in answers.select(["numbers", "counts", "ids", "decoded"]).to_pylist():
+    for a in answers.select(["numbers", "counts", "ids"]).to_pylist():
         numbers = np.cumsum(_unpack(a["numbers"]), dtype=np.int64).tolist()
         ends = np.cumsum(_unpack(a["counts"]), dtype=np.int64).tolist()
         flat, at = _unpack(a["ids"]).tolist(), 0
-        for n, end, text in zip(numbers, ends, _unpack_texts(a["decoded"]), strict=True):
-            ids[n], decoded[n], at = flat[at:end], text, end
-    return ids, decoded
+        for n, end in zip(numbers, ends, strict=True):
+            ids[n], at = flat[at:end], end
+    return ids
 
 
 def _finished(docs: DataFrame, model_path: str, schema: str, block_bytes: int, bucket_chunks: int, rows) -> DataFrame:
     """``rows(block, ids by chunk, decoded by chunk, the model)`` of all blocks."""
-    cut = stage(blocks(docs, model_path, block_bytes), "blocks")
+    cut = blocks(docs, model_path, block_bytes)
+    cut = stage_bucketed(cut, width(docs.sparkSession), "block", label="blocks")
     pairs = cut.agg(F.coalesce(F.sum("n_chunks"), F.lit(0))).first()[0]
     answers = _answered(_asked(cut, max(1, -(-pairs // bucket_chunks))), model_path)
 
     def finish(answered: pa.Table, body: pa.Table) -> pa.Table:
         (block,) = body.to_pylist()
-        ids, decoded = _entries(answered, block["n_chunks"])
-        return rows(block, ids, decoded, pieces(model_path))
+        model, ids = pieces(model_path), _entries(answered, block["n_chunks"])
+        return rows(block, ids, model.decoded(ids), model)
 
-    bodies = cut.select(F.col("block").alias("of_block"), "n_chunks", "doc_ids", "lengths", "positions")
-    return answers.groupBy("block").cogroup(bodies.groupBy("of_block")).applyInArrow(finish, schema)
+    # Blocks lie in buckets: only the answers are shuffled to them.
+    bodies = cut.select("block", "n_chunks", "doc_ids", "lengths", "positions")
+    return answers.groupBy("block").cogroup(bodies.groupBy("block")).applyInArrow(finish, schema)
 
 
 def _by_document(block: dict) -> Iterator[tuple[int | None, list[int]]]:
