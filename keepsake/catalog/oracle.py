@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from ..functions import taxonomy as X
-from ..ledger import STEP_BASELINES
 from ..plans import features as FT
+from ..plans.reports import CHI_SQUARE_1_IN_1000, POISSON_1, Z_95
 from ..schemas import (
     BILLING_FREQUENCIES,
     ENGAGEMENT_CONTRACT,
@@ -63,6 +63,18 @@ def cut_rates(columns) -> str:
 # ---- quality ----------------------------------------------------------------------------------
 
 
+def _daily_counts(condition: str) -> str:
+    """Events per type and calendar day, absent days too, with the mean of the seven days before."""
+    kept = f"(SELECT event, event_date FROM bronze WHERE {condition})"
+    days = f"""generate_series(CAST(min(event_date) AS DATE), (SELECT max(CAST(event_date AS DATE)) FROM {kept}),
+        INTERVAL 1 DAY)"""
+    return f"""SELECT *, avg(n) OVER (PARTITION BY event ORDER BY event_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS m
+      FROM (SELECT s.event, s.event_date, coalesce(d.n, 0) AS n
+        FROM (SELECT event, strftime(unnest({days}), '%Y-%m-%d') AS event_date FROM {kept} GROUP BY event) s
+        LEFT JOIN (SELECT event, event_date, count(*) AS n FROM {kept} GROUP BY 1, 2) d
+          ON d.event = s.event AND d.event_date = s.event_date)"""
+
+
 def _check(table, view, name, column, severity, failed):
     return f"""SELECT '{table}' AS table_name, '{name}' AS "check", '{column}' AS "column",
       '{severity}' AS severity, count(*) AS total, CAST({failed} AS BIGINT) AS failed FROM {view}"""
@@ -172,6 +184,12 @@ def _report(parts) -> str:
 # ---- model ------------------------------------------------------------------------------------
 
 TRAINING = "SELECT * FROM all_features WHERE baked_31d = 1"
+TEMPORAL_SPLIT = f"""SELECT {GOLD_KEY}, s > (SELECT min(s) FROM (
+        SELECT s, sum(count(*)) OVER (ORDER BY s) AS reached FROM (
+          SELECT epoch_us(cancel_flow_start_timestamp) // 1000000 AS s FROM ({TRAINING})) GROUP BY s)
+        WHERE reached >= (SELECT CAST(floor(count(*) * 0.8) AS BIGINT) FROM ({TRAINING})))
+        AS is_validation
+      FROM (SELECT *, epoch_us(cancel_flow_start_timestamp) // 1000000 AS s FROM ({TRAINING}))"""
 SCORE = """round(((tenure_days % 50) * 12 + initiation_hour_utc * 9 + total_ipds_shown * 40
   + lifetime_cs_saves * 7) / 1000.0, 3)"""
 SCORED = f"SELECT churned_31d AS y, {SCORE} AS score FROM ({TRAINING})"
@@ -208,6 +226,12 @@ WRITTEN = (
     ("step4_final_metrics", "final_metrics", "gold", "product, initiation_year, initiation_month"),
     ("step5_features", "features", "gold", "product, initiation_year, initiation_month"),
 )
+EXPOSED = """SELECT a.experiment_id, a.treatment_name, g.company_id, CAST(count(*) AS DOUBLE) AS n,
+        CAST(sum(CASE WHEN cancel_confirmed = 'N' THEN 1 ELSE 0 END) AS DOUBLE) AS saved
+      FROM gold g JOIN (
+        SELECT company_id, experiment_id, min(treatment_name) AS treatment_name, min(first_assignment_date) AS d
+        FROM clean_assignments GROUP BY 1, 2) a
+      ON a.company_id = g.company_id AND g.initiation_date >= a.d GROUP BY 1, 2, 3"""
 SAVES = "CAST(sum(CASE WHEN cancel_confirmed = 'N' THEN 1 ELSE 0 END) AS BIGINT)"
 
 
@@ -372,6 +396,30 @@ _SQL: dict[str, str] = {
         SELECT company_id, experiment_id, min(treatment_name) AS treatment_name,
           min(first_assignment_date) AS d FROM clean_assignments GROUP BY 1, 2) a
       ON a.company_id = g.company_id AND g.initiation_date >= a.d GROUP BY 1, 2, 3""",
+    "sample_ratio": f"""SELECT experiment_id, count(*) AS arms, CAST(sum(n) AS BIGINT) AS companies,
+        round(count(*) * sum(n * n) / sum(n) - sum(n), 6) AS chi_square,
+        coalesce(count(*) * sum(n * n) / sum(n) - sum(n) > list_extract({list(CHI_SQUARE_1_IN_1000)}, count(*) - 1), FALSE) AS suspect
+      FROM (SELECT experiment_id, treatment_name, count(DISTINCT company_id) AS n FROM clean_assignments GROUP BY 1, 2)
+      GROUP BY experiment_id""",
+    "experiment_effects": f"""SELECT * FROM (WITH arms AS (SELECT experiment_id, treatment_name, sum(n) AS n, sum(saved) AS saved FROM ({EXPOSED}) GROUP BY 1, 2)
+      SELECT experiment_id, treatment_name, CAST(n AS BIGINT) AS n, CAST(saved AS BIGINT) AS saved, round(p, 6) AS save_rate, round(p - p0, 6) AS difference,
+        round(p - p0 - {Z_95} * error, 6) AS low, round(p - p0 + {Z_95} * error, 6) AS high,
+        round((p - p0) / nullif(pooled, 0), 6) AS z
+      FROM (SELECT *, sqrt(p * (1 - p) / n + p0 * (1 - p0) / n0) AS error,
+          sqrt((saved + saved0) / (n + n0) * (1 - (saved + saved0) / (n + n0)) * (1.0::DOUBLE / n + 1.0::DOUBLE / n0)) AS pooled
+        FROM (SELECT a.*, c.n AS n0, c.saved AS saved0, a.saved / a.n AS p, c.saved / c.n AS p0
+          FROM arms a JOIN arms c ON c.experiment_id = a.experiment_id AND c.treatment_name = 'control'
+          WHERE a.treatment_name <> 'control')))""",
+    "bootstrap_effects": f"""SELECT * FROM (WITH drawn AS (
+        SELECT *, CAST('0x' || substr(md5(CAST(company_id AS VARCHAR) || ':' || CAST(b AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u
+        FROM ({EXPOSED}), (SELECT unnest(range(1, 101)) AS b)),
+      rated AS (SELECT experiment_id, treatment_name, b, sum(w * saved) / nullif(sum(w * n), 0) AS rate FROM (
+          SELECT *, {" + ".join(f"CASE WHEN u >= {p}::DOUBLE THEN 1 ELSE 0 END" for p in POISSON_1)} AS w FROM drawn)
+        GROUP BY 1, 2, 3)
+      SELECT a.experiment_id, a.treatment_name, count(a.rate - c.rate) AS replicates, round(avg(a.rate - c.rate), 6) AS mean_difference,
+        round(quantile_cont(a.rate - c.rate, 0.025), 6) AS low, round(quantile_cont(a.rate - c.rate, 0.975), 6) AS high
+      FROM rated a JOIN rated c ON c.experiment_id = a.experiment_id AND c.b = a.b AND c.treatment_name = 'control'
+      WHERE a.treatment_name <> 'control' GROUP BY 1, 2)""",
     "merge_upsert": MERGE_CASES.format(
         status=f"CASE WHEN {_INSERTED} THEN 'U' ELSE o_orderstatus END",
         price="CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice + 1 ELSE o_totalprice END",
@@ -394,6 +442,11 @@ _SQL: dict[str, str] = {
         'unknown' AS channel FROM orders WHERE strftime(o_orderdate, '%Y') <= '1997'
       UNION ALL SELECT o_orderkey, o_custkey, NULL, o_totalprice, 'web' FROM orders
       WHERE strftime(o_orderdate, '%Y') > '1997'""",
+    "evolve_generations": """SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey,
+        CASE WHEN year(o_orderdate) <= 1996 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) ELSE o_orderdate END AS placed,
+        CASE WHEN year(o_orderdate) <= 1994 THEN floor(o_totalprice) WHEN year(o_orderdate) <= 1996 THEN o_totalprice END AS price,
+        CASE WHEN year(o_orderdate) BETWEEN 1995 AND 1996 THEN 'web' END AS channel,
+        CASE WHEN year(o_orderdate) > 1996 THEN o_orderstatus END AS o_orderstatus FROM orders""",
     "scd2_company": """SELECT company_id, status, plan, day AS valid_from,
         lead(day) OVER w AS valid_to, lead(day) OVER w IS NULL AS is_current FROM (
       SELECT *, lag(status || '/' || plan) OVER (PARTITION BY company_id ORDER BY day) AS was FROM (
@@ -405,6 +458,9 @@ _SQL: dict[str, str] = {
       WHERE initiation_date BETWEEN DATE '2024-03-29' AND DATE '2024-04-05'""",
     "model_invariants": """SELECT count(*) AS rows, count(*) AS scores_in_range, count(*) AS tiers_by_rule,
       true AS keys_known FROM gold""",
+    "shap_additivity": f"""SELECT count(*) AS rows, count(*) AS additive, count(*) AS complete, CAST(1 AS BIGINT) AS bases
+      FROM ({TEMPORAL_SPLIT}) WHERE is_validation""",
+    "boosting_rounds": "SELECT true AS kept_is_best, true AS best_is_least, true AS patience_used_up",
     "initiations_daily": "SELECT * FROM initiations",
     "pipeline_tables": " UNION ALL ".join(
         f"""SELECT '{table}' AS table_name, count(*) AS partitions, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows
@@ -415,11 +471,15 @@ _SQL: dict[str, str] = {
         f"SELECT '{step}' AS step, '{table}' AS table_name, count(*) AS rows, 'ok' AS status FROM {view}"
         for step, table, view, _ in WRITTEN
     ),
-    "slow_steps": " UNION ALL ".join(
-        f"SELECT '{step}' AS step, '{table}' AS table_name, 0.0::DOUBLE AS baseline_seconds"
-        for step, table, _, _ in WRITTEN
-        if step in STEP_BASELINES
-    ),
+    "slow_steps": """SELECT step, table_name, rows, seconds, round(baseline, 6) AS baseline_seconds,
+        round(seconds / baseline, 4) AS ratio FROM (
+      SELECT *, CASE WHEN count(timed) OVER w >= 3 THEN quantile_cont(timed, 0.5) OVER w END AS baseline FROM (
+        SELECT *, CASE WHEN CAST(substr(table_name, 9, 2) AS INTEGER) % 13 <> 0 THEN seconds END AS timed FROM (
+          SELECT event AS step, event_date AS table_name, count(*) AS rows, min(event_timestamp) AS started,
+            (epoch_us(max(event_timestamp)) - epoch_us(min(event_timestamp))) / 1e6 AS seconds
+          FROM bronze GROUP BY 1, 2))
+      WINDOW w AS (PARTITION BY step ORDER BY started ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING))
+      WHERE seconds > baseline * 1.1""",
     "dq_report": _report(GOLD_CHECKS + IPD_CHECKS),
     "dq_summary": f"""SELECT *, CASE WHEN severity = 'CRITICAL' AND pass_rate < 0.95 THEN 'P1'
       WHEN severity <> 'CRITICAL' AND pass_rate < 0.99 THEN 'P3' ELSE 'none' END AS alert FROM (
@@ -442,11 +502,11 @@ _SQL: dict[str, str] = {
         (SELECT count(*) FROM initiations) AS rows_a, (SELECT count(*) FROM gold) AS rows_b
       UNION ALL SELECT 'raw', 'bronze', 0.01, (SELECT count(*) FROM raw_events),
         (SELECT count(*) FROM bronze)))""",
-    "volume_anomaly": """SELECT event, event_date, n, round(m, 4) AS trailing_mean,
-        round(abs(n - m) / m, 6) AS deviation, coalesce(abs(n - m) / m > 0.2, FALSE) AS is_anomaly
-      FROM (SELECT *, avg(n) OVER (PARTITION BY event ORDER BY event_date
-          ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS m
-        FROM (SELECT event, event_date, count(*) AS n FROM bronze GROUP BY 1, 2))""",
+    "volume_anomaly": f"""SELECT event, event_date, n, round(m, 4) AS trailing_mean,
+        round(abs(n - m) / nullif(m, 0), 6) AS deviation, coalesce(abs(n - m) > 0.2 * m, FALSE) AS is_anomaly
+      FROM ({_daily_counts("TRUE")})""",
+    "volume_gaps": f"""SELECT event, event_date, round(m, 4) AS trailing_mean
+      FROM ({_daily_counts("CAST(substr(event_date, 9, 2) AS INTEGER) % 9 <> 0")}) WHERE n = 0 AND m > 0""",
     "freshness": """SELECT newest, round(lag, 4) AS lag_hours, CASE WHEN lag > 10 THEN 'error'
         WHEN lag > 6 THEN 'warn' ELSE 'ok' END AS state FROM (
       SELECT max(event_timestamp) AS newest, (epoch_us(TIMESTAMP '2024-04-10 08:30:00') // 1000000
@@ -467,12 +527,7 @@ _SQL: dict[str, str] = {
     "training_set": f"""SELECT {GOLD_KEY}, churned_31d,
       coalesce(days_since_last_cancel, 0) AS days_since_last_cancel, tenure_days, viewed_dic,
       round(coalesce(save_rate_lifetime, 0.0), 6) AS save_rate_lifetime FROM ({TRAINING})""",
-    "temporal_split": f"""SELECT {GOLD_KEY}, s > (SELECT min(s) FROM (
-        SELECT s, sum(count(*)) OVER (ORDER BY s) AS reached FROM (
-          SELECT epoch_us(cancel_flow_start_timestamp) // 1000000 AS s FROM ({TRAINING})) GROUP BY s)
-        WHERE reached >= (SELECT CAST(floor(count(*) * 0.8) AS BIGINT) FROM ({TRAINING})))
-        AS is_validation
-      FROM (SELECT *, epoch_us(cancel_flow_start_timestamp) // 1000000 AS s FROM ({TRAINING}))""",
+    "temporal_split": TEMPORAL_SPLIT,
     "stratified_folds": f"""SELECT company_id, initiation_rank, churned_31d,
       epoch_us(cancel_flow_start_timestamp) AS started_us,
       CAST((row_number() OVER (PARTITION BY churned_31d ORDER BY md5(CAST(company_id AS VARCHAR)
@@ -498,6 +553,10 @@ _SQL: dict[str, str] = {
     "stream_late_data": """SELECT DISTINCT event_id FROM valid_feed WHERE hour(tm) % 6 <> 5
       UNION SELECT event_id FROM valid_feed WHERE hour(tm) % 6 = 5 AND tm > (
         SELECT max(tm) - INTERVAL 5 MINUTE FROM valid_feed WHERE hour(tm) % 6 <> 5)""",
+    "stream_progress": """SELECT CAST(2 AS BIGINT) AS runs, (SELECT count(*) FROM feed) AS input_rows,
+        (SELECT count(*) FROM valid_feed WHERE hour(tm) % 6 = 5 AND tm <= w) AS late_rows, true AS kept_state,
+        date_trunc('millisecond', (SELECT max(tm) FROM valid_feed) - INTERVAL 5 MINUTE) AS watermark
+      FROM (SELECT max(tm) - INTERVAL 5 MINUTE AS w FROM valid_feed WHERE hour(tm) % 6 <> 5)""",
     "stream_tumbling": f"""SELECT * FROM (SELECT time_bucket(INTERVAL 1 HOUR, tm) AS window_start,
         time_bucket(INTERVAL 1 HOUR, tm) + INTERVAL 1 HOUR AS window_end, event, count(*) AS n
       FROM valid_feed GROUP BY 1, 2, 3) WHERE window_end <= {WATERMARK}""",
@@ -507,6 +566,10 @@ _SQL: dict[str, str] = {
         SELECT *, CASE WHEN tm - lag(tm) OVER (PARTITION BY company_id ORDER BY tm) < INTERVAL 6 HOUR
           THEN 0 ELSE 1 END AS opens FROM valid_feed))
       GROUP BY company_id, sid HAVING max(tm) + INTERVAL 6 HOUR <= {WATERMARK}""",
+    "stream_episodes": f"""SELECT company_id, tm AS initiation_timestamp, CAST(row_number() OVER w AS INTEGER) AS initiation_rank,
+        coalesce(lead(tm) OVER w, tm + INTERVAL 1 HOUR) AS window_end_timestamp
+      FROM (SELECT DISTINCT company_id, tm FROM ({STARTED}) WHERE tm <= {WATERMARK})
+      WINDOW w AS (PARTITION BY company_id ORDER BY tm)""",
     "stream_interval_join": f"""SELECT s.event_id, s.company_id, s.tm AS started_at,
         min(c.tm) AS confirmed_at
       FROM ({STARTED}) s LEFT JOIN ({CONFIRMED}) c

@@ -14,6 +14,7 @@ from ..functions import taxonomy as X
 from ..functions.sql import register_sql_functions
 from ..ml import metrics as M
 from ..ml import model as ML
+from ..ml import shap as SH
 from ..ml import split as S
 from ..operators import joins, layout, timeline, upsert, versions
 from ..plans import attribution, bronze, engagement, episodes, features, metrics, reports
@@ -24,7 +25,8 @@ from ..schemas import ENGAGEMENT_CONTRACT, EPISODE_KEY, FINAL_METRICS_CONTRACT,
 from ..sources import streams
 from ..sources import tables as io
 from ..sources.staging import fresh_path
-from ..streaming import ingest
+from ..streaming import episodes as SE
+from ..streaming import ingest, progress
 from ..streaming import windows as SW
 from . import inputs as I
 from .tables import plain, tables
@@ -508,6 +510,25 @@ def experiment_outcomes(spark, folder):
     return reports.experiment_outcomes(t.gold, clean)
 
 
+def _assignments(spark, folder) -> DataFrame:
+    return bronze.single_treatment(tables(spark, folder).input("assignments"), I.FIRST_DAY, I.LAST_DAY)
+
+
+@query
+def sample_ratio(spark, folder):
+    return reports.sample_ratio(_assignments(spark, folder))
+
+
+@query
+def experiment_effects(spark, folder):
+    return reports.experiment_effects(tables(spark, folder).gold, _assignments(spark, folder))
+
+
+@query
+def bootstrap_effects(spark, folder):
+    return reports.bootstrap_effects(tables(spark, folder).gold, _assignments(spark, folder))
+
+
 # ---- upsert, layout, versions -----------------------------------------------------------------
 
 
@@ -610,6 +631,26 @@ def evolve_schema(spark, folder):
     return versions.append_evolved(old, new, {"channel": "unknown"})
 
 
+@query
+def evolve_generations(spark, folder):
+    """Three generations of a table's files, with wider types and more columns each time, read under one schema."""
+    path = fresh_path(spark, "generations")
+    orders = I.table(spark, folder, "orders").withColumn("year", F.year("o_orderdate"))
+    day, price = F.col("o_orderdate").cast("date"), F.col("o_totalprice")
+    key = F.col("o_orderkey").cast("int").alias("o_orderkey")
+    io.append_merged(orders.filter("year <= 1994").select(key, day.alias("placed"), F.floor(price).cast("int").alias("price")), path)
+    io.append_merged(
+        orders.filter("year BETWEEN 1995 AND 1996").select(
+            F.col("o_orderkey").cast("bigint").alias("o_orderkey"), day.alias("placed"), price.alias("price"), F.lit("web").alias("channel")
+        ),
+        path,
+    )
+    io.append_merged(
+        orders.filter("year > 1996").select(key, F.col("o_orderdate").cast("timestamp_ntz").alias("placed"), "o_orderstatus"), path
+    )
+    return io.read_table(spark, path)
+
+
 @query
 def scd2_company(spark, folder):
     """Order status and priority of each customer as a type-2 history."""
@@ -689,10 +730,18 @@ def run_ledger_recent(spark, folder):
 
 @query
 def slow_steps(spark, folder):
-    """Steps that took over twice a baseline of nothing: all that were recorded as having run."""
-    ledger = spark.read.parquet(_written(spark, folder)[1])
-    slow = L.slow_steps(ledger, dict.fromkeys(L.STEP_BASELINES, 0.0))
-    return slow.select("step", "table_name", "baseline_seconds")
+    """Days on which an event type kept its feed busy far longer than usual, by the ledger's own comparison.
+
+    The ledger is made from the events: a run for each type and day, from its first event to its last.
+    """
+    events = tables(spark, folder).events
+    seconds = (F.unix_micros(F.max("event_timestamp")) - F.unix_micros(F.min("event_timestamp"))) / 1e6
+    runs = events.groupBy(F.col("event").alias("step"), F.col("event_date").alias("table_name")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("event_timestamp").alias("started"), seconds.alias("seconds")
+    )
+    failed = F.substring("table_name", 9, 2).cast("int") % 13 == 0
+    slow = L.slow_steps(runs.withColumn("status", F.when(failed, "failed").otherwise("ok")), factor=1.1)
+    return slow.select("step", "table_name", "rows", "seconds", F.round("baseline_seconds", 6).alias("baseline_seconds"), "ratio")
 
 
 # ---- data quality -----------------------------------------------------------------------------
@@ -748,6 +797,15 @@ def volume_anomaly(spark, folder):
     return Q.volume_anomaly(daily, "event", "event_date", "n")
 
 
+@query
+def volume_gaps(spark, folder):
+    """Every ninth day of the month is taken out of the events: all such days come back, as anomalies of 0 rows."""
+    events = tables(spark, folder).events.filter(F.substring("event_date", 9, 2).cast("int") % 9 != 0)
+    daily = events.groupBy("event", "event_date").agg(F.count(F.lit(1)).alias("n"))
+    found = Q.volume_anomaly(daily, "event", "event_date", "n")
+    return found.filter("n = 0 AND is_anomaly").select("event", "event_date", "trailing_mean")
+
+
 @query
 def freshness(spark, folder):
     as_of = F.lit("2024-04-10 08:30:00").cast("timestamp")
@@ -882,14 +940,19 @@ def _model_columns(rows: DataFrame) -> list[str]:
 
 
 def _fitted(spark, folder):
-    rows = S.temporal_split(S.training_set(tables(spark, folder).features), KEYS[2])
-    columns = _model_columns(rows)
-    return ML.train(rows, columns, validation="is_validation"), rows, columns
+    """Model, rows, columns and loss curve: fitted once per folder and application, as the daily scores use it."""
+    t = tables(spark, folder)
+    if not hasattr(t, "fitted"):
+        rows = S.temporal_split(S.training_set(t.features), KEYS[2])
+        columns = _model_columns(rows)
+        model, losses = ML.train_with_curve(rows, columns, validation="is_validation")
+        t.fitted = (model, rows, columns, losses)
+    return t.fitted
 
 
 @query
 def churn_scores(spark, folder):
-    model, _, _ = _fitted(spark, folder)
+    model = _fitted(spark, folder)[0]
     t = tables(spark, folder)
     current = t.features.fillna(0)
     return ML.score(model, current, t.as_of).select(*KEYS, "score", "risk_tier", "as_of_date")
@@ -898,7 +961,7 @@ def churn_scores(spark, folder):
 @query
 def model_report(spark, folder):
     """Train, score the held-out part, and rate the scores."""
-    model, rows, _ = _fitted(spark, folder)
+    model, rows, *_ = _fitted(spark, folder)
     made = ML.report(model, rows.filter("is_validation"))
     return rounded(made, "roc_auc", "average_precision", "f1", "precision", "recall")
 
@@ -926,11 +989,45 @@ def cv_auc(spark, folder):
 
 @query
 def feature_importance(spark, folder):
-    model, rows, columns = _fitted(spark, folder)
+    model, rows, columns, _ = _fitted(spark, folder)
     held_out = rows.filter("is_validation")
     return ML.top_features(ML.permutation_importance(model, held_out, columns, KEYS))
 
 
+@query
+def shap_importance(spark, folder):
+    """The features with the largest mean attribution over all held-out episodes."""
+    model, rows, columns, _ = _fitted(spark, folder)
+    explained = SH.attributions(model, rows.filter("is_validation"), KEYS)
+    return ML.top_features(SH.importance(explained, columns))
+
+
+@query
+def shap_additivity(spark, folder):
+    """Attributions of every held-out episode add up to its margin, from one base for all."""
+    model, rows, columns, _ = _fitted(spark, folder)
+    explained = SH.attributions(model, rows.filter("is_validation"), KEYS)
+    total = F.col("base") + F.aggregate("shap", F.lit(0.0), lambda a, x: a + x)
+    return explained.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.abs(total - F.col("margin")) < 1e-9).alias("additive"),
+        F.count_if(F.size("shap") == len(columns)).alias("complete"),
+        F.countDistinct("base").alias("bases"),
+    )
+
+
+@query
+def boosting_rounds(spark, folder):
+    """The model ends at the round of least validation loss, and boosting went on for the whole patience."""
+    model, _, _, losses = _fitted(spark, folder)
+    kept = model.stages[1].getNumTrees
+    config = ML.ChurnConfig()
+    best, stopped = ML.kept_round(losses, config.patience)
+    seen = losses[: best + config.patience + 1] if stopped else losses
+    row = (kept == best + 1, losses[kept - 1] == min(seen), stopped or len(losses) == config.trees)
+    return spark.createDataFrame([row], "kept_is_best boolean, best_is_least boolean, patience_used_up boolean")
+
+
 # ---- streams ----------------------------------------------------------------------------------
 
 
@@ -941,6 +1038,7 @@ class Feed:
         self.spark, self.path = spark, fresh_path(spark, "feed")
         self.checkpoint = fresh_path(spark, "checkpoint")
         self.rows, self.second = I.feed(spark, folder), F.expr(f"coalesce({second}, false)")
+        self.ended: list = []
 
     def deliver(self, number: int | None = None) -> None:
         rows = self.rows
@@ -960,7 +1058,9 @@ class Feed:
         sink = streams.stream_sink(
             df, path, f"{self.checkpoint}/{label}", partition_cols, trigger={"availableNow": True}
         )
-        sink.start().awaitTermination()
+        started = sink.start()
+        started.awaitTermination()
+        self.ended.append(started)
         return self.spark.read.schema(df.schema).parquet(path)
 
 
@@ -1030,6 +1130,31 @@ def stream_late_data(spark, folder):
     return result.select("event_id")
 
 
+@query
+def stream_progress(spark, folder):
+    """What the queries over late data reported: rows read, and rows dropped behind the watermark."""
+    f = Feed(spark, folder, second="hour(at) % 6 = 5")
+    path = fresh_path(spark, "progress")
+    listener = progress.ProgressLedger(spark, path)
+    spark.streams.addListener(listener)
+    try:
+        for number in (1, 2):
+            f.deliver(number)
+            kept = SW.drop_late_duplicates(f.valid(), ["event_id"], "event_timestamp")
+            f.drain(kept, "watched")
+            listener.wait(f.ended)
+    finally:
+        spark.streams.removeListener(listener)
+    reports = spark.read.schema(progress.PROGRESS_SCHEMA).parquet(path)
+    return reports.agg(
+        F.countDistinct("run").alias("runs"),
+        F.sum("input_rows").alias("input_rows"),
+        F.sum("late_rows").alias("late_rows"),
+        F.max(F.col("state_rows") > 0).alias("kept_state"),
+        F.max(F.to_timestamp("watermark", "yyyy-MM-dd'T'HH:mm:ss.SSSX")).alias("watermark"),
+    )
+
+
 @query
 def stream_tumbling(spark, folder):
     f = Feed(spark, folder)
@@ -1046,6 +1171,18 @@ def stream_sessions(spark, folder):
     return f.drain(sessions, "sessions")
 
 
+@query
+def stream_episodes(spark, folder):
+    """Rank and window of episodes, detected as events arrive in two deliveries; what the batch says up to the watermark."""
+    f = Feed(spark, folder, second="at >= TIMESTAMP '2024-03-15 00:00:00'")
+    for number in (1, 2):
+        f.deliver(number)
+        starts = f.valid().filter(X.INITIATION.match()).select("company_id", "event_timestamp")
+        found = SE.detect_episodes(starts, ["company_id"], "event_timestamp")
+        emitted = f.drain(found, "episodes")
+    return SE.latest_episodes(emitted, ["company_id"])
+
+
 @query
 def stream_interval_join(spark, folder):
     """First confirmation within the hour per initiation, from two streams."""

@@ -9,16 +9,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans import attribution, bronze, engagement, episodes, features, metrics
-from ..sources.staging import drop_path, fresh_path
+from ..schemas import EPISODE_KEY
+from ..sources.staging import drop_path, fresh_path, stage_bucketed
 from ..sources.tables import write_partitions
 from . import inputs as I
 
 
 class Tables:
-    """Bronze, silver and gold tables of a folder; each is staged, as the steps of a daily run are."""
+    """Bronze, silver and gold tables of a folder; each is staged, as the steps of a daily run are.
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+    Tables of one row per episode, or some, lie in as many ``buckets`` by the episode's key, so that steps join them
+    where they lie. A production run takes as many buckets as its shuffles have partitions.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, buckets: int = 8):
+        self.spark, self.folder, self.buckets = spark, folder, buckets
         self.paths: list[str] = []
 
     def stage(self, df: DataFrame, label: str, *partition_cols: str) -> DataFrame:
@@ -30,6 +35,11 @@ class Tables:
         self.paths.append(path)
         return self.spark.read.schema(df.schema).parquet(path).select(df.columns)
 
+    def by_episode(self, df: DataFrame, label: str) -> DataFrame:
+        staged = stage_bucketed(df, self.buckets, *EPISODE_KEY, label=label, gather=True)
+        self.paths.append(staged.staged_path)
+        return staged
+
     def drop(self) -> None:
         """Remove the staged files."""
         for path in self.paths:
@@ -59,18 +69,18 @@ class Tables:
         found = episodes.initiations(
             self.events, self.input("companies"), cut=lambda df, label: self.moments
         )
-        return self.stage(found, "initiations")
+        return self.by_episode(found, "initiations")
 
     @cached_property
     def engagement(self) -> DataFrame:
-        return self.stage(
+        return self.by_episode(
             engagement.offer_engagement(self.initiations, self.events, self.input("offers")),
             "engagement",
         )
 
     @cached_property
     def attribution(self) -> DataFrame:
-        return self.stage(
+        return self.by_episode(
             attribution.save_attribution(
                 self.initiations,
                 self.engagement,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 LEDGER_SCHEMA = (
@@ -42,14 +42,28 @@ def recent_runs(ledger: DataFrame, n: int) -> DataFrame:
     return ledger.orderBy(F.col("started").desc(), "step").limit(n)
 
 
+def usual_seconds(ledger: DataFrame, runs: int = 20, least: int = 3) -> DataFrame:
+    """Each run with ``baseline_seconds``: the median of the ``runs`` successful runs of its step before it.
+
+    Null until ``least`` of them are known. A step has few runs, one a day or so.
+    """
+    before = Window.partitionBy("step").orderBy("started").rowsBetween(-runs, -1)
+    timed = F.when(F.col("status") == "ok", F.col("seconds"))
+    median = F.percentile(timed, F.lit(0.5)).over(before)
+    return ledger.withColumn("baseline_seconds", F.when(F.count(timed).over(before) >= least, median))
+
+
 def slow_steps(
     ledger: DataFrame, baselines: dict[str, float] | None = None, factor: float = 2.0
 ) -> DataFrame:
-    """Runs that took longer than ``factor`` times their usual time."""
-    usual = baselines or STEP_BASELINES
-    lookup = F.create_map(*[F.lit(v) for kv in usual.items() for v in (kv[0], float(kv[1]))])
-    return (
-        ledger.withColumn("baseline_seconds", lookup[F.col("step")])
-        .filter(F.col("seconds") > F.col("baseline_seconds") * factor)
-        .withColumn("ratio", F.round(F.try_divide(F.col("seconds"), F.col("baseline_seconds")), 4))
+    """Runs that took longer than ``factor`` times their usual time.
+
+    The usual time comes from the step's own history; ``baselines`` (``STEP_BASELINES``, say) stand in where it is short.
+    """
+    rated = usual_seconds(ledger)
+    if baselines:
+        lookup = F.create_map(*[F.lit(v) for kv in baselines.items() for v in (kv[0], float(kv[1]))])
+        rated = rated.withColumn("baseline_seconds", F.coalesce("baseline_seconds", lookup[F.col("step")]))
+    return rated.filter(F.col("seconds") > F.col("baseline_seconds") * factor).withColumn(
+        "ratio", F.round(F.try_divide(F.col("seconds"), F.col("baseline_seconds")), 4)
     )

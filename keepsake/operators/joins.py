@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
@@ -119,10 +120,12 @@ def exists_after(
     snapshots: DataFrame,
     snapshot_day: str,
     offsets: dict[str, int],
+    days_of: DataFrame | None = None,
 ) -> DataFrame:
     """0/1 per offset: does a snapshot of the key exist exactly that many days after ``day``?
 
-    One pass over the snapshots for all offsets. The wanted (key, day) pairs are few and distinct,
+    ``days_of`` is a stored table that has all days of ``df`` in the same column; without it the first and last
+    day are found by running ``df`` once more. One pass over the snapshots for all offsets. The wanted (key, day) pairs are few and distinct,
     so they, not the rows, meet the snapshot table; repeated snapshots fall together in the
     aggregate that follows.
     """
@@ -133,7 +136,11 @@ def exists_after(
                             for n, d in offsets.items()])).alias("__p"),
     ).select(*keys, "__from", "__p.n", F.col("__p.on").alias("__on"))
     # The bare column is compared with the literal range of wanted days, so partitions are pruned.
-    range_ = wanted.agg(F.min("__on"), F.max("__on")).first()
+    first, last = (df if days_of is None else days_of).agg(F.min(day), F.max(day)).first()
+    ahead = list(offsets.values())
+    range_ = [None, None]
+    if first is not None:
+        range_ = [first + dt.timedelta(days=min(ahead)), last + dt.timedelta(days=max(ahead))]
     if isinstance(snapshots.schema[snapshot_day].dataType, StringType):
         range_ = [None if d is None else d.isoformat() for d in range_]
     snapshots = snapshots.filter(F.col(snapshot_day).between(F.lit(range_[0]), F.lit(range_[1])))

@@ -41,15 +41,19 @@ def engagement_flags(engagement: DataFrame) -> DataFrame:
 
 
 def retention(
-    episodes: DataFrame, status: DataFrame, as_of: Column, days: tuple[int, ...] = RETENTION_DAYS
+    episodes: DataFrame,
+    status: DataFrame,
+    as_of: Column,
+    days: tuple[int, ...] = RETENTION_DAYS,
+    days_of: DataFrame | None = None,
 ) -> DataFrame:
-    """Adds ``baked_Nd`` and ``retained_Nd`` for each horizon."""
+    """Adds ``baked_Nd`` and ``retained_Nd`` for each horizon; see ``exists_after`` for ``days_of``."""
     active = status.filter(F.col("open_subscriber") == 1).select(
         C.numeric_id("company_id").alias("company_id"), "date_of"
     )
     offsets = {f"retained_{n}d": n for n in days}
     looked_up = exists_after(
-        episodes, ["company_id"], "initiation_date", active, "date_of", offsets
+        episodes, ["company_id"], "initiation_date", active, "date_of", offsets, days_of
     )
     return looked_up.withColumns(
         {f"baked_{n}d": C.baked("initiation_date", n, as_of) for n in days}
@@ -83,7 +87,7 @@ def final_metrics(
         .join(flags, [*EPISODE_KEY], "left")
         .fillna(0, zeros)
     )
-    wide = retention(wide, status, as_of)
+    wide = retention(wide, status, as_of, days_of=episodes)
     stems = list(OFFER_COLUMNS)
     selected = wide.select(
         "company_id",

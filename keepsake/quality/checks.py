@@ -223,19 +223,38 @@ def assert_row_parity(a: DataFrame, b: DataFrame, tolerance: float = 0.0) -> Non
         )
 
 
+def calendar(daily: DataFrame, series: str, day: str, rows: str) -> DataFrame:
+    """A row for every series and calendar day, from the series' first day to the last day of any; absent days count 0.
+
+    Days are made within each series, whose number of rows they exceed only where days are absent.
+    """
+    typed = daily.select(series, F.col(day).cast("date").alias("__day"), rows)
+    last = typed.agg(F.max("__day")).scalar()
+    spans = typed.groupBy(series).agg(F.min("__day").alias("__first"))
+    spine = spans.select(F.col(series).alias("__series"), F.explode(F.sequence("__first", last)).alias("__d"))
+    return spine.join(
+        typed, F.col("__series").eqNullSafe(F.col(series)) & (F.col("__d") == F.col("__day")), "left"
+    ).select(
+        F.col("__series").alias(series),
+        F.col("__d").cast(daily.schema[day].dataType).alias(day),
+        F.coalesce(rows, F.lit(0)).alias(rows),
+    )
+
+
 def volume_anomaly(
     daily: DataFrame, series: str, day: str, rows: str, share: float = 0.2, days: int = 7
 ) -> DataFrame:
-    """Days whose count deviates from the mean of the ``days`` rows before by more than ``share``.
+    """Days whose count deviates from the mean of the ``days`` calendar days before by more than ``share``.
 
-    ``daily`` holds one row per series and day.
+    ``daily`` holds at most one row per series and day; days without one count 0, so a feed that stops is an
+    anomaly. A day with rows after a week without any deviates from a mean of zero, and is one too.
     """
     trailing = Window.partitionBy(series).orderBy(day).rowsBetween(-days, -1)
     mean = F.avg(rows).over(trailing)
-    out = daily.withColumn("trailing_mean", F.round(mean, 4))
-    deviation = F.abs(F.col(rows) - mean) / mean
-    return out.withColumn("deviation", F.round(deviation, 6)).withColumn(
-        "is_anomaly", F.coalesce(deviation > share, F.lit(False))
+    out = calendar(daily, series, day, rows).withColumn("trailing_mean", F.round(mean, 4))
+    gap = F.abs(F.col(rows) - mean)
+    return out.withColumn("deviation", F.round(F.try_divide(gap, mean), 6)).withColumn(
+        "is_anomaly", F.coalesce(gap > share * mean, F.lit(False))
     )
 
 

@@ -39,20 +39,33 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged.staged_path = path
+    return staged
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove the files of staged frames that nothing reads any more."""
+    for df in frames:
+        drop_path(df.sparkSession, df.staged_path)
 
 
-def stage_bucketed(df: DataFrame, buckets: int, *keys: str, label: str = "stage") -> DataFrame:
+def stage_bucketed(
+    df: DataFrame, buckets: int, *keys: str, label: str = "stage", gather: bool = False
+) -> DataFrame:
     """``stage`` in buckets by ``keys``: joins and groups by them read it without a shuffle.
 
-    Buckets are known to Spark through a catalog table, which is gone again when this returns; the frame holds
-    the files and their buckets.
+    Choose keys that no single value of holds a large part of the rows, as buckets are not split. With ``gather``
+    rows are shuffled to their bucket first, for one file a bucket. Buckets are known to Spark through a catalog
+    table, which is gone again when this returns; the frame holds the files and their buckets.
     """
     spark, name = df.sparkSession, f"staged_{uuid.uuid4().hex}"
     path = fresh_path(spark, label)
-    df.write.bucketBy(buckets, *keys).option("path", path).format("parquet").saveAsTable(name)
+    rows = df.repartition(buckets, *keys) if gather else df
+    rows.write.bucketBy(buckets, *keys).option("path", path).format("parquet").saveAsTable(name)
     staged = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
+    staged.staged_path = path
     return staged
 
 

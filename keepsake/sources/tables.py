@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .staging import drop_path, fresh_path
 
@@ -53,6 +53,43 @@ def with_new_fields(old: StructType, new: StructType) -> StructType:
     return StructType([*old.fields, *[f for f in new.fields if f.name not in old.fieldNames()]])
 
 
+# What Parquet files of the first type can be read as.
+WIDER = {
+    "tinyint": ("smallint", "int", "bigint", "double"),
+    "smallint": ("int", "bigint", "double"),
+    "int": ("bigint", "double"),
+    "float": ("double",),
+    "date": ("timestamp_ntz",),
+}
+
+
+def widened(old: StructType, new: StructType) -> StructType:
+    """One schema for files of both: fields of either, each of the wider type; others are refused."""
+    fields = []
+    for f in with_new_fields(old, new).fields:
+        if f.name in old.fieldNames() and f.name in new.fieldNames():
+            a, b = old[f.name].dataType, new[f.name].dataType
+            names = a.simpleString(), b.simpleString()
+            if a != b and names[0] not in WIDER.get(names[1], ()) and names[1] not in WIDER.get(names[0], ()):
+                raise ValueError(f"{f.name} is {names[0]} in old files and {names[1]} in new ones")
+            f = StructField(f.name, b if names[1] in WIDER.get(names[0], ()) else a)
+        fields.append(StructField(f.name, f.dataType))
+    return StructType(fields)
+
+
+def append_merged(df: DataFrame, path: str) -> StructType:
+    """Append a generation of rows to a table without partitions whose columns may differ from those before.
+
+    The kept schema grows by new columns and widens types where that loses nothing; files stay as they are, and
+    ``read_table`` reads all generations under that one schema, absent columns being NULL.
+    """
+    kept = kept_schema(df.sparkSession, path) or df.schema
+    schema = widened(kept, df.schema)
+    df.write.mode("append").parquet(path)
+    keep_schema(df.sparkSession, path, schema)
+    return schema
+
+
 def _refuse_other_types(path: str, kept: StructType, given: StructType, names: Sequence[str]) -> None:
     for c in names:
         if c in kept.fieldNames() and kept[c].dataType != given[c].dataType:

@@ -4,8 +4,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from itertools import combinations
+from math import factorial
+
 from keepsake.ml import metrics as M
 from keepsake.ml import model as ML
+from keepsake.ml import shap as SH
 from keepsake.ml import split as S
 
 
@@ -90,3 +94,90 @@ def test_model_learns_and_ranks_features(spark):
     top = ML.top_features(ML.permutation_importance(model, df.filter("held"), ["useful", "noise"], ["id"]), 1)
     assert top.first()["feature"] == "useful"
     assert ML.cross_validate(df, ["useful", "noise"], ["id"], config).count() == 2
+
+
+def known_value(nodes, x, known, at=0):
+    """What a tree expects of a row of which only some features are known."""
+    n = nodes[at]
+    if n.feature < 0:
+        return n.value
+    if n.feature in known:
+        return known_value(nodes, x, known, n.left if x[n.feature] <= n.threshold else n.right)
+    return sum(nodes[c].cover / n.cover * known_value(nodes, x, known, c) for c in (n.left, n.right))
+
+
+def shapley(trees, weights, x):
+    out, names = [], range(len(x))
+    for i in names:
+        others = [j for j in names if j != i]
+        total = 0.0
+        for size in range(len(x)):
+            w = factorial(size) * factorial(len(x) - size - 1) / factorial(len(x))
+            for s in combinations(others, size):
+                for nodes, weight in zip(trees, weights, strict=True):
+                    total += w * weight * (known_value(nodes, x, {*s, i}) - known_value(nodes, x, set(s)))
+        out.append(total)
+    return out
+
+
+@pytest.fixture(scope="module")
+def four_features(spark):
+    rng = random.Random(8)
+    data = []
+    for i in range(500):
+        a, b, c, d = (round(rng.random(), 2) for _ in range(4))
+        data.append((i, a, b, c, d, int(a + b * c + 0.3 * rng.random() > 0.9), i % 4 == 0))
+    return spark.createDataFrame(data, "id int, a double, b double, c double, d double, churned_31d int, held boolean")
+
+
+def test_attributions_against_all_subsets(spark, four_features):
+    columns = ["a", "b", "c", "d"]
+    config = ML.ChurnConfig(trees=4, depth=4, column_share=1.0)
+    model = ML.train(four_features, columns, config)
+    booster = model.stages[1]
+    trees, weights = SH.tree_nodes(spark, booster), list(booster.treeWeights)
+    # Some path asks for one feature more than once.
+    assert any(len(leaf.features) < 4 and len(nodes) > 9 for nodes in trees for leaf in SH.leaves(nodes))
+    explained = SH.attributions(model, four_features.filter("id < 25"), ["id", "a", "b", "c", "d"]).collect()
+    for r in explained:
+        want = shapley(trees, weights, [r[c] for c in columns])
+        assert r["shap"] == pytest.approx(want, abs=1e-9)
+        assert r["base"] + sum(r["shap"]) == pytest.approx(r["margin"], abs=1e-9)
+    top = {r["feature"]: r["importance"] for r in SH.importance(SH.attributions(model, four_features, ["id"]), columns).collect()}
+    assert max(top, key=top.get) == "a" and min(top, key=top.get) == "d"
+
+
+def test_kept_round():
+    assert ML.kept_round([5, 4, 3, 4, 5, 6], 3) == (2, True)
+    assert ML.kept_round([5, 4, 3, 4, 5], 3) == (2, False)
+    assert ML.kept_round([5, 4, 4.5, 4.2, 3, 2], 3) == (5, False)
+    assert ML.kept_round([1, 2, 2, 2, 0], 3) == (0, True)
+    assert ML.kept_round([3], 1) == (0, False)
+
+
+def test_boosting_waits_and_keeps_the_best_round(four_features):
+    columns = ["a", "b", "c", "d"]
+    config = ML.ChurnConfig(trees=24, depth=3, step=0.8, patience=4, column_share=1.0)
+    model, losses = ML.train_with_curve(four_features, columns, config, validation="held")
+    best, stopped = ML.kept_round(losses, 4)
+    assert stopped and model.stages[1].getNumTrees == best + 1 and 1 < len(losses) <= 24
+    assert losses[best] == min(losses[: best + 5])
+
+
+def test_a_cut_model_has_the_first_trees(spark, four_features):
+    columns = ["a", "b", "c", "d"]
+    model = ML.train(four_features, columns, ML.ChurnConfig(trees=5, depth=3))
+    whole, cut = model.stages[1], ML.truncated(model.stages[1], 3)
+    assert SH.tree_nodes(spark, cut) == SH.tree_nodes(spark, whole)[:3]
+    assert list(cut.treeWeights) == list(whole.treeWeights)[:3]
+    features = model.stages[0].transform(four_features)
+    assert cut.transform(features).select("probability").first() != whole.transform(features).select("probability").first()
+
+
+def test_folds_at_once_rate_alike(four_features):
+    config = ML.ChurnConfig(trees=4, depth=2, folds=3, column_share=1.0)
+    rated = [
+        sorted(map(tuple, ML.cross_validate(four_features, ["a", "b", "c", "d"], ["id"], config, at_once=n).collect()))
+        for n in (1, 3)
+    ]
+    assert rated[0] == rated[1] and len(rated[0]) == 3 and all(a > 0.7 for _, a in rated[0])

@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from keepsake.plans import attribution, bronze, engagement, episodes, features, metrics
-from keepsake.schemas import EVENT_FIELDS
-from keepsake.sources.staging import stage
+from keepsake.schemas import EPISODE_KEY, EVENT_FIELDS
+from keepsake.sources.staging import stage, stage_bucketed
 
 COLUMNS = [f for f in EVENT_FIELDS if f not in ("event_date",)] + ["event_date"]
 SCHEMA = ", ".join(f"{c} string" for c in COLUMNS)
@@ -246,6 +246,27 @@ def test_final_metrics_keeps_the_grain(spark, tables, rows):
     assert gold.filter("treatment_name IS NOT NULL OR first_assignment_date IS NOT NULL").isEmpty()
 
 
+def test_steps_join_where_their_rows_lie(spark, tables, same):
+    """Tables in buckets by the episode's key: only the retention lookup shuffles."""
+    _, found, engaged, attributed = tables
+    status = spark.createDataFrame([], "company_id long, date_of date, open_subscriber int")
+    day = F.lit("2024-07-17").cast("date")
+    laid = [stage_bucketed(df, 4, *EPISODE_KEY, gather=True) for df in (found, attributed, engaged)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans, tags = [], []
+        for three in (laid, [stage(df) for df in (found, attributed, engaged)]):
+            gold = metrics.final_metrics(*three, status, day, F.lit("2024-07-18").cast("timestamp"))
+            text = gold._jdf.queryExecution().executedPlan().toString()
+            exchanges = [x for x in text.split("\n") if "Exchange hashpartitioning" in x]
+            plans.append(sum("company_id" in x and "initiation_rank" in x and "initiation_timestamp" in x for x in exchanges))
+            tags.append(gold)
+        assert plans[0] == 0 and plans[1] >= 3
+        same(*tags)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_bronze(make, rows):
     again = {"event_id": "same", "workflow_state": '{"client_realm_id": "9", "product": "P"}', "product": None}
     raw = make(

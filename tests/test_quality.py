@@ -77,6 +77,21 @@ def test_volume_and_freshness(spark):
         assert Q.freshness(rows, "t", as_of).first()["state"] == state
 
 
+def test_absent_days_count_zero(spark, rows):
+    day = lambda n: dt.date(2024, 1, n)
+    data = [("s", day(n), 100) for n in range(1, 21) if n not in (9, 10)] + [("gone", day(n), 10) for n in range(1, 9)]
+    daily = spark.createDataFrame([*data, ("one", day(20), 3)], "s string, d date, n int")
+    out = Q.volume_anomaly(daily, "s", "d", "n")
+    assert rows(out.groupBy("s").count()) == [("gone", 20), ("one", 1), ("s", 20)]
+    odd = out.filter("is_anomaly")
+    got = {(r["s"], r["d"].day, r["n"]) for r in odd.collect()}
+    assert {("s", 9, 0), ("s", 10, 0), ("gone", 9, 0), ("gone", 12, 0)} <= got
+    # Seven days means seven days: on the 18th the gap is out of sight.
+    assert not any(k == ("s", n, 100) for k in got for n in (18, 19, 20))
+    text = daily.withColumn("d", F.col("d").cast("string"))
+    assert Q.volume_anomaly(text, "s", "d", "n").filter("d = '2024-01-09' AND n = 0").count() == 2
+
+
 def test_contract(df):
     contract = Contract(
         "t", ("flag",), ("id",),

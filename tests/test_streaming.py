@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from keepsake.sources import streams
-from keepsake.streaming import ingest
+from keepsake.streaming import episodes as SE
+from keepsake.streaming import ingest, progress
 from keepsake.streaming import windows as SW
 
 T0 = dt.datetime(2024, 1, 1, 10)
@@ -169,3 +170,43 @@ def test_stream_join_emits_matched_and_unmatched(spark, feed, tmp_path, rows):
     got = {r["event_id"]: r["c"] for r in pairs.collect()}
     assert got["s1"] == T0 + dt.timedelta(minutes=59) and got["s2"] is None
     assert got["s3"] == T0 + dt.timedelta(minutes=500)
+
+
+def test_episodes_are_detected_as_events_arrive(spark, feed, tmp_path, rows):
+    """Out of order within the lateness, over several batches: the last word on each episode is the batch's."""
+    arrivals = [
+        [("1", 0), ("1", 3), ("2", 1)], [("1", 2), ("1", 3), ("2", 90)], [("1", 200), ("2", 88), ("3", 150)], [("1", 400), ("9", 1)],
+    ]
+    sunk = str(tmp_path / "sunk")
+    for n, batch in enumerate(arrivals):
+        feed(*[event(f"{n}-{k}", minutes, company) for k, (company, minutes) in enumerate(batch)])
+        starts = ingest.split_valid(ingest.parse_events(streams.stream_source(spark, "files", {"path": feed.path})))[0]
+        found = SE.detect_episodes(starts.select("company_id", "event_timestamp"), ["company_id"], "event_timestamp")
+        streams.stream_sink(found, sunk, str(tmp_path / "ep"), trigger={"availableNow": True}).start().awaitTermination()
+    emitted = spark.read.schema(found.schema).parquet(sunk)
+    at = lambda m: T0 + dt.timedelta(minutes=m)
+    # The watermark stands at minute 395; ("9", 1) came far behind it.
+    assert rows(SE.latest_episodes(emitted, ["company_id"])) == [
+        ("1", at(0), 1, at(2)), ("1", at(2), 2, at(3)), ("1", at(3), 3, at(200)), ("1", at(200), 4, at(260)),
+        ("2", at(1), 1, at(88)), ("2", at(88), 2, at(90)), ("2", at(90), 3, at(150)), ("3", at(150), 1, at(210)),
+    ]
+    assert emitted.filter("NOT closed").count() == 8
+
+
+def test_progress_is_recorded(spark, feed, tmp_path):
+    path = str(tmp_path / "progress")
+    listener = progress.ProgressLedger(spark, path, every=1)
+    spark.streams.addListener(listener)
+    try:
+        for lines in ([event("a", 60), event("b", 61)], [event("c", 1), event("d", 62), event("d", 62)]):
+            feed(*lines)
+            valid = ingest.split_valid(ingest.parse_events(streams.stream_source(spark, "files", {"path": feed.path})))[0]
+            kept = SW.drop_late_duplicates(valid.select("event_id", "event_timestamp"), ["event_id"], "event_timestamp")
+            q = streams.stream_sink(kept, str(tmp_path / "kept"), str(tmp_path / "ck"), trigger={"availableNow": True}).start()
+            q.awaitTermination()
+            listener.wait([q])
+    finally:
+        spark.streams.removeListener(listener)
+    reports = spark.read.parquet(path)
+    total = reports.agg(F.sum("input_rows"), F.sum("late_rows"), F.countDistinct("run"), F.max("watermark")).first()
+    assert tuple(total) == (5, 1, 2, "2024-01-01T10:57:00.000Z")

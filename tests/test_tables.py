@@ -216,6 +216,20 @@ def test_evolution(spark, rows):
     assert rows(versions.append_evolved(old, new, {"n": 0})) == [(1, "a", 0), (2, None, 5)]
 
 
+def test_generations_of_files_under_one_schema(spark, path, rows):
+    first = spark.sql("SELECT 1 AS id, DATE '2024-01-01' AS at, CAST(1.5 AS FLOAT) AS v")
+    second = spark.sql("SELECT 5000000000 AS id, TIMESTAMP_NTZ '2024-01-02 03:04:05' AS at, 'x' AS more")
+    for df in (first, second, first.withColumn("v", F.lit(2.5))):
+        io.append_merged(df, path)
+    assert rows(io.read_table(spark, path).select("id", "at", "v", "more")) == [
+        (1, dt.datetime(2024, 1, 1), 1.5, None), (1, dt.datetime(2024, 1, 1), 2.5, None),
+        (5_000_000_000, dt.datetime(2024, 1, 2, 3, 4, 5), None, "x"),
+    ]
+    with pytest.raises(ValueError, match="id is bigint in old files and string in new ones"):
+        io.append_merged(first.withColumn("id", F.lit("a")), path)
+    assert io.read_table(spark, path).count() == 3
+
+
 def test_scd2_steps_equal_full_history(spark, rows):
     day = lambda n: dt.date(2024, 1, n)
     shots = [
@@ -239,8 +253,14 @@ def test_ledger(spark, path):
         L.record_run(spark, path, "step1_cancel_initiations", "t", 5, dt.datetime(2024, 1, 1 + i), seconds)
     runs = spark.read.parquet(path)
     assert L.recent_runs(runs, 1).first()["seconds"] == 2000.0
-    slow = L.slow_steps(runs).collect()
+    slow = L.slow_steps(runs, L.STEP_BASELINES).collect()
     assert len(slow) == 1 and slow[0]["baseline_seconds"] == 587.0
+    assert L.slow_steps(runs).isEmpty()  # too short a history
+    for i, (seconds, status) in enumerate([(120.0, "ok"), (9000.0, "failed"), (110.0, "ok"), (290.0, "ok"), (100.0, "ok")]):
+        L.record_run(spark, path, "step1_cancel_initiations", "t", 5, dt.datetime(2024, 2, 1 + i), seconds, status)
+    # The median of 100, 2000, 120 and 110; the failed run is no measure.
+    slow = L.slow_steps(spark.read.parquet(path)).orderBy("started").collect()
+    assert [(r["seconds"], r["baseline_seconds"]) for r in slow] == [(290.0, 115.0)]
 
 
 def test_staging_uses_the_folder_of_the_session(spark, tmp_path, base, same, monkeypatch):
