@@ -1,6 +1,6 @@
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -57,7 +57,7 @@ def test_fixed_capacity(spark):
 def test_best_fit_decreasing(seed):
     rng = random.Random(seed)
     sizes = [rng.randint(1, 100) for _ in range(300)]
-    got = sharding.best_fit_decreasing(sizes, 100)
+    runs, bins = sharding.best_fit_decreasing(Counter(sizes), 100)
     rooms, want = [], [0] * len(sizes)
     for k in sorted(range(len(sizes)), key=lambda k: (-sizes[k], k)):
         fits = [(r, b) for b, r in enumerate(rooms) if r >= sizes[k]]
@@ -66,7 +66,38 @@ def test_best_fit_decreasing(seed):
             rooms.append(100)
         rooms[b] -= sizes[k]
         want[k] = b
-    assert got == want
+    assert bins == len(rooms)
+    for size in set(sizes):
+        got = [b for first, n, b in sorted(runs[size]) for _ in range(n)]
+        assert sorted(got) == sorted(w for w, x in zip(want, sizes, strict=True) if x == size)
+
+
+def test_copies_of_one_row_are_levelled(spark):
+    """Rows that nothing tells apart, four times a shard, and small texts."""
+    rows = [(7, "c" * 1000)] * 400 + [(100 + n, f"small {n} " * 3) for n in range(100)]
+    shards = collected(sharding.shard(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 16))
+    sizes = [sum(r["size"] for r in rows) for rows in shards.values()]
+    assert len(sizes) == 16 and max(sizes) - min(sizes) <= 2100
+
+
+def test_a_row_larger_than_a_shard_has_one_to_itself(spark):
+    rows = [(0, "x" * 50_000)] + [(n, f"{n} " * 40) for n in range(1, 400)]
+    shards = collected(sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), 8))
+    sizes = sorted(sum(r["size"] for r in rows) for rows in shards.values())
+    assert len(sizes) == 8 and sizes[-1] == 50_001 and sizes[-2] <= 1.05 * sizes[0]
+
+
+def test_many_groups_are_packed_as_groups(spark):
+    """Sizes of over four digits count in classes; no two groups are tied together."""
+    rng = random.Random(8)
+    rows = [(n, "x" * rng.randint(10_000, 14_000) + str(n)) for n in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    shards = collected(sharding.shard(df, 16))
+    sizes = [sum(r["size"] for r in rows) for rows in shards.values()]
+    bound = sum(sizes) / 16
+    assert len(sizes) == 16 and max(sizes) <= bound + 14_000
+    fixed = collected(sharding.shard(df, capacity=14_005))
+    assert len(fixed) == 300 and all(len(r) == 1 for r in fixed.values())
 
 
 def test_nothing(no_docs):
