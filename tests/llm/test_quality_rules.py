@@ -45,6 +45,21 @@ def test_rules_and_order(spark):
     assert [r.name for r in quality_rules.ordered(rows, [never, often])] == ["often", "never"]
 
 
+def test_order_by_cost_and_by_what_is_left(spark):
+    rows = spark.createDataFrame([(n, " ".join(f"w{n}x{k}" for k in range(60 + n % 2))) for n in range(200)], "doc_id long, text string")
+    odd = F.col("n_words") % 2 == 1
+    dear = quality_rules.Rule("dear", odd & (F.length(F.sha2(F.repeat("text", 100), 512)) > 0))
+    cheap = quality_rules.Rule("cheap", odd)
+    # What "cheap" rejects is gone when "same" is judged; "few" still finds a tenth of the rest.
+    few = quality_rules.Rule("few", F.col("text").contains("5x1 "))
+    same = quality_rules.Rule("same", odd & (F.col("word_chars") > 0))
+    for rules in ([dear, cheap], [cheap, dear]):
+        assert [r.name for r in quality_rules.ordered(rows, rules)] == ["cheap", "dear"]
+    names = [r.name for r in quality_rules.ordered(rows, [dear, few, cheap])]
+    assert names == ["cheap", "few", "dear"]
+    assert {r.name for r in quality_rules.ordered(rows, [same, few, cheap])} == {"same", "few", "cheap"}
+
+
 def test_no_python_in_the_plan(docs):
     plan = quality_rules.apply(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
