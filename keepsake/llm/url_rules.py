@@ -1,16 +1,18 @@
 """URL filter by association rules, in DataFrame functions and Spark's FP-growth only.
 
 Given prefix rules decide first, the longest that fits. Other URLs are judged by mined rules: token
-combinations that go with bad labels often and surely enough. The mined rules are matched through an
-inverted index from token to rules: a constant while the rules are few, where no row is shuffled to be
+combinations that go with bad labels often and surely enough, tokens that always go together being one. The mined
+rules are matched through an inverted index from token to rules: a constant while the rules are few, where no row is shuffled to be
 judged, else a table that distinct URLs are joined with. No rule is left out for their number.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import zlib
 from functools import reduce
+from itertools import product
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
@@ -21,7 +23,7 @@ from keepsake.sources.staging import stage
 
 BAD = "=bad"
 SLOTS = 1024
-MAX_INDEXED = 1000  # rules held as a constant; more are matched as a table
+MAX_INDEXED = 1000  # rules, and tokens of their classes, held as a constant; more are matched as a table
 
 # The given prefix rules.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -85,23 +87,54 @@ def labelled_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return found.join(marked, F.col("number") == F.col("doc_id")).select("url", (F.col("bad") == 1).alias("bad"))
 
 
-def mined_rules(labelled: DataFrame, min_support: float = 0.005, min_confidence: float = 0.75) -> DataFrame | None:
-    """Rules ``tokens -> bad`` as (t, confidence, support), ``t`` sorted; none without labelled rows.
+def token_classes(baskets: DataFrame, least: int) -> DataFrame:
+    """(token, class) of the tokens in at least ``least`` rows (row, items): those of equal rows are one class.
 
-    A rule is dropped if a part of its tokens is a rule of at least its confidence; all others stay.
-    Token sets grow by one a round, and each learns the best rule below it from the sets one smaller,
-    which are all there, as a part of a frequent set is frequent.
+    A class is named by its first token. Rows are compared by their number and two sums of 64-bit hashes. A token in a
+    given share of all rows, as tokens here are, has less than 1 / share others for each token of a mean row.
+    """
+    listed = baskets.select("row", F.explode("items").alias("token"))
+    wide = "decimal(38,0)"
+    marks = listed.groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.xxhash64("row").cast(wide)).alias("s1"),
+        F.sum(F.xxhash64(F.lit(1), "row").cast(wide)).alias("s2"),
+    )
+    alike = marks.where(F.col("n") >= least).groupBy("n", "s1", "s2").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
+    return alike.select(F.explode("tokens").alias("token"), F.element_at("tokens", 1).alias("class"))
+
+
+def mined_rules(
+    labelled: DataFrame, min_support: float = 0.005, min_confidence: float = 0.75
+) -> tuple[DataFrame, DataFrame] | None:
+    """Rules ``classes -> bad`` as (t, confidence, support), ``t`` sorted, and the classes; none without labelled rows.
+
+    Tokens that occur in the same rows are mined as one class: a set with two of them holds nothing that one does not. So a
+    long URL, however often it is there, adds one token for all that only it has. A rule is dropped if a part of
+    it is a rule of at least its confidence; all others stay. Sets grow by one a round, and each learns the best rule
+    below it from the sets one smaller, which are all there, as a part of a frequent set is frequent.
     """
-    items = tokens(F.col("url"))
     baskets = labelled.select(
-        F.when(F.col("bad"), F.concat(items, F.array(F.lit(BAD)))).otherwise(items).alias("items")
+        F.monotonically_increasing_id().alias("row"), tokens(F.col("url")).alias("items"), "bad"
     )
     # A third of the pages may share one URL: copies of a basket are mined with the rest, in place.
     baskets = stage(baskets, "baskets")
     total = baskets.count()
     if not total:
         return None
-    frequent = stage(FPGrowth(itemsCol="items", minSupport=min_support).fit(baskets).freqItemsets, "itemsets")
+    least = max(1, math.ceil(min_support * total))
+    classes = stage(token_classes(baskets, least), "classes")
+    merged = (
+        baskets.select("row", "bad", F.explode("items").alias("token"))
+        .join(F.broadcast(classes), "token")
+        .groupBy("row", "bad")
+        .agg(F.collect_set("class").alias("items"))
+        .select(F.when(F.col("bad"), F.concat("items", F.array(F.lit(BAD)))).otherwise(F.col("items")).alias("items"))
+    )
+    merged = stage(merged, "merged")
+    # Rows without a frequent token are gone; the least number of rows stays the same.
+    share = (least - 0.5) / max(1, merged.count())
+    frequent = stage(FPGrowth(itemsCol="items", minSupport=min(1.0, share)).fit(merged).freqItemsets, "itemsets")
     is_bad = F.array_contains("items", BAD)
     bad = frequent.where(is_bad & (F.size("items") > 1)).select(
         F.sort_array(F.array_remove("items", BAD)).alias("t"), F.col("freq").alias("both")
@@ -125,38 +158,55 @@ def mined_rules(labelled: DataFrame, min_support: float = 0.005, min_confidence:
         below = stage(found.agg(F.max("best").alias("below")), "level")
         levels.append(below)
     kept = reduce(DataFrame.union, levels).where(is_rule & (F.col("below") < F.col("confidence")))
-    return stage(kept.select("t", "confidence", "support"), "rules")
+    rules = stage(kept.select("t", "confidence", "support"), "rules")
+    used = rules.select(F.explode("t").alias("class")).distinct()
+    return rules, classes.join(used, "class", "left_semi").select("token", "class")
 
 
 def mine(labelled: DataFrame, **mining) -> list[tuple[tuple[str, ...], float, float]]:
-    """All of ``mined_rules`` as (tokens, confidence, support), strongest first."""
+    """All of ``mined_rules`` as (tokens, confidence, support), strongest first, a token of every class in each."""
     found = mined_rules(labelled, **mining)
-    rows = [] if found is None else found.collect()
-    kept = [(tuple(r["t"]), r["confidence"], r["support"]) for r in rows]
+    if found is None:
+        return []
+    members: dict[str, list[str]] = {}
+    for token, name in found[1].collect():
+        members.setdefault(name, []).append(token)
+    kept = [
+        (tuple(sorted(t)), r["confidence"], r["support"])
+        for r in found[0].collect()
+        for t in product(*(members[c] for c in r["t"]))
+    ]
     return sorted(kept, key=lambda r: (-r[1], len(r[0]), -r[2], r[0]))
 
 
-def matches(url: Column, rules: list[tuple[str, ...]]) -> Column:
-    """Whether some rule has all its tokens in the URL."""
+def _slotted(keys: dict[str, int]) -> Column:
+    """A constant with the number of each key, in slots by hash."""
+    slots: list[list[dict]] = [[] for _ in range(SLOTS)]
+    for k, n in keys.items():
+        slots[zlib.crc32(k.encode()) % SLOTS].append({"t": k, "n": n})
+    return F.from_json(F.lit(json.dumps(slots)), "array<array<struct<t:string,n:int>>>")
+
+
+def matches(url: Column, rules: list[tuple[str, ...]], classes: dict[str, str] | None = None) -> Column:
+    """Whether some rule has all its classes in the URL; without ``classes`` every token is one."""
     if not rules:
         return F.lit(False)
-    by_token: dict[str, list[int]] = {}
+    names = {c: n for n, c in enumerate(sorted({c for rule in rules for c in rule}))}
+    of = {c: c for c in names} if classes is None else classes
+    listed: list[list[int]] = [[] for _ in names]
     for n, rule in enumerate(rules):
-        for t in rule:
-            by_token.setdefault(t, []).append(n)
-    slots: list[list[dict]] = [[] for _ in range(SLOTS)]
-    for t, listed in by_token.items():
-        slots[zlib.crc32(t.encode()) % SLOTS].append({"t": t, "r": listed})
-    index = F.from_json(F.lit(json.dumps(slots)), "array<array<struct<t:string,r:array<int>>>>")
+        for c in rule:
+            listed[names[c]].append(n)
+    index = _slotted({t: names[c] for t, c in of.items() if c in names})
+    by_class = F.from_json(F.lit(json.dumps(listed)), "array<array<int>>")
     sizes = F.from_json(F.lit(json.dumps([len(r) for r in rules])), "array<int>")
-    met = F.flatten(
-        F.transform(
-            tokens(url),
-            lambda t: F.flatten(
-                F.transform(F.filter(F.get(index, (F.crc32(t) % SLOTS).cast("int")), lambda e: e["t"] == t), lambda e: e["r"])
-            ),
-        )
-    )
+
+    def found_in(t: Column) -> Column:
+        slot = F.get(index, (F.crc32(t) % SLOTS).cast("int"))
+        return F.transform(F.filter(slot, lambda e: e["t"] == t), lambda e: e["n"])
+
+    held = F.array_distinct(F.flatten(F.transform(tokens(url), found_in)))
+    met = F.flatten(F.transform(held, lambda c: F.get(by_class, c)))
     # Runs of one rule in the sorted list: a rule matches when its run is as long as the rule.
     start = F.struct(F.lit(-1).alias("rule"), F.lit(0).alias("n"), F.lit(False).alias("found"))
 
@@ -169,20 +219,25 @@ def matches(url: Column, rules: list[tuple[str, ...]]) -> Column:
     return F.aggregate(F.sort_array(met), start, step)["found"]
 
 
-def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """The distinct ``url`` that have all tokens of some rule (``t``), by joins.
+def matched(urls: DataFrame, rules: DataFrame, classes: DataFrame) -> DataFrame:
+    """The distinct ``url`` that have all classes of some rule (``t``), by joins.
 
-    A rule is listed under the token that the fewest rules have, so that common tokens list few.
+    A rule is listed under the class that the fewest rules have, so that common ones list few.
     """
-    listed = rules.select("t", F.explode("t").alias("token"))
-    spread = listed.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    listed = rules.select("t", F.explode("t").alias("class"))
+    spread = listed.groupBy("class").agg(F.count(F.lit(1)).alias("n"))
     index = (
-        listed.join(spread, "token")
+        listed.join(spread, "class")
         .groupBy("t")
-        .agg(F.min(F.struct("n", "token"))["token"].alias("token"))
+        .agg(F.min(F.struct("n", "class"))["class"].alias("class"))
     )
-    cut = urls.select("url").distinct().select("url", tokens(F.col("url")).alias("has"))
-    met = cut.select("url", "has", F.explode("has").alias("token")).join(index, "token")
+    cut = (
+        urls.select("url").distinct().select("url", F.explode(tokens(F.col("url"))).alias("token"))
+        .join(classes, "token")
+        .groupBy("url")
+        .agg(F.collect_set("class").alias("has"))
+    )
+    met = cut.select("url", "has", F.explode("has").alias("class")).join(index, "class")
     return met.where(F.size(F.array_except("t", "has")) == 0).select("url").distinct()
 
 
@@ -193,17 +248,18 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, max_indexed: int = M
     malformed URLs, which have no tokens. Repeated rows are judged alike; other columns are ignored;
     empty tables give no rows, or no mined rules.
     """
-    mined = mined_rules(labelled_urls(pages, labels), **mining)
+    mined, classes = mined_rules(labelled_urls(pages, labels), **mining) or (None, None)
     few = [] if mined is None else [tuple(r["t"]) for r in mined.select("t").limit(max_indexed + 1).collect()]
+    of = {} if mined is None else dict(map(tuple, classes.select("token", "class").limit(max_indexed + 1).collect()))
     actions = F.create_map(*[F.lit(x) for action, rule in rules for x in (rule, action)])
     host, path = host_and_path(F.col("url"))
     found = pages.select("page_id", "url", host.alias("host"), path.alias("path")).select(
         "*", prefix_rule(F.col("host"), F.col("path"), rules).alias("rule")
     )
-    if len(few) <= max_indexed:
-        found = found.withColumn("mined", matches(F.col("url"), few))
+    if max(len(few), len(of)) <= max_indexed:
+        found = found.withColumn("mined", matches(F.col("url"), few, of))
     else:
-        blocked = matched(found.where("rule is null"), mined).withColumn("mined", F.lit(True))
+        blocked = matched(found.where("rule is null"), mined, classes).withColumn("mined", F.lit(True))
         found = found.join(blocked, "url", "left")
     learned = F.when(F.col("mined"), F.lit("block")).otherwise(F.lit("allow"))
     verdict = F.when(F.col("rule").isNotNull(), F.try_element_at(actions, F.col("rule"))).otherwise(learned)

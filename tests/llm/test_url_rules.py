@@ -125,3 +125,22 @@ def test_rules_as_a_table(mined):
         for n in (url_rules.MAX_INDEXED, 0)
     )
     assert table == constant and {r[4] for r in table} == {"block", "allow"}
+
+
+def test_a_long_hot_url_ends(spark):
+    """30 parameters in a third of the labels: 2**30 sets if they were mined one by one."""
+    hot = "http://track.example.info/go/{}?" + "&".join(f"p{n}=v{n}" for n in range(30))
+    urls, labels = [], []
+    for n in range(300):
+        urls.append(hot.format(n) if n < 100 else f"http://pills.info/buy/{n}?p1=x" if n < 150 else f"http://fine.info/buy/{n}?p2=v2")
+        labels.append((n, int(n >= 140), 0))
+    urls += ["http://x/?p7=1", "http://x/?p2=1", "http://x/?p1=1", "http://pills.info/", "http://track.fine/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    rules = {t for t, _, _ in url_rules.mine(url_rules.labelled_urls(pages, labels))}
+    # Of the hot URL every token of its own alone is a rule.
+    assert {("rest p7",), ("rest v7",), ("host track",), ("path go",), ("host pills",)} <= rules
+    for judged in (url_rules.judge(pages, labels), url_rules.judge(pages, labels, max_indexed=0)):
+        verdicts = [r[0] for r in judged.orderBy("page_id").select("verdict").collect()]
+        assert verdicts[:150] == ["block"] * 150 and verdicts[150:300] == ["allow"] * 150
+        assert verdicts[300:] == ["block", "allow", "block", "block", "block"]
