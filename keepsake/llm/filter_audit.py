@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keepsake.llm.common import READ_ROWS, map_rows
+from keepsake.sources.staging import stage
 
 FILTERS = "ABCDE"
 ORDERS = list(permutations(range(len(FILTERS))))
@@ -91,6 +92,7 @@ def cells(docs: DataFrame, labels: DataFrame) -> DataFrame:
     groups = labelled.groupBy("copy", "part", "bits", "no_id").agg(
         *measures, F.min(F.struct("doc_id", *MEASURES)).alias("first")
     )
+    groups = stage(groups, "copies")
     originals = groups.where("not no_id").groupBy(F.col("copy").alias("same")).agg(F.min("first.doc_id").alias("least"))
     judged = groups.join(originals, F.col("copy") == F.col("same"), "left")
     passing = F.when(F.col("no_id"), F.struct(*MEASURES)).when(
