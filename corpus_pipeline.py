@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepsake.llm import cotraining, decontaminate, packing, simhash, suffix_dedup
+from keepsake.llm import cotraining, decontaminate, packing, similar_texts, suffix_dedup
 from keepsake.llm.catalog import word_tokenizer
 from keepsake.llm.common import read
 from keepsake.sources.staging import stage
@@ -23,8 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that of the smallest id."""
-    return simhash.deduplicated(docs, size=3, threshold=2)
+    """One document of each group of near copies stays, that of the smallest id: five-word shingles alike to 0.8."""
+    return similar_texts.deduplicated(docs, size=5, similarity=0.8)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

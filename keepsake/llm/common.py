@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import sys
 from collections.abc import Callable, Hashable, Iterable, Iterator
 from typing import TypeVar
@@ -13,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from keepsake.sources.staging import stage
+from keepsake.sources.staging import discard, stage
 
 T = TypeVar("T")
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -42,6 +45,14 @@ def kept_by_worker(key: Hashable, make: Callable[[], T]) -> T:
     return held[key]
 
 
+def release_memory() -> None:
+    """Gives back to the system what this worker no longer uses; workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def shared_object(spark: SparkSession, value: T) -> Callable[[], T]:
     """A broadcast of an object of this package's classes, which travel by value as functions do."""
     sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
@@ -79,6 +90,7 @@ def map_rows(
                 held, size = [], 0
         if held:
             yield given(held)
+        release_memory()
 
     return df.mapInArrow(run, schema)
 
@@ -121,7 +133,7 @@ def components(links: DataFrame, least: int = 1) -> DataFrame:
             .groupBy(F.col("a").alias("node"))
             .agg(F.min("label").alias("offer"))
         )
-        lower = labels.join(offered, "node").select(
+        lower = labels.select("node", "label").join(offered, "node").select(
             "node", F.col("label").alias("old"), F.least("label", "offer").alias("label")
         )
         lower = stage(lower, "lower")
@@ -130,6 +142,8 @@ def components(links: DataFrame, least: int = 1) -> DataFrame:
             "node", "old", F.least("label", F.coalesce("further", "label")).alias("label")
         )
         jumped = stage(jumped, "labels")
-        labels = jumped.select("node", "label")
+        discard(labels, lower)
+        labels = jumped
         if jumped.where("label < old").limit(least).isEmpty():
+            discard(both)
             return labels.select("node", F.col("label").alias("component"))

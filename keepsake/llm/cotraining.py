@@ -114,22 +114,24 @@ def fit(rows: Rows, size: int, dense_size: int, steps: int = 300, decay: float =
     chosen = np.flatnonzero(telling(rows.slots, y, size))
     number = np.full(size, -1)
     number[chosen] = np.arange(len(chosen))
-    x = np.zeros((len(y), len(chosen) + dense_size + 1))
-    for n, (slots, dense) in enumerate(zip(rows.slots, rows.dense, strict=True)):
-        at = number[slots]
-        x[n, at[at >= 0]] = 1
-        x[n, len(chosen) : -1] = dense
-    x[:, -1] = 1
-    params = np.zeros(x.shape[1])
+    # Only the slots that a row has are held, as (row, slot) pairs.
+    at = [number[slots] for slots in rows.slots]
+    col = np.concatenate([a[a >= 0] for a in at])
+    row = np.repeat(np.arange(len(y)), [int((a >= 0).sum()) for a in at])
+    dense = np.column_stack([np.array(rows.dense).reshape(len(y), dense_size), np.ones(len(y))])
+    n = len(chosen)
+    params = np.zeros(n + dense_size + 1)
     first, second = np.zeros_like(params), np.zeros_like(params)
     for step in range(1, steps + 1):
-        grad = x.T @ (1 / (1 + np.exp(-np.clip(x @ params, -30, 30))) - y)
+        odds = np.bincount(row, params[col], len(y)) + dense @ params[n:]
+        miss = 1 / (1 + np.exp(-np.clip(odds, -30, 30))) - y
+        grad = np.concatenate([np.bincount(col, miss[row], n), dense.T @ miss])
         grad[:-1] += decay * params[:-1]
         first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad * grad
         params -= 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-6)
     weights = np.zeros(size)
-    weights[chosen] = params[: len(chosen)]
-    return View(weights, params[len(chosen) : -1], float(params[-1]))
+    weights[chosen] = params[:n]
+    return View(weights, params[n:-1], float(params[-1]))
 
 
 def calibrate(view: View, rows: Rows, steps: int = 300) -> View:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keepsake.llm.common import kept_by_worker, map_rows, width
+from keepsake.llm.common import kept_by_worker, map_rows, release_memory, width
 from keepsake.sources.staging import stage
 
 CACHED_WORDS = 400_000
@@ -43,7 +43,7 @@ class WordTokenizer:
     The vocabulary's pre-tokenizer never joins across white space, so the ids of a text are those of
     its words, and those of a word are those of its parts. Texts with added tokens, or with control
     characters on which notions of white space differ, are encoded whole. Both memories have a
-    bound and are emptied when they reach it.
+    bound and are emptied when they reach it, and ``forget`` empties them at the end of a task.
     """
 
     def __init__(self, path: str):
@@ -57,6 +57,10 @@ class WordTokenizer:
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        self.words, self.parts = {}, {}
+        release_memory()
+
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.model.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
@@ -120,12 +124,15 @@ def document_pieces(
 
     def rows(taken):
         words = tokenizer(tokenizer_path)
-        for doc_id, text in taken:
-            ids = words.ids(text or "") + end
-            for n, at in enumerate(range(0, len(ids), step)):
-                cut = ids[at : at + step]
-                row = (doc_id, n, at // 4, len(cut) // 4, zlib.crc32(cut))
-                yield (*row, cut) if with_ids else row
+        try:
+            for doc_id, text in taken:
+                ids = words.ids(text or "") + end
+                for n, at in enumerate(range(0, len(ids), step)):
+                    cut = ids[at : at + step]
+                    row = (doc_id, n, at // 4, len(cut) // 4, zlib.crc32(cut))
+                    yield (*row, cut) if with_ids else row
+        finally:
+            words.forget()
 
     return map_rows(docs.select("doc_id", "text"), PIECES + (", ids binary" if with_ids else ""), rows)
 
@@ -255,9 +262,11 @@ def pack(
     most pieces is ranked in as many salted parts as the session has shuffle partitions.
     """
     spark = docs.sparkSession
-    pieces = stage(document_pieces(docs, tokenizer_path, max_len, end_id, with_ids), "pieces")
-    salt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(width(spark)))
-    salted = pieces.withColumn("salt", salt)
+    pieces = document_pieces(docs, tokenizer_path, max_len, end_id, with_ids)
+    old = pieces.columns
+    # Copies of one row are told apart by their number only.
+    pieces = stage(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces")
+    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(width(spark))))
     sizes = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
     counts = np.zeros(max_len + 1, np.int64)
     for length, n in sizes.groupBy("length").agg(F.sum("n")).collect():
@@ -267,15 +276,13 @@ def pack(
 
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    within = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32", "start")
-    # Three columns find the order of a part; ids, where carried, travel with them once.
+    within = Window.partitionBy("length", "salt").orderBy("row")
     ranked = (
         salted.withColumn("at", F.row_number().over(within) - 1)
         .join(starts, ["length", "salt"])
         .withColumn("rank", F.col("before") + F.col("at"))
-        .select(*pieces.columns, "rank")
+        .select(*old, "rank")
     )
-    old = pieces.columns
 
     def rows(batches):
         for b in batches:
@@ -287,5 +294,5 @@ def pack(
             kept = [b.column(c) for c in old]
             yield pa.RecordBatch.from_arrays([*kept, *map(pa.array, new)], names=[*old, "sequence_id", "offset"])
 
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema)
+    columns = ", ".join(f"{c} {pieces.schema[c].dataType.simpleString()}" for c in old)
     return ranked.mapInArrow(rows, f"{columns}, sequence_id long, offset long")

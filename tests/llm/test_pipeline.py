@@ -9,7 +9,7 @@ import corpus_pipeline
 from keepsake.llm import cotraining
 from keepsake.llm.catalog import ORACLE_SQL, QUERIES
 from tests.llm.test_decontaminate import brute_force
-from tests.llm.test_simhash import fingerprint, groups
+from tests.llm.test_similar_texts import groups
 from tests.llm.test_suffix_dedup import repeated
 from tools.check_oracle import compare, connect
 
@@ -55,8 +55,19 @@ def test_quality(spark, stages):
 
 
 def test_near_duplicates(stages):
-    rows = groups([(d, fingerprint(t)) for d, t in texts(stages[1])])
-    assert [d for d, _ in texts(stages[2])] == sorted({c for _, _, c in rows})
+    """Against all pairs by exact Jaccard over five-word shingles, given near copies included."""
+    rows = groups(texts(stages[1]))
+    assert [d for d, _ in texts(stages[2])] == sorted({c for _, c in rows})
+    copies = {d for d, c in rows if c != d}
+    exact = {d for d, _ in texts(stages[1])} - {min(d for d, _ in g) for g in by_words(texts(stages[1]))}
+    assert len(copies - exact) >= 2
+
+
+def by_words(rows):
+    groups_of = {}
+    for d, t in rows:
+        groups_of.setdefault(tuple((t or "").lower().split()), []).append((d, t))
+    return groups_of.values()
 
 
 def test_repeated_passages(stages):
