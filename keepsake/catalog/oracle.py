@@ -471,8 +471,8 @@ _SQL: dict[str, str] = {
         f"SELECT '{step}' AS step, '{table}' AS table_name, count(*) AS rows, 'ok' AS status FROM {view}"
         for step, table, view, _ in WRITTEN
     ),
-    "slow_steps": """SELECT step, table_name, rows, seconds, round(baseline, 6) AS baseline_seconds,
-        round(seconds / baseline, 4) AS ratio FROM (
+    "slow_steps": """SELECT step, table_name, rows, seconds, round(baseline, 3) AS baseline_seconds,
+        round(seconds / nullif(baseline, 0), 4) AS ratio FROM (
       SELECT *, CASE WHEN count(timed) OVER w >= 3 THEN quantile_cont(timed, 0.5) OVER w END AS baseline FROM (
         SELECT *, CASE WHEN CAST(substr(table_name, 9, 2) AS INTEGER) % 13 <> 0 THEN seconds END AS timed FROM (
           SELECT event AS step, event_date AS table_name, count(*) AS rows, min(event_timestamp) AS started,
@@ -568,7 +568,7 @@ _SQL: dict[str, str] = {
       GROUP BY company_id, sid HAVING max(tm) + INTERVAL 6 HOUR <= {WATERMARK}""",
     "stream_episodes": f"""SELECT company_id, tm AS initiation_timestamp, CAST(row_number() OVER w AS INTEGER) AS initiation_rank,
         coalesce(lead(tm) OVER w, tm + INTERVAL 1 HOUR) AS window_end_timestamp
-      FROM (SELECT DISTINCT company_id, tm FROM ({STARTED}) WHERE tm <= {WATERMARK})
+      FROM (SELECT DISTINCT company_id, tm FROM ({STARTED}) WHERE tm <= (SELECT max(tm) - INTERVAL 5 MINUTE FROM ({STARTED})))
       WINDOW w AS (PARTITION BY company_id ORDER BY tm)""",
     "stream_interval_join": f"""SELECT s.event_id, s.company_id, s.tm AS started_at,
         min(c.tm) AS confirmed_at

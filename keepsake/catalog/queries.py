@@ -581,8 +581,8 @@ def compact_padded(spark, folder):
     layout.compact(spark, path, ["order_month"])
     stored = _read(spark, path, orders)
     sizes = stored.groupBy("order_month").agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("o_totalprice"), 2).alias("price"))
-    files = stored.groupBy("order_month").agg(F.countDistinct(F.input_file_name()).alias("files"))
-    return sizes.join(files, "order_month")
+    paths = stored.select("order_month", F.col("_metadata.file_path").alias("file")).distinct()
+    return sizes.join(paths.groupBy("order_month").agg(F.count(F.lit(1)).alias("files")), "order_month")
 
 
 @query
@@ -741,7 +741,7 @@ def slow_steps(spark, folder):
     )
     failed = F.substring("table_name", 9, 2).cast("int") % 13 == 0
     slow = L.slow_steps(runs.withColumn("status", F.when(failed, "failed").otherwise("ok")), factor=1.1)
-    return slow.select("step", "table_name", "rows", "seconds", F.round("baseline_seconds", 6).alias("baseline_seconds"), "ratio")
+    return slow.select("step", "table_name", "rows", "seconds", F.round("baseline_seconds", 3).alias("baseline_seconds"), "ratio")
 
 
 # ---- data quality -----------------------------------------------------------------------------

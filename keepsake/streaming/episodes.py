@@ -36,7 +36,8 @@ def detect_episodes(
     does, and a busy company is spread over its lanes.
     """
     fields = StructType([starts.schema[k] for k in keys])
-    out = StructType([*fields.fields]).add("start_us", "long").add("initiation_rank", "int").add("end_us", "long").add("closed", "boolean")
+    made = StructType.fromDDL("start_us long, initiation_rank int, end_us long, closed boolean")
+    out = StructType([*fields.fields, *made.fields])
     names = out.fieldNames()
     default_us, forget_ms = default_seconds * 1_000_000, forget_days * 86_400_000
 
