@@ -1,4 +1,4 @@
-"""Near copies by word shingles: SimHash anchors of a covering code, candidates confirmed by exact Jaccard.
+"""Near copies by word shingles: SimHash anchors of a covering code, candidates confirmed by their Jaccard similarity.
 
 Two texts whose sets of five-word shingles have a Jaccard similarity of 0.8 differ in a seventh of their
 fingerprints' bits, too many for the narrow radius of ``simhash``. So the fingerprint is cut into bytes, of which
@@ -11,11 +11,15 @@ texts share with a probability of their similarity. Two texts of similarity 0.8
 Texts of one key are not paired with each other. First all meet the key's leader, its least home; then only those
 in other groups than the leader's meet the rest, and only pairs of different groups come out. So a large group
 of near copies costs as many comparisons as it has texts.
+
+Only texts that share a key with another are read again for their shingles; which they are, a bitmap of fixed size
+tells. Similarity is counted over 32-bit hashes of all shingles, in built-in array functions.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -24,19 +28,18 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keepsake.llm.common import READ_ROWS, append_column, components, map_rows
+from keepsake.llm.common import append_column, components, map_rows, width
 from keepsake.llm.simhash import SEED, shingles
-from keepsake.sources.staging import stage
+from keepsake.sources.staging import stage, stage_bucketed
 
-WITNESSES = 4
+WITNESSES = 3
 BITS = 128
 #: Fingerprints of texts of similarity 0.8 differ in 19 bits, give or take 4; those of unlike texts in 64.
 MOST_BITS = 36
+MAP_BITS = 25
 _ROW = 33  # bits of a row's number within its task
-MARKS = (
-    "row long, doc_id long, same binary, f1 long, f2 long, "
-    + ", ".join(f"w{k} long" for k in range(WITNESSES))
-    + ", shingles binary"
+MARKS = "row long, doc_id long, same binary, place int, f1 long, f2 long, " + ", ".join(
+    f"w{k} long" for k in range(WITNESSES)
 )
 
 
@@ -80,18 +83,23 @@ def _same(text: str | None) -> bytes:
     return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
 
 
+def _place(same: bytes, doc_id: int | None) -> int:
+    """The place of a row in the bitmap; copies with other ids have others."""
+    return zlib.crc32(b"%s %s" % (same, str(doc_id).encode())) >> (32 - MAP_BITS)
+
+
 def marks(docs: DataFrame, size: int) -> DataFrame:
-    """Of each row its number, what equal texts share, the fingerprint, witnesses and shingles."""
+    """Of each row its number, what equal texts share, the place in the bitmap, the fingerprint and witnesses."""
 
     def rows(taken: Iterable[tuple]) -> Iterator[tuple]:
         number = TaskContext.get().partitionId() << _ROW
         for n, (doc_id, text) in enumerate(taken):
-            h = shingle_set(text, size)
+            h, same = shingle_set(text, size), _same(text)
+            row = number + n, doc_id, same, _place(same, doc_id)
             if len(h):
-                witnesses = [int(_mixed(h, k).min().view(np.int64)) for k in range(WITNESSES)]
-                yield number + n, doc_id, _same(text), *fingerprint(h), *witnesses, h.tobytes()
+                yield *row, *fingerprint(h), *[int(_mixed(h, k).min().view(np.int64)) for k in range(WITNESSES)]
             else:
-                yield number + n, doc_id, _same(text), 0, 0, *[None] * WITNESSES, b""
+                yield *row, 0, 0, *[None] * WITNESSES
 
     return map_rows(docs.select(F.col("doc_id").cast("long"), "text"), MARKS, rows)
 
@@ -140,32 +148,52 @@ def _near(a: str, b: str) -> Column:
     return bits <= MOST_BITS
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The distinct ``pairs`` (a, b) whose ``sets`` (row, shingles) have at least that Jaccard similarity."""
+def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """(text, shingles) of the ``wanted`` (text, same, place), in buckets by text.
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, READ_ROWS):
-                b = batch.slice(at, READ_ROWS)
-                close = []
-                for left, right in zip(b.column("left"), b.column("right"), strict=True):
-                    x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (left, right))
-                    shared = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) >= similarity * max(len(x), len(y)) else 0
-                    close.append(shared >= similarity * (len(x) + len(y) - shared))
-                yield b.select(["a", "b"]).filter(pa.array(close, pa.bool_()))
+    Documents are read once more; those whose place in a bitmap is empty are passed over. The bitmap has a fixed size,
+    however many are wanted: if it fills up, more sets are made in vain.
+    """
+    spark = docs.sparkSession
+    word = F.shiftright("place", 6)
+    bit = F.expr("shiftleft(1L, place & 63)")
+    words = wanted.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).collect()
+    bitmap = np.zeros(1 << (MAP_BITS - 6), np.int64)
+    for r in words:
+        bitmap[r["word"]] = r["bits"]
+    sent = spark.sparkContext.broadcast(bitmap.tobytes())
 
+    def rows(taken: Iterable[tuple]) -> Iterator[tuple]:
+        held = np.frombuffer(sent.value, np.uint64)
+        for doc_id, text in taken:
+            same = _same(text)
+            place = _place(same, doc_id)
+            if int(held[place >> 6]) >> (place & 63) & 1:
+                yield same, np.unique(shingle_set(text, size).astype(np.uint32)).view(np.int32)
+
+    found = map_rows(docs.select(F.col("doc_id").cast("long"), "text"), "like binary, shingles array<int>", rows, 128, 1 << 20)
+    named = found.join(wanted.select("text", "same"), F.col("like") == F.col("same")).select("text", "shingles")
+    # Repeated rows give a set each.
+    one = named.groupBy("text").agg(F.first("shingles").alias("shingles"))
+    return stage_bucketed(one, width(spark), "text", label="sets", gather=True)
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The distinct ``pairs`` (a, b) whose ``sets`` (text, shingles) have at least that Jaccard similarity."""
     distinct = stage(pairs.select("a", "b").distinct(), "pairs")
-    wanted = distinct.select(F.col("a").alias("of")).union(distinct.select("b")).distinct()
-    few = stage(sets.join(wanted, F.col("row") == F.col("of"), "left_semi").select("row", "shingles"), "sets")
-    left = few.select(F.col("row").alias("a"), F.col("shingles").alias("left"))
-    right = few.select(F.col("row").alias("b"), F.col("shingles").alias("right"))
-    return distinct.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
+    left = sets.select(F.col("text").alias("a"), F.col("shingles").alias("left"))
+    right = sets.select(F.col("text").alias("b"), F.col("shingles").alias("right"))
+    both = distinct.join(left, "a").join(right, "b")
+    n, m = F.size("left"), F.size("right")
+    shared = F.size(F.array_intersect("left", "right"))
+    alike = (F.least(n, m) >= similarity * F.greatest(n, m)) & (shared >= similarity * (n + m - shared))
+    return both.where(alike).select("a", "b")
 
 
-def links(texts: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+def links(texts: DataFrame, docs: DataFrame, size: int, similarity: float) -> DataFrame:
     """(a, b): confirmed links that connect all similar texts found, through leaders where they can.
 
-    ``texts`` has (text, f1, f2, witnesses) of distinct texts, ``sets`` the shingles by row.
+    ``texts`` has (text, same, place, f1, f2, witnesses) of the distinct texts of ``docs``.
     """
     keys = _keys(texts)
     leaders = (
@@ -175,6 +203,9 @@ def links(texts: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
         .select("key", "leader")
     )
     met = stage(keys.join(leaders, "key"), "met")
+    members = met.select(F.col("text").alias("member")).distinct()
+    wanted = texts.join(members, F.col("text") == F.col("member"), "left_semi").select("text", "same", "place")
+    sets = shingle_sets(docs, stage(wanted, "wanted"), size)
     fingers = texts.select(F.col("text").alias("of"), "f1", "f2")
 
     def with_fingers(rows: DataFrame, name: str, prefix: str) -> DataFrame:
@@ -221,10 +252,11 @@ def groups(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> tuple[Dat
     texts = marked.groupBy("same").agg(
         F.min("row").alias("text"),
         F.min(order).alias("first"),
+        F.min_by("place", order).alias("place"),
         *[F.min(c).alias(c) for c in ("f1", "f2", *[f"w{k}" for k in range(WITNESSES)])],
     )
     texts = stage(texts, "texts")
-    linked = stage(links(texts, marked.select("row", "shingles"), similarity), "links")
+    linked = stage(links(texts, docs, size, similarity), "links")
     found = components(linked).select(F.col("node").alias("of"), "component")
     named = texts.join(found, F.col("text") == F.col("of"), "left").select(
         "same", "text", F.coalesce("component", "text").alias("component"), "first"
