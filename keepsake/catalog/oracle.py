@@ -447,6 +447,14 @@ _SQL: dict[str, str] = {
         CASE WHEN year(o_orderdate) <= 1994 THEN floor(o_totalprice) WHEN year(o_orderdate) <= 1996 THEN o_totalprice END AS price,
         CASE WHEN year(o_orderdate) BETWEEN 1995 AND 1996 THEN 'web' END AS channel,
         CASE WHEN year(o_orderdate) > 1996 THEN o_orderstatus END AS o_orderstatus FROM orders""",
+    "scd2_steps": """SELECT company_id, status, plan, day AS valid_from,
+        lead(day) OVER w AS valid_to, lead(day) OVER w IS NULL AS is_current FROM (
+      SELECT *, lag(status || '/' || plan) OVER (PARTITION BY company_id ORDER BY day) AS was FROM (
+        SELECT o_custkey AS company_id, CAST(o_orderdate AS DATE) AS day,
+          max(o_orderstatus) AS status, max(o_orderpriority) AS plan FROM orders
+        WHERE o_orderdate >= '1997-01-01' AND o_orderdate < '1998-01-11' GROUP BY 1, 2))
+      WHERE was IS NULL OR was <> status || '/' || plan
+      WINDOW w AS (PARTITION BY company_id ORDER BY day)""",
     "scd2_company": """SELECT company_id, status, plan, day AS valid_from,
         lead(day) OVER w AS valid_to, lead(day) OVER w IS NULL AS is_current FROM (
       SELECT *, lag(status || '/' || plan) OVER (PARTITION BY company_id ORDER BY day) AS was FROM (

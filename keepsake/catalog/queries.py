@@ -24,7 +24,7 @@ from ..quality.contract import validate_contract
 from ..schemas import ENGAGEMENT_CONTRACT, EPISODE_KEY, FINAL_METRICS_CONTRACT, TABLE_PARTITIONS
 from ..sources import streams
 from ..sources import tables as io
-from ..sources.staging import fresh_path
+from ..sources.staging import fresh_path, stage
 from ..streaming import episodes as SE
 from ..streaming import ingest, progress
 from ..streaming import windows as SW
@@ -661,6 +661,22 @@ def scd2_company(spark, folder):
     return versions.scd2(daily, ["company_id"], ["status", "plan"], "day")
 
 
+@query
+def scd2_steps(spark, folder):
+    """The history of 1997, brought forward day by day with what changed, over ten days more."""
+    orders = I.table(spark, folder, "orders")
+    daily = orders.groupBy(F.col("o_custkey").alias("company_id"), F.to_date("o_orderdate").alias("day")).agg(
+        F.max("o_orderstatus").alias("status"), F.max("o_orderpriority").alias("plan")
+    )
+    daily = stage(daily.filter("year(day) >= 1997"), "daily")
+    history = versions.scd2(daily.filter("year(day) = 1997"), ["company_id"], ["status", "plan"], "day")
+    for n in range(1, 11):
+        day = f"1998-01-{n:02d}"
+        changed = daily.filter(F.col("day") == F.lit(day).cast("date")).drop("day")
+        history = versions.scd2_apply(stage(history, "history"), changed, ["company_id"], ["status", "plan"], day)
+    return history
+
+
 @query
 def incremental_window(spark, folder):
     rows = tables(spark, folder).gold.select(*FINAL_METRICS_CONTRACT.primary_key, "initiation_date")

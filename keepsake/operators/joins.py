@@ -83,6 +83,12 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     return df.withColumn("__row", F.row_number().over(ranked)).filter("__row = 1").drop("__row")
 
 
+def day_span(stored: DataFrame, day: Column | str) -> tuple[dt.date, dt.date] | None:
+    """First and last day of a stored table, one column of which is read; None without days."""
+    first, last = stored.agg(F.min(day), F.max(day)).first()
+    return None if first is None else (first, last)
+
+
 def flags_on_days(
     df: DataFrame,
     keys: Sequence[str],
@@ -91,14 +97,20 @@ def flags_on_days(
     fact_day: str,
     days: int,
     measures: dict[str, Column],
+    span: tuple[dt.date, dt.date] | None = None,
 ) -> DataFrame:
     """Aggregates of the facts dated ``[day, day + days]`` for every row, NULL without any.
 
+    ``span`` is the first and last ``day`` of all rows (``day_span``), where the caller knows it: facts outside of what
+    they can see are left out by a literal range, which prunes their scan.
+
     The facts are reduced to one row per key and day, each is then offered to the ``days + 1`` days
     that can see it, and the join is an equality on (key, day): no range join, no pairs. The
     measures must be idempotent under regrouping (min, max). Facts of keys that no row has are left
     out first.
     """
+    if span:
+        facts = facts.filter(F.col(fact_day).between(F.lit(span[0]), F.lit(span[1] + dt.timedelta(days=days))))
     facts = facts.join(df.select(*keys).distinct(), list(keys), "left_semi")
     combine = {n: (F.min if n.startswith("first_") else F.max) for n in measures}
     daily = facts.groupBy(*keys, F.col(fact_day).alias("__d")).agg(
@@ -136,11 +148,10 @@ def exists_after(
                             for n, d in offsets.items()])).alias("__p"),
     ).select(*keys, "__from", "__p.n", F.col("__p.on").alias("__on"))
     # The bare column is compared with the literal range of wanted days, so partitions are pruned.
-    first, last = (df if days_of is None else days_of).agg(F.min(day), F.max(day)).first()
-    ahead = list(offsets.values())
+    span, ahead = day_span(df if days_of is None else days_of, day), list(offsets.values())
     range_ = [None, None]
-    if first is not None:
-        range_ = [first + dt.timedelta(days=min(ahead)), last + dt.timedelta(days=max(ahead))]
+    if span:
+        range_ = [span[0] + dt.timedelta(days=min(ahead)), span[1] + dt.timedelta(days=max(ahead))]
     if isinstance(snapshots.schema[snapshot_day].dataType, StringType):
         range_ = [None if d is None else d.isoformat() for d in range_]
     snapshots = snapshots.filter(F.col(snapshot_day).between(F.lit(range_[0]), F.lit(range_[1])))
@@ -161,9 +172,3 @@ def left_with_defaults(
     """Left join whose missing right-hand values get a default."""
     joined = left.join(right, list(keys), "left")
     return joined.fillna(defaults) if defaults else joined
-
-
-def qualify(df: DataFrame, keys: Sequence[str], having: Column, *aggs: Column) -> DataFrame:
-    """Rows whose group meets ``having``: HAVING as a semi join."""
-    good = df.groupBy(*keys).agg(*aggs).filter(having).select(*keys)
-    return df.join(good, list(keys), "left_semi")

@@ -189,17 +189,20 @@ def assign_to_windows(
 
     Windows of one (key, lane) must not overlap, so an event has at most one window per lane and
     the result is no larger than events x lanes. Each event is looked up backwards in time in each
-    lane of its key; pairs of a key are never enumerated. Returns the event columns with ``start``,
+    lane of its key whose first start and last end it lies between, and goes no further in others;
+    pairs of a key are never enumerated. Returns the event columns with ``start``,
     ``end``, ``lane`` and ``carry`` of the window.
     """
     from .joins import dimension_join
 
     window_cols = [start, end, *carry]
     payload = [c for c in events.columns if c not in {*keys, *window_cols, lane}]
-    lanes = windows.select(*keys, lane).distinct()
+    lanes = windows.groupBy(*keys, lane).agg(F.min(start).alias("__lo"), F.max(end).alias("__hi"))
     slot = time_slot(F.col("__t"), slot_seconds)
 
-    spread = dimension_join(events, lanes, list(keys))
+    spread = dimension_join(events, lanes, list(keys)).filter(
+        (F.col(ts) >= F.col("__lo")) & (F.col(ts) < F.col("__hi"))
+    )
     as_events = spread.select(
         *keys,
         lane,
@@ -224,7 +227,10 @@ def assign_to_windows(
 
     # Last window before each slot that holds events; a key has no more rows here than slots.
     active = events.select(*keys, time_slot(F.col(ts), slot_seconds).alias(SLOT)).distinct()
-    event_slots = active.join(lanes, list(keys)).select(
+    in_span = F.col(SLOT).between(
+        time_slot(F.col("__lo"), slot_seconds), time_slot(F.col("__hi"), slot_seconds)
+    )
+    event_slots = active.join(lanes, list(keys)).filter(in_span).select(
         *keys, lane, SLOT, F.lit(None).cast(as_windows.schema["__w"].dataType).alias("__w")
     )
     window_slots = (

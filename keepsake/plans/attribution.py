@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators.joins import flags_on_days
+from ..operators.joins import day_span, flags_on_days
 from ..schemas import EPISODE_KEY
 
 # Support programs whose cases count as saves, and the days they have.
@@ -34,6 +34,7 @@ def support_contacts(episodes: DataFrame, reactive_saves: DataFrame) -> DataFram
             "contacted_by_cs": C.flag(F.col("cc_id").isNotNull()),
             "saved_by_cs": C.flag(F.col("saved_cases") == 1),
         },
+        day_span(episodes, "initiation_date"),
     )
     return flagged.fillna(0, ["contacted_by_cs", "saved_by_cs"])
 
@@ -63,6 +64,7 @@ def discount_taken(engagement: DataFrame, offer_history: DataFrame) -> DataFrame
         "bought_day",
         DISCOUNT_DAYS,
         {"first_bought": F.col("bought")},
+        day_span(engagement, F.to_date("initiation_timestamp")),
     )
     return (
         matched.filter("first_bought IS NOT NULL")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators.flags import flag_pivot
-from ..operators.joins import exists_after
+from ..operators.joins import exists_after, left_with_defaults
 from ..schemas import EPISODE_KEY
 from ..sources.staging import stage
 from .attribution import save_attribution
@@ -80,13 +80,10 @@ def final_metrics(
         "saved_by_abandoning",
     )
     flags = engagement_flags(engagement)
-    zeros = [c for c in flags.columns if c not in EPISODE_KEY]
-    zeros += ["contacted_by_cs", "saved_by_cs", "took_discount"]
-    wide = (
-        episodes.join(outcome, [*EPISODE_KEY], "left")
-        .join(flags, [*EPISODE_KEY], "left")
-        .fillna(0, zeros)
-    )
+    helped = dict.fromkeys(("contacted_by_cs", "saved_by_cs", "took_discount"), 0)
+    shown = dict.fromkeys((c for c in flags.columns if c not in EPISODE_KEY), 0)
+    wide = left_with_defaults(episodes, outcome, EPISODE_KEY, helped)
+    wide = left_with_defaults(wide, flags, EPISODE_KEY, shown)
     wide = retention(wide, status, as_of, days_of=episodes)
     stems = list(OFFER_COLUMNS)
     selected = wide.select(

@@ -214,15 +214,6 @@ def row_parity(
     )
 
 
-def assert_row_parity(a: DataFrame, b: DataFrame, tolerance: float = 0.0) -> None:
-    found = row_parity(a, b, tolerance).first()
-    if not found["passed"]:
-        raise AssertionError(
-            f"row counts differ: {found['rows_a']} vs {found['rows_b']} "
-            f"(deviation {found['deviation']:.4%}, tolerance {tolerance:.4%})"
-        )
-
-
 def calendar(daily: DataFrame, series: str, day: str, rows: str) -> DataFrame:
     """A row for every series and calendar day, from the series' first day to the last day of any; absent days count 0.
 

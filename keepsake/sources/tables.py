@@ -199,11 +199,6 @@ def partition_columns(spark: SparkSession, path: str) -> list[str]:
         location = below
 
 
-def table_bytes(spark: SparkSession, path: str) -> int:
-    location, files = _location(spark, path)
-    return int(files.getContentSummary(location).getLength())
-
-
 def _write(
     df: DataFrame, path: str, partition_cols: Sequence[str], fmt: str, how: str, rebalance: bool = True
 ) -> int:

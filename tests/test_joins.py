@@ -88,9 +88,18 @@ def test_exists_after_ignores_copies(spark, rows):
     assert rows(got, "c", "r31", "r92") == [(1, 1, 0), (2, 0, 1)]
 
 
-def test_qualify_and_defaults(facts, dim):
-    two = J.qualify(dim, ["k"], F.col("n") > 1, F.count(F.lit(1)).alias("n"))
-    assert two.count() == 2
+def test_facts_outside_of_the_span_are_left_out(spark, rows):
+    day = lambda n: dt.date(2024, 3, n)
+    base = spark.createDataFrame([(1, day(5)), (2, day(9))], "c int, d date")
+    facts = spark.createDataFrame([(1, day(4)), (1, day(6)), (2, day(12)), (1, day(30))], "c int, on date")
+    span = J.day_span(base, "d")
+    assert span == (day(5), day(9)) and J.day_span(base.limit(0), "d") is None
+    got = J.flags_on_days(base, ["c"], "d", facts, "on", 2, {"seen": F.lit(1)}, span)
+    assert rows(got, "c", "seen") == [(1, 1), (2, None)]
+    assert "2024-03-11" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_defaults(facts, dim):
     filled = J.left_with_defaults(facts, dim.filter("k = 1"), ["k"], {"name": "none"})
     assert filled.filter("name IS NULL").count() == 0 and filled.count() == facts.count()
 
