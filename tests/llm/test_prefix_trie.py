@@ -61,9 +61,8 @@ def frame(spark, rows):
     return spark.createDataFrame([(*r, 1, "i", "x") for r in rows], SCHEMA).repartition(5)
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_against_brute_force(spark, as_rows, seed):
-    rows = made(seed, 60, 7, ["a", "bé", "ccc"])
+def test_against_brute_force(spark, as_rows):
+    rows = made(0, 60, 7, ["a", "bé", "ccc"])
     common = [(c, t, "user", "same") for c in range(1000, 1060) for t in range(3)]
     odd = [
         (None, 0, "user", "a"), (70_000, None, None, None), (70_000, 3, None, "x"), (70_000, 3, "user", None), (70_000, 3, "user", "y"),
@@ -74,18 +73,17 @@ def test_against_brute_force(spark, as_rows, seed):
 
 
 def test_a_long_conversation(spark, as_rows):
-    """A chain of 700 turns spans many tasks, and rounds grow with its logarithm."""
-    rows = [(5, t, "user", f"t{t % 40}") for t in range(700)] + [(7, t, "user", f"t{t % 40}") for t in range(650)] + made(1, 8, 4, ["t0", "t1"])
+    """A chain of 150 turns spans many tasks, and rounds grow with its logarithm."""
+    rows = [(5, t, "user", f"t{t % 40}") for t in range(150)] + [(7, t, "user", f"t{t % 40}") for t in range(140)] + made(1, 8, 4, ["t0", "t1"])
     assert as_rows(prefix_trie.trie(frame(spark, rows)), *NAMES) == brute_force(rows)
 
 
-@pytest.mark.parametrize("shape", ["chain", "star", "random", "caterpillar"])
+@pytest.mark.parametrize("shape", ["chain", "random", "caterpillar"])
 def test_subtree_totals(spark, shape, monkeypatch):
     rng = random.Random(9)
-    n = 300
+    n = 120
     parent = {
         "chain": lambda k: k - 1,
-        "star": lambda k: 0,
         "random": lambda k: rng.randrange(k),
         "caterpillar": lambda k: k - 1 if k % 2 else max(0, k - 2),
     }[shape]
@@ -103,7 +101,7 @@ def test_subtree_totals(spark, shape, monkeypatch):
     tree = spark.createDataFrame([(k, up[k], depth[k], weight[k]) for k in range(n)], "id long, parent long, depth long, w long")
     got = {r["id"]: r["w"] for r in prefix_trie.subtree_totals(tree, ["w"]).collect()}
     assert got == dict(enumerate(total))
-    assert rounds.count("seen") <= 14
+    assert rounds.count("seen") <= 12
 
 
 def test_running_spans_tasks(spark, as_rows):
