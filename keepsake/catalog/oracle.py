@@ -435,6 +435,8 @@ _SQL: dict[str, str] = {
       FROM (SELECT o_custkey % 500 AS cust_group, strftime(o_orderdate, '%m') AS order_month, count(*) AS orders
         FROM orders GROUP BY 1, 2) WHERE cust_group % 2 = 0 OR cust_group % 3 = 0""",
     "zorder": ORDERS,
+    "lookup_pruning": """SELECT o_custkey, count(*) AS orders, round(sum(o_totalprice), 2) AS price,
+        true AS plain_reads_nearly_all, true AS half_of_files_skipped, true AS half_of_bytes_skipped FROM orders GROUP BY 1""",
     "as_of_snapshot": """SELECT user_id, ts, event_id, event_type, value FROM events
       WHERE ts <= TIMESTAMP '2024-01-20' QUALIFY row_number() OVER (
         PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",

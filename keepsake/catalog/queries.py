@@ -611,6 +611,25 @@ def zorder(spark, folder):
     return _read(spark, path, orders)
 
 
+@query
+def lookup_pruning(spark, folder):
+    """Lookups of every customer in orders as given and as written for lookups: same rows, far fewer files and bytes."""
+    orders = I.table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    plain_path, path = fresh_path(spark, "plain"), fresh_path(spark, "lookups")
+    orders.repartition(16).write.parquet(plain_path)
+    layout.write_for_lookups(orders, path, ["o_custkey", "o_orderdate"], files=16)
+    before, after = (layout.lookup_pruning(spark, p, "o_custkey").first() for p in (plain_path, path))
+    found = spark.read.parquet(path).groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("price")
+    )
+    return found.select(
+        "*",
+        F.lit(before["files_read"] > 0.9 * before["files"]).alias("plain_reads_nearly_all"),
+        F.lit(1 <= after["least_files"] and 2 * after["files_read"] <= after["files"]).alias("half_of_files_skipped"),
+        F.lit(2 * after["bytes_read"] <= after["bytes"]).alias("half_of_bytes_skipped"),
+    )
+
+
 @query
 def as_of_snapshot(spark, folder):
     """State of every user at a point in time, from the append-only events."""

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import partition_columns, read_table, rewrite_partitions
+from .timeline import along
 
 SAMPLE_ROWS = 20_000
 MAX_BITS = 12
@@ -101,3 +102,52 @@ def zorder(df: DataFrame, cols: Sequence[str], files: int) -> DataFrame:
     """Rows range-partitioned and sorted by the interleaved value, so file min/max skip on each."""
     z = df.withColumn("__z", z_value(df, cols, files))
     return z.repartitionByRange(files, "__z", *cols).sortWithinPartitions("__z").drop("__z")
+
+
+def write_for_lookups(df: DataFrame, path: str, cols: Sequence[str], files: int, distinct: int = 100_000) -> None:
+    """Write ``df`` so that lookups by any of ``cols`` read few files, and few pages of those.
+
+    Rows are clustered by the interleaved value, which narrows each file's minimum and maximum; within files every column has
+    a Bloom filter for about ``distinct`` values a row group, which tells absent values in ranges that hold them, and page
+    indexes, which Parquet writes by itself.
+    """
+    writer = zorder(df, cols, files).write.mode("overwrite")
+    for c in cols:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+        writer = writer.option(f"parquet.bloom.filter.expected.ndv#{c}", str(distinct))
+    writer.parquet(path)
+
+
+def file_ranges(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """(file, bytes, rows, least, greatest) of a stored table: what a lookup by ``column`` is skipped by."""
+    stored = spark.read.parquet(path)
+    return stored.groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(column).alias("least"), F.max(column).alias("greatest")
+    )
+
+
+def lookup_pruning(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """One row: files and bytes of the table, and how many of them a lookup of one value reads on average and at most.
+
+    All values of ``column`` are looked up. A value is counted per file by two running sums over file bounds, openings less
+    closings, so neither values nor files are paired; the sums run over files and values, not over rows.
+    """
+    ranges = file_ranges(spark, path, column)
+    values = spark.read.parquet(path).select(F.col(column).alias("at")).filter("at IS NOT NULL").distinct()
+    marks = (
+        ranges.select(F.col("least").alias("at"), F.lit(0).alias("turn"), F.lit(1).alias("files"), F.col("bytes"))
+        .unionByName(values.select("at", F.lit(1).alias("turn"), F.lit(0).alias("files"), F.lit(0).cast("long").alias("bytes")))
+        .unionByName(ranges.select(F.col("greatest").alias("at"), F.lit(2).alias("turn"), F.lit(-1).alias("files"), (-F.col("bytes")).alias("bytes")))
+        .filter("at IS NOT NULL")
+    )
+    cuts = F.array(*[F.lit(c) for c in cut_points(values, "at", 256)]) if not values.isEmpty() else F.array()
+    slot = F.size(F.filter(cuts, lambda c: c <= F.col("at")))
+    # A range that opens or closes at a value covers it: openings come first, closings last.
+    marks = marks.groupBy("at", "turn").agg(F.sum("files").alias("files"), F.sum("bytes").alias("bytes"))
+    swept = along(marks, [], ["at", "turn"], slot, running={"open": F.col("files"), "open_bytes": F.col("bytes")})
+    seen = swept.filter("turn = 1").agg(
+        F.count(F.lit(1)).alias("lookups"), F.avg("open").alias("files_read"), F.max("open").alias("most_files"),
+        F.min("open").alias("least_files"), F.avg("open_bytes").alias("bytes_read"),
+    )
+    whole = ranges.agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"))
+    return whole.withColumn("__one", F.lit(1)).join(seen.withColumn("__one", F.lit(1)), "__one").drop("__one")

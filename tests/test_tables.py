@@ -272,6 +272,19 @@ def test_staging_uses_the_folder_of_the_session(spark, tmp_path, base, same, mon
     spark.conf.unset("spark.keepsake.test.folder")
 
 
+def test_lookups_counted_per_file(spark, path, rows):
+    df = spark.range(2000).selectExpr("id * 7919 % 500 AS k", "id * 104729 % 2000 AS n", "id AS v")
+    layout.write_for_lookups(df, path, ["k", "n"], files=8)
+    got = layout.lookup_pruning(spark, path, "k").first()
+    ranges = layout.file_ranges(spark, path, "k").collect()
+    touched = [[r for r in ranges if r["least"] <= k <= r["greatest"]] for k in range(500)]
+    counts = [len(t) for t in touched]
+    assert (got["lookups"], got["files"], got["rows"]) == (500, len(ranges), 2000)
+    assert got["files_read"] == pytest.approx(sum(counts) / 500) and got["most_files"] == max(counts) and got["least_files"] == min(counts)
+    assert got["bytes_read"] == pytest.approx(sum(r["bytes"] for t in touched for r in t) / 500)
+    assert got["files_read"] < 0.7 * got["files"] and spark.read.parquet(path).count() == 2000
+
+
 def test_zorder_sees_whole_texts(spark, path):
     df = spark.range(4000).selectExpr("concat('CancelFlow-', lpad(id * 7919 % 4000, 6, '0')) AS t", "id * 104729 % 4000 AS n")
     layout.zorder(df, ["t", "n"], files=16).write.parquet(path)
