@@ -398,5 +398,8 @@ def with_ctes(sql: str) -> str:
                 visit(body)
 
     visit(sql)
-    views = ",\n".join(f"{n} AS ({body})" for n, body in CTES.items() if n in wanted)
+    kept = {"bronze", "windows", "initiations", "inside", "engagement", "attribution", "retention", "gold"}
+    views = ",\n".join(
+        f"{n} AS {'MATERIALIZED ' if n in kept else ''}({body})" for n, body in CTES.items() if n in wanted
+    )
     return f"WITH {views}\n{sql}" if views else sql
