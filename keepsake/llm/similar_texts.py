@@ -8,9 +8,10 @@ Bytes alone tell little apart, so every two of them are keyed by a witness, a sh
 texts share with a probability of their similarity. Two texts of similarity 0.8 miss each other in all of
 ``WITNESSES`` times two keys with a probability below 0.01, more similar ones hardly ever.
 
-Texts of one key are not paired with each other. First all meet the key's leader, its least home; then only those
-in other groups than the leader's meet the rest, and only pairs of different groups come out. So a large group
-of near copies costs as many comparisons as it has texts.
+Texts of one key are not paired with each other. A key's leader is the home nearest to the majority of its fingerprints, which
+is next to the text that copies were made from. First every text meets two leaders of its keys; then only those
+in other groups than a key's leader meet the rest of the key, and only pairs of different groups come out. So a large group of near copies costs about
+as many comparisons as it has texts.
 
 Only texts that share a key with another are read again for their shingles; which they are, a bitmap of fixed size
 tells. Similarity is counted over 32-bit hashes of all shingles, in built-in array functions.
@@ -143,9 +144,29 @@ def _keys(texts: DataFrame) -> DataFrame:
     return picked.mapInArrow(run, "key long, text long, home boolean")
 
 
+def _apart(a1: str, a2: str, b1: str, b2: str) -> Column:
+    """Differing bits of two fingerprints."""
+    return sum(F.bit_count(F.col(a).bitwiseXOR(F.col(b))) for a, b in ((a1, b1), (a2, b2)))
+
+
 def _near(a: str, b: str) -> Column:
-    bits = sum(F.bit_count(F.col(f"{a}{f}").bitwiseXOR(F.col(f"{b}{f}"))) for f in ("f1", "f2"))
-    return bits <= MOST_BITS
+    return _apart(f"{a}f1", f"{a}f2", f"{b}f1", f"{b}f2") <= MOST_BITS
+
+
+def _majority(held: DataFrame) -> DataFrame:
+    """(key, m1, m2): the bits that over half of the key's fingerprints have, counted two to a number."""
+    bit = lambda f, k: F.shiftrightunsigned(F.col(f), k).bitwiseAND(F.lit(1))
+    sums = held.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(bit("f1", k) + F.shiftleft(bit("f2", k), 32)).alias(f"s{k}") for k in range(64)],
+    )
+
+    def word(low: bool) -> Column:
+        counts = [F.col(f"s{k}").bitwiseAND(F.lit((1 << 32) - 1)) if low else F.shiftrightunsigned(f"s{k}", 32) for k in range(64)]
+        marks = F.array(*[F.when(2 * c > F.col("n"), F.shiftleft(F.lit(1).cast("long"), k)).otherwise(F.lit(0)) for k, c in enumerate(counts)])
+        return F.aggregate(marks, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
+
+    return sums.select("key", word(True).alias("m1"), word(False).alias("m2"))
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -196,24 +217,36 @@ def links(texts: DataFrame, docs: DataFrame, size: int, similarity: float) -> Da
     ``texts`` has (text, same, place, f1, f2, witnesses) of the distinct texts of ``docs``.
     """
     keys = _keys(texts)
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("home").alias("any")).where("n > 1 and any")
+    fingers = texts.select(F.col("text").alias("of"), "f1", "f2")
+    held = keys.join(shared.select("key"), "key", "left_semi").join(fingers, F.col("text") == F.col("of")).drop("of")
+    held = stage(held, "held")
     leaders = (
-        keys.groupBy("key")
-        .agg(F.min(F.when(F.col("home"), F.col("text"))).alias("leader"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1 and leader is not null")
-        .select("key", "leader")
+        held.join(_majority(held), "key")
+        .where("home")
+        .groupBy("key")
+        .agg(F.min(F.struct(_apart("f1", "f2", "m1", "m2").alias("bits"), "text"))["text"].alias("leader"))
     )
-    met = stage(keys.join(leaders, "key"), "met")
+    met = stage(held.select("key", "text", "home").join(leaders, "key"), "met")
     members = met.select(F.col("text").alias("member")).distinct()
     wanted = texts.join(members, F.col("text") == F.col("member"), "left_semi").select("text", "same", "place")
     sets = shingle_sets(docs, stage(wanted, "wanted"), size)
-    fingers = texts.select(F.col("text").alias("of"), "f1", "f2")
 
     def with_fingers(rows: DataFrame, name: str, prefix: str) -> DataFrame:
         named = fingers.select(*[F.col(c).alias(f"{prefix}{c}") for c in fingers.columns])
         return rows.join(named, F.col(name) == F.col(f"{prefix}of")).drop(f"{prefix}of")
 
+    # Of the leaders of its keys every text meets the nearest one and the one that most texts are near to.
     first = met.where("text != leader").select("leader", "text").distinct()
     first = with_fingers(with_fingers(first, "leader", "l_"), "text", "r_").where(_near("l_", "r_"))
+    first = stage(first.select("text", "leader", _apart("l_f1", "l_f2", "r_f1", "r_f2").alias("bits")), "first")
+    followed = first.groupBy(F.col("leader").alias("led_by")).agg((-F.count(F.lit(1))).alias("less"))
+    first = first.join(followed, F.col("leader") == F.col("led_by")).groupBy("text").agg(
+        F.array_distinct(
+            F.array(F.min(F.struct("bits", "leader"))["leader"], F.min(F.struct("less", "bits", "leader"))["leader"])
+        ).alias("leaders")
+    )
+    first = first.select("text", F.explode("leaders").alias("leader"))
     starred = stage(
         confirmed(first.select(F.least("leader", "text").alias("a"), F.greatest("leader", "text").alias("b")), sets, similarity),
         "starred",
@@ -229,14 +262,14 @@ def links(texts: DataFrame, docs: DataFrame, size: int, similarity: float) -> Da
     grouped = stage(grouped, "grouped")
     columns = ("key", "text", "home", "mine", "f1", "f2")
     others = grouped.where("mine != its").select(*[F.col(c).alias(f"o_{c}") for c in columns])
-    rest = grouped.where("text != leader").select(*columns, (F.col("mine") != F.col("its")).alias("is_other"))
+    rest = grouped.select(*columns, (F.col("mine") != F.col("its")).alias("is_other"))
     pairs = others.join(
         rest,
         (F.col("o_key") == F.col("key"))
         & (F.col("o_mine") != F.col("mine"))
         & (F.col("o_home") | F.col("home"))
         & (~F.col("is_other") | (F.col("o_text") < F.col("text")))
-        & (sum(F.bit_count(F.col(f"o_{f}").bitwiseXOR(F.col(f))) for f in ("f1", "f2")) <= MOST_BITS),
+        & _near("o_", ""),
     )
     crossed = confirmed(pairs.select(F.least("o_text", "text").alias("a"), F.greatest("o_text", "text").alias("b")), sets, similarity)
     return starred.union(crossed)

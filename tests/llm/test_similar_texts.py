@@ -96,7 +96,29 @@ def test_a_large_group_of_near_copies(spark, monkeypatch):
     got = dict(tuple(r) for r in similar_texts.near_copies(frame(spark, rows)).collect())
     assert all(got[n] == 0 for n in range(400)) and all(got[n] == n for n in range(1000, 1050))
     compared = sum(df.count() for label, df in seen if label == "pairs")
-    assert compared < 15 * 400
+    assert compared < 3 * 400
+
+
+def test_copies_that_are_alike_only_through_their_source(spark, monkeypatch):
+    """Each is near its source but not near the others: the source leads, and pairs of copies are not compared."""
+    rng = random.Random(4)
+    base = words(rng, 300)
+    rows = [(900, base)] + [(n, edited(rng, base, 6)) for n in range(200)]
+    sets = [shingle_sets(t) for _, t in rows]
+    near = {d for (d, _), s in zip(rows, sets, strict=True) if jaccard(s, sets[0]) >= 0.8}
+    assert len(near) > 180 and sum(jaccard(sets[k], sets[k + 1]) >= 0.8 for k in range(1, 200)) < 20
+    seen = []
+    real = similar_texts.stage
+    monkeypatch.setattr(similar_texts, "stage", lambda df, label: seen.append((label, out := real(df, label))) or out)
+    got = dict(tuple(r) for r in similar_texts.near_copies(frame(spark, rows)).collect())
+    assert sum(got[d] == min(near) for d in near) >= 0.95 * len(near)
+    assert sum(df.count() for label, df in seen if label == "pairs") < 5 * 200
+
+
+def test_majority(spark):
+    rows = [(1, 0b111, -1), (1, 0b101, 0), (1, 0b001, -1), (2, -(1 << 63), 5), (2, 0, 5), (2, -(1 << 63), 4)]
+    df = spark.createDataFrame(rows, "key long, f1 long, f2 long")
+    assert sorted(map(tuple, similar_texts._majority(df).collect())) == [(1, 0b101, -1), (2, -(1 << 63), 5)]
 
 
 def test_anchors_cover():
