@@ -337,22 +337,30 @@ def shared_length(a: str, b: str) -> int:
     return n
 
 
+def _compressed(text: str) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdCompressor(9).compress(text.encode("utf-8", "surrogatepass"))
+
+
+def _plain(blob: bytes) -> str:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(blob).decode("utf-8", "surrogatepass")
+
+
 def _packed(lines: Lines) -> bytes:
     """Lines that only say what is shared, as they go anyway, are kept as hashes."""
-    import zstandard
 
     def written(kind: str, text: str) -> str:
         raw = text.encode("utf-8", "surrogatepass")
         return kind + (hashlib.blake2b(raw, digest_size=6).hexdigest() if kind == "#" else text)
 
-    body = "\n".join(written(*line) for line in lines)
-    return zstandard.ZstdCompressor(9).compress(body.encode("utf-8", "surrogatepass"))
+    return _compressed("\n".join(written(*line) for line in lines))
 
 
 def _unpacked(blob: bytes) -> Lines:
-    import zstandard
-
-    body = zstandard.ZstdDecompressor().decompress(blob).decode("utf-8", "surrogatepass")
+    body = _plain(blob)
     return [(x[0], x[1:]) for x in body.split("\n")] if body else []
 
 
@@ -369,7 +377,7 @@ def _text(path: str, lines: bytes, before: Near | None, after: Near | None) -> t
 
 _LINES = "page_id long, url string, host string, path string, lines binary"
 _SETTLED = (
-    "part int, role string, page_id long, url string, host string, path string, last_path string, text string, "
+    "part int, role string, page_id long, url string, host string, path string, last_path string, text binary, "
     "shared_lines int, named_lines int, lines binary"
 )
 
@@ -395,7 +403,8 @@ def _in_order(taken: Iterable[tuple]) -> Iterator[tuple]:
             # Pages of a run differ by their path only, and few are nearer to the other side.
             near = bool(after and earlier and shared_length(path, after[0]) > shared_length(path, earlier[0]))
             if near not in last:
-                last[near] = _text(path, run[3], None if near else earlier, after if near or not earlier else None)
+                text, *counts = _text(path, run[3], None if near else earlier, after if near or not earlier else None)
+                last[near] = _compressed(text), *counts
             yield part, "page", page_id, url, None, None, None, *last[near], None
 
     for page_id, url, host, path, lines in taken:
@@ -480,7 +489,9 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def close(taken: Iterable[tuple]) -> Iterator[tuple]:
         for part, role, page_id, url, path, text, shared, named in taken:
-            if role != "page":
+            if role == "page":
+                text = _plain(text)
+            else:
                 lines, before, after = sent.value[part, role]
                 text, shared, named = _text(path, lines, before, after)
             yield page_id, url, text, len(text), shared, named
