@@ -124,3 +124,16 @@ def test_snapshot_partitions_are_pruned(spark, tmp_path):
     assert [r["r"] for r in found.collect()] == [1]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "day" in plan and "2024-03-03" in plan
+
+
+def test_snapshots_are_never_gathered_in_the_driver(spark, tmp_path):
+    # A small file that holds many days: the planner takes what is exploded from it for as small.
+    spark.range(20).coalesce(1).write.parquet(str(tmp_path / "c"))
+    status = spark.read.parquet(str(tmp_path / "c")).selectExpr(
+        "id AS c", "explode(sequence(DATE '2024-01-01', DATE '2024-12-31')) AS day"
+    )
+    base = spark.range(20).selectExpr("id AS c", "DATE '2024-02-01' AS d")
+    found = J.exists_after(base, ["c"], "d", status, "day", {"r31": 31, "r360": 360})
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not any("Join" in line and "Broadcast" in line and "__on" in line for line in plan.splitlines())
+    assert [tuple(r) for r in found.select("r31", "r360").distinct().collect()] == [(1, 0)]
