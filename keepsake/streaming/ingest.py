@@ -71,7 +71,8 @@ def insert_once(
     anti join. Every batch owns its files (a ``batch_id`` partition below the others), so a replay
     after a failure overwrites its own rows only, and no earlier file is ever rewritten. The day is
     among the keys, so the anti join reads only the days of the batch; a copy that carries another
-    day is another event. ``compact_batches`` joins the batches of old days.
+    day is then another event. Without the day in ``keys`` the anti join reads the keys of all stored days.
+    ``compact_batches`` joins the batches of old days.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -143,9 +144,12 @@ def start_ingest(
     checkpoint: str,
     trigger: dict | None = None,
     ledger: str | None = None,
+    keys: Sequence[str] = ("event_id",),
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Start the main query and the dead-letter query, each with its own checkpoint.
 
+    An event is known by its id, as a copy sent again after midnight carries the next day. Where copies keep the time
+    of their event, ``keys`` may add ``event_date``, which spares reading the ids of other days (``insert_once``).
     Await both with ``spark.streams.awaitAnyTermination()``: either one may fail.
     """
     trigger = trigger or {"processingTime": "30 seconds"}
@@ -155,7 +159,7 @@ def start_ingest(
     ).start()
     main = (
         flow_events(valid)
-        .writeStream.foreachBatch(insert_once(output, ledger=ledger))
+        .writeStream.foreachBatch(insert_once(output, keys, ledger=ledger))
         .option("checkpointLocation", f"{checkpoint}/main")
         .trigger(**trigger)
         .start()

@@ -72,6 +72,19 @@ def test_ingest_inserts_once_and_keeps_dead_letters(spark, feed, tmp_path, rows)
     ]
 
 
+def test_a_copy_after_midnight_is_no_other_event(spark, feed, tmp_path, rows):
+    midnight = 14 * 60  # minutes after T0
+    feed(event("a", midnight - 1), event("b", midnight - 1), event("b", midnight + 1))
+    run(spark, feed, tmp_path, str(tmp_path / "ledger"))
+    feed(event("a", midnight + 1), event("c", midnight + 2))
+    run(spark, feed, tmp_path, str(tmp_path / "ledger"))
+    table = spark.read.parquet(str(tmp_path / "out"))
+    assert rows(table, "event_id", F.col("event_date").cast("string")) == [
+        ("a", "2024-01-01"), ("b", "2024-01-01"), ("c", "2024-01-02")
+    ]
+    assert rows(spark.read.parquet(str(tmp_path / "ledger")), "received", "written") == [(2, 1), (3, 2)]
+
+
 def test_replayed_batch_replaces_itself(spark, tmp_path, rows):
     batch = spark.createDataFrame(
         [("a", T0, "2024-01-01"), ("a", T0, "2024-01-01"), ("b", T0, "2024-01-01")],
