@@ -206,6 +206,17 @@ def test_episodes_are_detected_as_events_arrive(spark, feed, tmp_path, rows):
     assert emitted.filter("NOT closed").count() == 8
 
 
+def test_keys_of_episodes_share_rows_of_state(spark, feed, tmp_path, rows):
+    feed(*[event(f"{c}-{m}", m, str(c)) for c in range(40) for m in (0, 10)], event("late", 500, "40"))
+    starts = ingest.split_valid(ingest.parse_events(streams.stream_source(spark, "files", {"path": feed.path})))[0]
+    found = SE.detect_episodes(starts.select("company_id", "event_timestamp"), ["company_id"], "event_timestamp", buckets=4)
+    q = streams.stream_sink(found, str(tmp_path / "sunk"), str(tmp_path / "ep"), trigger={"availableNow": True}).start()
+    q.awaitTermination()
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress) <= 4
+    got = SE.latest_episodes(spark.read.schema(found.schema).parquet(str(tmp_path / "sunk")), ["company_id"])
+    assert rows(got, "company_id", "initiation_rank") == sorted((str(c), n) for c in range(40) for n in (1, 2))
+
+
 def test_progress_is_recorded(spark, feed, tmp_path):
     path = str(tmp_path / "progress")
     listener = progress.ProgressLedger(spark, path, every=1)
