@@ -2,10 +2,12 @@
 
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from keepsake.catalog import inputs as I
 from keepsake.plans import attribution, bronze, engagement, episodes, features, metrics
 from keepsake.schemas import EPISODE_KEY, EVENT_FIELDS
 from keepsake.sources.staging import stage, stage_bucketed
@@ -334,3 +336,24 @@ def test_hot_company_and_staging(spark, make, companies, rows):
     confirmed = rows(got.groupBy("company_id").agg(F.count("*"), F.sum("cancel_confirmed")))
     assert confirmed == [(1, 480, 80), (2, 1, 1)]
     assert got.filter("company_id = 1").agg(F.max("initiation_rank")).first()[0] == 480
+
+
+def test_methods_over_deliveries_are_compiled(spark, capsys):
+    # HotSpot compiles no method of 8000 bytes or more; a larger one is interpreted for every row.
+    raw = I.raw_events(spark, "/root/testdata/sf0.001")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for df in (raw, bronze.bronze_events(raw, I.FIRST_DAY, I.LAST_DAY)):
+            df.explain("codegen")
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+            assert sizes and max(sizes) < 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_lookups_read_as_their_case(spark):
+    case = I.pick("n % 4", "'a'", "'b'", None)
+    both = spark.range(6).selectExpr("IF(id = 5, NULL, id) AS n").selectExpr(f"{case} AS a", f"{I.looked_up(case)} AS b")
+    assert I.looked_up(case) != case
+    assert [r["a"] for r in both.collect()] == [r["b"] for r in both.collect()]
+    assert I.looked_up(I.pick("n", "'a' || n", "'b'")).startswith("CASE")
