@@ -10,8 +10,8 @@ texts share with a probability of their similarity. Two texts of similarity 0.8
 
 Texts of one key are not paired with each other. A key's leader is the home nearest to the majority of its fingerprints, which
 is next to the text that copies were made from. First every text meets two leaders of its keys; then only those
-in other groups than a key's leader meet the rest of the key, and only pairs of different groups come out. So a large group of near copies costs about
-as many comparisons as it has texts.
+in other groups than a key's leader meet the rest of the key, and only pairs of different groups come out that have one of their rarest shingles in
+common, as similar texts must. So a large group of near copies costs about as many comparisons as it has texts, those included that are too far from their source.
 
 Only texts that share a key with another are read again for their shingles; which they are, a bitmap of fixed size
 tells. Similarity is counted over 32-bit hashes of all shingles, in built-in array functions.
@@ -26,7 +26,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keepsake.llm.common import append_column, components, map_rows, width
@@ -211,6 +211,27 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return both.where(alike).select("a", "b")
 
 
+def _least_shared(n: Column | str, m: Column | str, similarity: float) -> Column:
+    """How many shingles sets of sizes ``n`` and ``m`` must share for that similarity; rounding never asks for more."""
+    return F.ceil((F.col(n) + F.col(m)) * (similarity / (1 + similarity)) - 1e-6)
+
+
+def rarest(sets: DataFrame, similarity: float) -> DataFrame:
+    """(of, n, rare) of each text of ``sets``: its size, and as many of its rarest shingles as similar texts may lack, and one.
+
+    Similar texts share one of these: in one order of all shingles, here by rarity, the first of what they share comes
+    before either has left out more than it may.
+    """
+    held = sets.select("text", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    known = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts"))
+    ranked = F.row_number().over(Window.partitionBy("text").orderBy("texts", "shingle"))
+    first = held.join(known, "shingle").withColumn("rank", ranked)
+    first = first.where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * similarity - 1e-6) + 1)
+    return first.groupBy(F.col("text").alias("of")).agg(
+        F.min("n").alias("n"), F.transform(F.array_sort(F.collect_list(F.struct("rank", "shingle"))), lambda x: x["shingle"]).alias("rare")
+    )
+
+
 def links(texts: DataFrame, docs: DataFrame, size: int, similarity: float) -> DataFrame:
     """(a, b): confirmed links that connect all similar texts found, through leaders where they can.
 
@@ -260,16 +281,23 @@ def links(texts: DataFrame, docs: DataFrame, size: int, similarity: float) -> Da
 
     grouped = with_fingers(group_of(group_of(met, "text", "mine"), "leader", "its"), "text", "")
     grouped = stage(grouped, "grouped")
-    columns = ("key", "text", "home", "mine", "f1", "f2")
-    others = grouped.where("mine != its").select(*[F.col(c).alias(f"o_{c}") for c in columns])
-    rest = grouped.select(*columns, (F.col("mine") != F.col("its")).alias("is_other"))
+    open_keys = grouped.where("mine != its").select("key").distinct()
+    contested = stage(grouped.join(open_keys, "key", "left_semi"), "contested")
+    compared = stage(sets.join(contested.select("text").distinct(), "text", "left_semi"), "compared")
+    contested = contested.join(stage(rarest(compared, similarity), "rarest"), F.col("text") == F.col("of")).drop("of")
+    columns = ("key", "text", "home", "mine", "f1", "f2", "n", "rare")
+    least = _least_shared("o_n", "n", similarity)
+    leading = lambda p: F.slice(f"{p}rare", 1, F.greatest(F.col(f"{p}n") - least + 1, F.lit(0)).cast("int"))
+    others = contested.where("mine != its").select(*[F.col(c).alias(f"o_{c}") for c in columns])
+    rest = contested.select(*columns, (F.col("mine") != F.col("its")).alias("is_other"))
     pairs = others.join(
         rest,
         (F.col("o_key") == F.col("key"))
         & (F.col("o_mine") != F.col("mine"))
         & (F.col("o_home") | F.col("home"))
         & (~F.col("is_other") | (F.col("o_text") < F.col("text")))
-        & _near("o_", ""),
+        & _near("o_", "")
+        & F.arrays_overlap(leading("o_"), leading("")),
     )
     crossed = confirmed(pairs.select(F.least("o_text", "text").alias("a"), F.greatest("o_text", "text").alias("b")), sets, similarity)
     return starred.union(crossed)

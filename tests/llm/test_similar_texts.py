@@ -115,6 +115,19 @@ def test_copies_that_are_alike_only_through_their_source(spark, monkeypatch):
     assert sum(df.count() for label, df in seen if label == "pairs") < 5 * 200
 
 
+def test_copies_too_far_from_their_source_are_not_paired(spark, monkeypatch):
+    """Each lies at about 0.7 from its source and at half from the others: no link, and hardly a pair to compare."""
+    rng = random.Random(5)
+    base = words(rng, 300)
+    rows = [(900, base)] + [(n, edited(rng, base, 11)) for n in range(200)]
+    seen = []
+    real = similar_texts.stage
+    monkeypatch.setattr(similar_texts, "stage", lambda df, label: seen.append((label, out := real(df, label))) or out)
+    got = [tuple(r) for r in similar_texts.near_copies(frame(spark, rows)).collect()]
+    assert sorted(got) == sorted(groups(rows))
+    assert sum(df.count() for label, df in seen if label == "pairs") < 5 * 200
+
+
 def test_majority(spark):
     rows = [(1, 0b111, -1), (1, 0b101, 0), (1, 0b001, -1), (2, -(1 << 63), 5), (2, 0, 5), (2, -(1 << 63), 4)]
     df = spark.createDataFrame(rows, "key long, f1 long, f2 long")
