@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from keepsake.operators import joins as J
+from keepsake.operators import timeline as TL
 from keepsake.operators.flags import collapse, flag_pivot
 
 
@@ -137,3 +138,22 @@ def test_snapshots_are_never_gathered_in_the_driver(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert not any("Join" in line and "Broadcast" in line and "__on" in line for line in plan.splitlines())
     assert [tuple(r) for r in found.select("r31", "r360").distinct().collect()] == [(1, 0)]
+
+
+def test_lookups_by_row_are_never_gathered_in_the_driver(spark):
+    # Small to the planner; in larger tables as many rows as the left side.
+    left = spark.range(20).selectExpr("id AS c", "DATE '2024-02-01' AS d", "TIMESTAMP '2024-02-01 10:00:00' AS t")
+    facts = left.selectExpr("c", "d AS on", "1 AS n")
+    flagged = J.flags_on_days(left, ["c"], "d", facts, "on", 2, {"found": F.col("n")})
+    filled = J.left_with_defaults(left, facts.select("c", "n"), ["c"], {"n": 0})
+    ahead = J.exists_after(left, ["c"], "d", facts, "on", {"r0": 0})
+    for df in (
+        flagged, filled, ahead,
+        TL.along(left, ["c"], ["t"], rank="rank"),
+        TL.next_times(left, ["c"], "t", {"next": F.lit(True)}),
+        TL.trailing_count(left, ["c"], "t", 60, "n"),
+    ):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        wide = [x for x in plan.splitlines() if "BroadcastHashJoin" in x and "LeftSemi" not in x]
+        assert "SortMergeJoin" in plan and not wide
+        assert df.count() == 20
