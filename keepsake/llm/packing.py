@@ -18,11 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keepsake.llm.common import kept_by_worker, map_rows, release_memory, width
+from keepsake.llm.common import kept_by_worker, map_rows, release_memory, releasing, width
 from keepsake.sources.staging import stage
 
-CACHED_WORDS = 400_000
-CACHED_PARTS = 800_000
+CACHED_WORDS = 150_000
+CACHED_PARTS = 10_000
 LONGEST_CACHED = 48
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -42,8 +42,8 @@ class WordTokenizer:
 
     The vocabulary's pre-tokenizer never joins across white space, so the ids of a text are those of
     its words, and those of a word are those of its parts. Texts with added tokens, or with control
-    characters on which notions of white space differ, are encoded whole. Both memories have a
-    bound and are emptied when they reach it, and ``forget`` empties them at the end of a task.
+    characters on which notions of white space differ, are encoded whole. When a memory reaches its bound it
+    becomes the older one, from which what occurs again comes back; ``forget`` empties all at the end of a task.
     """
 
     def __init__(self, path: str):
@@ -54,11 +54,16 @@ class WordTokenizer:
         added = [t.content for t in self.model.get_added_tokens_decoder().values()]
         self.whole = [*added, "\x1c", "\x1d", "\x1e", "\x1f"]
         self.merges = self.model.model.tokenize
+        self.empty()
+
+    def empty(self) -> None:
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
+        self.older_parts: dict[str, bytes] = {}
 
     def forget(self) -> None:
-        self.words, self.parts = {}, {}
+        self.empty()
         release_memory()
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -71,11 +76,11 @@ class WordTokenizer:
         return array("I", [t.id for t in self.merges(letters)]).tobytes()
 
     def _word(self, word: str) -> bytes:
-        parts, out = self.parts, []
+        parts, older, out = self.parts, self.older_parts, []
         for p in _PARTS.findall(word.lower()):
             ids = parts.get(p)
             if ids is None:
-                ids = self._part(p)
+                ids = older.get(p) or self._part(p)
                 if len(p) <= LONGEST_CACHED:
                     parts[p] = ids
             out.append(ids)
@@ -91,16 +96,19 @@ class WordTokenizer:
         except TypeError:  # words not seen before
             pass
         if len(known) > CACHED_WORDS:
-            known.clear()
+            self.older_words, self.words = known, {}
+            known = self.words
         if len(self.parts) > CACHED_PARTS:
-            self.parts.clear()
+            self.older_parts, self.parts = self.parts, {}
+        older = self.older_words
         fresh: dict[str, bytes] = {}
         for n, ids in enumerate(found):
             if ids is None:
                 w = words[n]
                 ids = fresh.get(w)
                 if ids is None:
-                    ids = fresh[w] = self._word(w) if _PLAIN.fullmatch(w) else self._encode([w])[0]
+                    ids = older.get(w) or (self._word(w) if _PLAIN.fullmatch(w) else self._encode([w])[0])
+                    fresh[w] = ids
                     if len(w) <= LONGEST_CACHED:
                         known[w] = ids
                 found[n] = ids
@@ -295,4 +303,4 @@ def pack(
             yield pa.RecordBatch.from_arrays([*kept, *map(pa.array, new)], names=[*old, "sequence_id", "offset"])
 
     columns = ", ".join(f"{c} {pieces.schema[c].dataType.simpleString()}" for c in old)
-    return ranked.mapInArrow(rows, f"{columns}, sequence_id long, offset long")
+    return ranked.mapInArrow(releasing(rows), f"{columns}, sequence_id long, offset long")

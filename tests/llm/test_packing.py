@@ -79,3 +79,33 @@ def test_pack_round_trip(docs, corpus):
 
 def test_pack_nothing(no_docs):
     assert packing.pack(no_docs, PATH).count() == 0
+
+
+def test_words_and_parts_held_by_a_worker_are_few(monkeypatch):
+    words = packing.WordTokenizer(PATH)
+    letters = "abcdefghij"
+    spelt = ["".join(letters[int(d)] for d in f"{n:05d}") for n in range(30_000)]
+    texts = [" ".join(spelt[at : at + 100]) for at in range(0, 30_000, 100)]
+    text_ids = list(map(words.ids, texts))
+    # Every word is a part of its own.
+    assert len(words.parts) + len(words.older_parts) <= 21_000
+    assert len(words.words) + len(words.older_words) == 30_000 and packing.CACHED_WORDS <= 150_000
+    monkeypatch.setattr(packing, "CACHED_WORDS", 50)
+    monkeypatch.setattr(packing, "CACHED_PARTS", 50)
+    words.forget()
+    assert list(map(words.ids, texts)) == text_ids
+    for _ in range(2):  # a word that occurs again comes back from the older memory
+        words.ids(f"{spelt[1]} " + " ".join(spelt[100:160]))
+    assert len(words.words) + len(words.older_words) <= 400 and words.ids(texts[0]) == text_ids[0]
+    words.forget()
+    assert not any([words.words, words.older_words, words.parts, words.older_parts])
+
+
+def test_a_task_gives_its_memory_back(monkeypatch):
+    from keepsake.llm import common
+
+    given = []
+    monkeypatch.setattr(common, "release_memory", lambda: given.append(1))
+    through = common.releasing(lambda batches: (b + 1 for b in batches))([1, 2])
+    assert next(through) == 2 and not given
+    assert list(through) == [3] and given == [1]
