@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keepsake.llm.common import kept_by_worker, map_rows, release_memory, releasing, width
+from keepsake.llm.common import kept_by_worker, map_arrow, map_rows, release_memory, width
 from keepsake.sources.staging import stage
 
 CACHED_WORDS = 150_000
@@ -303,4 +303,4 @@ def pack(
             yield pa.RecordBatch.from_arrays([*kept, *map(pa.array, new)], names=[*old, "sequence_id", "offset"])
 
     columns = ", ".join(f"{c} {pieces.schema[c].dataType.simpleString()}" for c in old)
-    return ranked.mapInArrow(releasing(rows), f"{columns}, sequence_id long, offset long")
+    return map_arrow(ranked, rows, f"{columns}, sequence_id long, offset long")

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keepsake.llm.common import append_column, components, map_rows, releasing, width
+from keepsake.llm.common import append_column, components, map_arrow, map_rows, width
 from keepsake.llm.simhash import SEED, shingles
 from keepsake.sources.staging import stage, stage_bucketed
 
@@ -141,7 +141,7 @@ def _keys(texts: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "text", "home"])
 
     picked = texts.where("w0 is not null").select("text", "f1", "f2", *[f"w{k}" for k in range(WITNESSES)])
-    return picked.mapInArrow(releasing(run), "key long, text long, home boolean")
+    return map_arrow(picked, run, "key long, text long, home boolean")
 
 
 def _apart(a1: str, a2: str, b1: str, b2: str) -> Column:

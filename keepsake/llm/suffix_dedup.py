@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keepsake.llm.common import map_rows, releasing
+from keepsake.llm.common import map_arrow, map_rows
 from keepsake.sources.staging import stage
 
 K = 32
@@ -488,7 +488,7 @@ def _with_spans(docs: DataFrame, length: int, **options) -> tuple[DataFrame, lis
 
     types = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
     schema = f"{types}{', ' if types else ''}`__data` binary, `__t0` long, `__t1` long"
-    packed = docs.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(releasing(squeezed), schema)
+    packed = map_arrow(docs.select(*[F.col(f"`{c}`") for c in columns]), squeezed, schema)
     both = packed.join(spans, (F.col("__t0") == F.col("of0")) & (F.col("__t1") == F.col("of1")), "left")
     return both.select(*[F.col(f"`{c}`") for c in kept], "__data", "spans"), kept
 
@@ -541,4 +541,4 @@ def deduplicated(docs: DataFrame, length: int = 200, **options) -> DataFrame:
                 new["n_chars"] = pa.array(sizes, old.type)
             yield pa.RecordBatch.from_arrays([new[c] for c in columns], names=columns)
 
-    return both.mapInArrow(releasing(run), docs.schema)
+    return map_arrow(both, run, docs.schema)
