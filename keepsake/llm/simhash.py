@@ -6,7 +6,8 @@ bit free: each half word is within the covering radius 1 of exactly one anchor,
 fingerprint is replicated to all anchors within covering radius plus threshold (1 + 1 = 2) of its
 half, 17 or so, so that it meets at the home of every near partner, and pairs are compared there
 over all 64 bits. A second key, equal in at least one of three parts of the other half,
-keeps groups small where many fingerprints share a half.
+keeps groups small where many fingerprints share a half. Where very many share both, as pages of one
+template do, they are not compared in pairs but linked through the words one bit from both.
 
 Only distinct fingerprints take part, so groups of copies have no weight, and a fingerprint has at
 most 2080 others within two bits. Components are found in the cluster.
@@ -18,14 +19,15 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keepsake.llm.common import append_column, components
+from keepsake.llm.common import append_column, components, width
 from keepsake.sources.staging import stage
 
 SEED = 42
 _CHUNK = 1 << 16
+_TASK_ROWS = 1 << 14
 _COLUMN = np.arange(1, 32, dtype=np.uint32)  # the check matrix of the code: bit k has column k + 1
 
 
@@ -99,44 +101,94 @@ def anchors_near(half: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 _PARTS = ((0, 11), (11, 11), (22, 10))
 
 
-def _keys(fp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+CROWD = 64  # homes that may share a key and still be compared in pairs
+
+
+def _keys(fp: np.ndarray, homes: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(row, key, is home): the anchor of one half and one part of the other half, as one number."""
     word = fp.view(np.uint64)
     for side in range(2):
         half = (word >> np.uint64(32 * side)).astype(np.uint32)
         other = (word >> np.uint64(32 * (1 - side))).astype(np.uint32)
         own = home(half)
-        row, anchor = (np.concatenate(x) for x in zip(*anchors_near(half), strict=True))
+        near = [(np.arange(len(half)), own)] if homes else anchors_near(half)
+        row, anchor = (np.concatenate(x) for x in zip(*near, strict=True))
         for part, (low, bits) in enumerate(_PARTS):
             piece = ((other[row] >> np.uint32(low)) & np.uint32((1 << bits) - 1)).astype(np.uint64)
             key = (anchor.astype(np.uint64) << np.uint64(32)) | (piece << np.uint64(8)) | np.uint64(2 * part + side)
             yield row, key.view(np.int64), anchor == own[row]
 
 
-def links(distinct: DataFrame, threshold: int = 2) -> DataFrame:
-    """(a, b) with a < b: all pairs of the distinct ``fp`` that differ in at most two bits."""
-    if threshold > 2:
-        raise ValueError("the anchors cover a threshold of two bits")
+def _spread(distinct: DataFrame) -> DataFrame:
+    """Fingerprints are few bytes and their replicas many, so tasks go by rows."""
+    tasks = 1 + distinct.count() // _TASK_ROWS
+    return distinct.select("fp").repartition(min(tasks, width(distinct.sparkSession)))
+
+
+def _replicas(spread: DataFrame, homes: bool = False) -> DataFrame:
+    """(key, fp, home): the fingerprints at all their keys, or only at those of their homes."""
 
     def replicate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = b.column(0).to_numpy(zero_copy_only=False)
-            for row, key, own in _keys(fp):
+            for row, key, own in _keys(fp, homes):
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, fp[row], own)], ["key", "fp", "home"])
 
-    met = distinct.select("fp").mapInArrow(replicate, "key long, fp long, home boolean")
-    homes = met.where("home").select("key", F.col("fp").alias("a"))
-    near = met.where("not home").select(F.col("key").alias("at"), F.col("fp").alias("b"))
-    same = homes.select(F.col("key").alias("at"), F.col("a").alias("b"))
-    close = (F.col("key") == F.col("at")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= threshold)
-    pairs = homes.join(near, close).union(homes.join(same, close & (F.col("a") < F.col("b"))))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return spread.mapInArrow(replicate, "key long, fp long, home boolean")
+
+
+def _met(homes: DataFrame, replicas: DataFrame, threshold: int) -> DataFrame:
+    """(a, b) with a < b: pairs within the threshold that meet at the home of one."""
+    near = replicas.select(F.col("key").alias("at"), F.col("fp").alias("b"), F.col("home").alias("too"))
+    close = (F.col("key") == F.col("at")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("b"))) <= threshold)
+    once = (~F.col("too") & (F.col("fp") != F.col("b"))) | (F.col("fp") < F.col("b"))
+    pairs = homes.join(near, close & once)
+    return pairs.select(F.least("fp", "b").alias("a"), F.greatest("fp", "b").alias("b")).distinct()
+
+
+def links(distinct: DataFrame, threshold: int = 2) -> DataFrame:
+    """(a, b) with a < b: all pairs of the distinct ``fp`` that differ in at most two bits."""
+    if threshold > 2:
+        raise ValueError("the anchors cover a threshold of two bits")
+    spread = _spread(distinct)
+    return _met(_replicas(spread, homes=True), _replicas(spread), threshold)
+
+
+def _bridged(distinct: DataFrame) -> DataFrame:
+    """(a, b) with a < b, two bits apart at most, that connect whatever ``links`` connects.
+
+    Words within one bit of a third are within two of each other, and words within two have such a third. So
+    for each third the least of its words, of which there are 65 at most, is linked with the others.
+    """
+    fp = F.col("fp")
+    bits = [(1 << k) - (1 << 64 if k == 63 else 0) for k in range(64)]
+    thirds = F.explode(F.array(fp, *[fp.bitwiseXOR(F.lit(bit)) for bit in bits])).alias("third")
+    least = F.min("fp").over(Window.partitionBy("third"))
+    pairs = distinct.select("fp", thirds).select(least.alias("a"), fp.alias("b"))
+    return pairs.where("a < b").distinct()
+
+
+def bonds(distinct: DataFrame, threshold: int = 2, crowd: int = CROWD) -> DataFrame:
+    """(a, b) with a < b: pairs out of ``links`` that connect the same fingerprints.
+
+    The pairs at a key grow with the square of the fingerprints there. So where a key is home to more than
+    ``crowd``, all that meet there are bridged instead, at 65 words each.
+    """
+    if threshold != 2:
+        return links(distinct, threshold)
+    spread = _spread(distinct)
+    homes, replicas = _replicas(spread, homes=True), _replicas(spread)
+    crowded = stage(homes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd).select("key"), "crowded")
+    if crowded.isEmpty():
+        return _met(homes, replicas, threshold)
+    dense = stage(replicas.join(crowded, "key", "left_semi").select("fp").distinct(), "dense")
+    return _met(homes.join(crowded, "key", "left_anti"), replicas, threshold).union(_bridged(dense)).distinct()
 
 
 def _classes(marked: DataFrame, threshold: int) -> DataFrame:
     """(fp, component, component_id) of the rows' distinct fingerprints."""
-    distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
-    linked = stage(links(distinct, threshold), "near")
+    distinct = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct")
+    linked = stage(bonds(distinct, threshold), "near")
     groups = components(linked).select(F.col("node").alias("fp"), "component")
     named = stage(distinct.join(groups, "fp", "left").withColumn("component", F.coalesce("component", "fp")), "classes")
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))

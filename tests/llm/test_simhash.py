@@ -57,6 +57,40 @@ def test_links_and_chains(spark):
     assert got == want and len(want) > 100
 
 
+def test_crowds_connect_without_all_pairs(spark):
+    """All words over ten bits, a few of them joined to others only through a word that is no home of a crowd."""
+    rng = random.Random(6)
+    bits, base = rng.sample(range(64), 10), rng.getrandbits(64)
+    dense = {base ^ sum(1 << b for n, b in enumerate(bits) if w >> n & 1) for w in range(1 << 10)}
+    far = [b for b in range(64) if b not in bits]
+    arms = set()
+    for _ in range(6):
+        m = rng.choice(sorted(dense))
+        for _ in range(5):
+            m ^= sum(1 << b for b in rng.sample(far, 2))
+            arms.add(m)
+    marks = sorted(m - (1 << 64) if m >> 63 else m for m in dense | arms | {rng.getrandbits(64) for _ in range(50)})
+    table = spark.createDataFrame([(m,) for m in marks], "fp long")
+    every = {tuple(r) for r in simhash.links(table).collect()}
+    bonds = {tuple(r) for r in simhash.bonds(table, crowd=4).collect()}
+    assert bonds <= every and len(bonds) < 2 * len(every) / 3 and len(every) > 20000
+
+    def classes(pairs):
+        parent = {m: m for m in marks}
+
+        def find(m):
+            while parent[m] != m:
+                m = parent[m]
+            return m
+
+        for a, b in sorted(pairs):
+            parent[find(b)] = find(a)
+        return {frozenset(m for m in marks if find(m) == r) for r in {find(m) for m in marks}}
+
+    assert classes(bonds) == classes(every)
+    assert {tuple(r) for r in simhash.bonds(table, crowd=1 << 20).collect()} == every
+
+
 def test_anchors_cover():
     rng = np.random.default_rng(0)
     half = rng.integers(0, 1 << 32, 200, dtype=np.uint32)
